@@ -138,11 +138,15 @@ def airline_comparison(offers: DataFrame) -> DataFrame:
 def price_anomaly(snapshots: DataFrame, threshold: float = 2.0) -> DataFrame:
     """Distance of each price from the seven snapshots before it, in standard deviations."""
     trailing = _over_time().rowsBetween(-7, -1)
-    spread = F.col("sd_7")
+    n, price = F.count("price").over(trailing), F.col("price").cast(MONEY)
+    total = F.sum(price).over(trailing).cast(MONEY)
+    squares = F.sum(price * price).over(trailing).cast("decimal(28,8)")
+    # n times the sum of squares minus the squared sum, without rounding, is n squared times the variance.
+    spread = F.sqrt((squares * n.cast("decimal(4,0)") - total * total).cast("double")) / n
     return (
         snapshots.withColumn("mean_7", mean_over(trailing))
-        .withColumn("sd_7", F.stddev_pop("price").over(trailing))
-        .withColumn("z", F.when(F.round(spread, 6) > 0, (F.col("price") - F.col("mean_7")) / spread))
+        .withColumn("sd_7", spread)
+        .withColumn("z", F.when(F.col("sd_7") > 0, (F.col("price") - F.col("mean_7")) / F.col("sd_7")))
         .withColumn("anomaly", F.coalesce(F.abs("z") > threshold, F.lit(False)))
     )
 

@@ -14,7 +14,7 @@ from farelake.plans.registry import query
 AS_OF = "2024-01-30 23:50:00"
 REAL_IP = "10.0.0.7"
 # Budgets low enough for the bursts of a thinly spread log.
-MAX_RATE, MIN_RATE = 0.5, 0.02
+MAX_RATE, MIN_RATE, BURST_RATE = 0.15, 0.02, 0.2
 
 RANK = "CASE " + " ".join(
     f"WHEN contains(lower(url), '{m}') THEN {i}" for i, m in enumerate(S.SOURCE_MARKERS)
@@ -228,12 +228,12 @@ def adopted_share(spark, sf):
 
 
 @query("rate_burst", f"""
-SELECT source, ts, count(*) AS n, max(n_30s) AS n_30s, max(n_30s) > 30 * {MAX_RATE} * 0.2 AS burst
+SELECT source, ts, count(*) AS n, max(n_30s) AS n_30s, max(n_30s) > 30 * {BURST_RATE} * 0.2 AS burst
 FROM (SELECT source, ts, count(*) OVER (PARTITION BY source ORDER BY ts
   RANGE BETWEEN INTERVAL 30 SECONDS PRECEDING AND CURRENT ROW) AS n_30s FROM fx_reports WHERE is_429) x
 GROUP BY source, ts""")
 def rate_burst(spark, sf):
-    return rate.rate_burst(fx(spark, sf, "fx_reports"), MAX_RATE)
+    return rate.rate_burst(fx(spark, sf, "fx_reports"), BURST_RATE)
 
 
 TRACE = f"""

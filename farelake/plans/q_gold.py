@@ -20,8 +20,8 @@ CHEAPEST = f"""(SELECT {PK}, snapshot_date, min(price) AS price, arg_min(primary
 OVER = f"PARTITION BY {PK} ORDER BY snapshot_date"
 
 
-def rounded(df, *columns, places=6):
-    return df.withColumns({c: F.round(c, places) for c in columns})
+def rounded(df, *columns):
+    return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
 def offers(spark, sf):
@@ -90,13 +90,14 @@ def airline_comparison(spark, sf):
 
 
 @query("price_anomaly", f"""
-SELECT {PK}, snapshot_date, price, round(mean_7, 6) AS mean_7, round(z, 4) AS z, coalesce(abs(z) > 2, false) AS anomaly
-FROM (SELECT *, CASE WHEN round(sd_7, 6) > 0 THEN (price - mean_7) / sd_7 END AS z FROM (SELECT *,
- avg(price) OVER w AS mean_7, stddev_pop(price) OVER w AS sd_7 FROM {CHEAPEST} x
- WINDOW w AS ({OVER} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)) y) v""")
+SELECT {PK}, snapshot_date, price, mean_7, z, coalesce(abs(z) > 2, false) AS anomaly
+FROM (SELECT *, CASE WHEN sd_7 > 0 THEN (price - mean_7) / sd_7 END AS z FROM (SELECT *, cast(sx AS double) / n AS mean_7,
+ sqrt(cast(sxx * cast(n AS decimal(4,0)) - sx * sx AS double)) / n AS sd_7 FROM (SELECT *,
+  count(*) OVER w AS n, cast(sum(cast(price AS decimal(18,4))) OVER w AS decimal(18,4)) AS sx,
+  cast(sum(cast(price AS decimal(18,4)) * cast(price AS decimal(18,4))) OVER w AS decimal(28,8)) AS sxx FROM {CHEAPEST} x
+  WINDOW w AS ({OVER} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)) y1) y) v""")
 def price_anomaly(spark, sf):
-    found = gold.price_anomaly(cheapest_snapshot(spark, sf)).drop("sd_7", "airline", "n_offers")
-    return rounded(rounded(found, "mean_7"), "z", places=4)
+    return gold.price_anomaly(cheapest_snapshot(spark, sf)).drop("sd_7", "airline", "n_offers")
 
 
 @query("forecast_features", f"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from farelake import schema as S
 from farelake.functions.common import epoch_micros
 from farelake.plans.fixtures import table, with_views
-from farelake.plans.q_endpoints import MAX_RATE, MIN_RATE, POOL, TRACE
+from farelake.plans.q_endpoints import BURST_RATE, MAX_RATE, MIN_RATE, POOL, TRACE
 from farelake.plans.q_sources import OFFERS, exported, with_first_offer
 from farelake.plans.q_state import COLUMNS, LATEST, PK
 from farelake.plans.registry import query
@@ -56,12 +56,12 @@ def stream_status(spark, sf):
 
 
 @query("stream_burst", f"""
-SELECT w AS window_s, source, count(*) FILTER (WHERE is_429) AS n_429, count(*) FILTER (WHERE is_429) > 30 * {MAX_RATE} * 0.2 AS burst
+SELECT w AS window_s, source, count(*) FILTER (WHERE is_429) AS n_429, count(*) FILTER (WHERE is_429) > 30 * {BURST_RATE} * 0.2 AS burst
 FROM (SELECT source, is_429, unnest(generate_series(epoch_us(ts) // 5000000 * 5 - 25, epoch_us(ts) // 5000000 * 5, 5)) AS w
  FROM fx_reports) x GROUP BY 1, 2""")
 def stream_burst(spark, sf):
     out = work_path(spark, "stream-burst")
-    counts = jobs.burst_counts(on_time(stream_view(spark, sf, "fx_reports"), "ts"), MAX_RATE)
+    counts = jobs.burst_counts(on_time(stream_view(spark, sf, "fx_reports"), "ts"), BURST_RATE)
     jobs.stream_counts(counts, out, work_path(spark, "ckpt"))
     counted = jobs.read_counts(spark, out, ["window_start", "source"])
     return counted.select(F.unix_seconds("window_start").alias("window_s"), "source", "n_429", "burst")

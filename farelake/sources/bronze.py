@@ -29,9 +29,10 @@ def bronze_lines(state: DataFrame) -> DataFrame:
     """One JSON text per successful row, with the eight bundle fields in order.
 
     Offers pass through as parsed JSON, so fields no schema knows are kept, and unreadable text fails.
+    Times are written with all their digits.
     """
-    ordered = [F.parse_json("flights").alias("flights") if c == "flights" else F.col(c) for c in S.BRONZE_COLUMNS]
-    line = F.to_json(F.struct(*ordered), {"ignoreNullFields": "false"})
+    fields = {c: F.col(c).cast("string") for c in S.BRONZE_COLUMNS} | {"flights": F.parse_json("flights")}
+    line = F.to_json(F.struct(*[f.alias(c) for c, f in fields.items()]), {"ignoreNullFields": "false"})
     return successful_raw(state).select(line.alias("value"))
 
 
