@@ -51,7 +51,7 @@ def price_trend(spark, sf):
 
 
 @query("route_comparison", f"""
-SELECT *, rank() OVER (PARTITION BY flight_type ORDER BY mean_price) AS rank FROM (SELECT route, flight_type,
+SELECT *, (rank() OVER (PARTITION BY flight_type ORDER BY mean_price))::INT AS rank FROM (SELECT route, flight_type,
  count(*) AS n_offers, min(price) AS min_price, {MEAN} AS mean_price, round(quantile_cont(price, 0.5), 6) AS median_price
  FROM fx_offers GROUP BY route, flight_type) x""")
 def route_comparison(spark, sf):
@@ -82,7 +82,7 @@ def booking_window(spark, sf):
 
 
 @query("airline_comparison", f"""
-SELECT *, rank() OVER (PARTITION BY route ORDER BY mean_price) AS rank FROM (SELECT route, primary_airline_name,
+SELECT *, (rank() OVER (PARTITION BY route ORDER BY mean_price))::INT AS rank FROM (SELECT route, primary_airline_name,
  count(*) AS n_offers, count(DISTINCT (dep_date, return_date, flight_type)) AS n_itineraries, {MEAN} AS mean_price
  FROM fx_offers GROUP BY route, primary_airline_name) x""")
 def airline_comparison(spark, sf):
