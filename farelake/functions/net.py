@@ -46,7 +46,7 @@ def is_ipv6(c: ColumnLike) -> Column:
     address = F.regexp_replace(text, "%.*$", "")
     tail = F.substring_index(address, ":", -1)
     has_v4_tail = F.contains(tail, F.lit("."))
-    address = F.when(has_v4_tail & is_ipv4(tail), F.regexp_replace(address, "[^:]*$", "0:0")).otherwise(address)
+    address = F.when(has_v4_tail & is_ipv4(tail), F.regexp_replace(address, "[^:]+$", "0:0")).otherwise(address)
     groups = F.split(address, ":", -1)
     filled = F.filter(groups, lambda g: g != "")
     hex_only = F.forall(filled, lambda g: F.rlike(g, F.lit("^[0-9A-Fa-f]{1,4}$")))
