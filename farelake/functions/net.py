@@ -11,7 +11,8 @@ from farelake.functions.common import ColumnLike, col
 # Fixed patterns. (?U) makes digits and word borders Unicode-aware.
 IP_LIKE = r"(?U)\b(?:\d{1,3}\.){3}\d{1,3}\b"
 IPV4 = r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])$"
-PORT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+# Scheme, host and port: the host is bracketed or free of colons, extra colons may stand before the port.
+ADDRESS = r"(?U)^\s*(?:(.*?)://)?(\[[^\]]*\](?=:*\s*[+-]?[0-9])|[^:\[][^:]*(?=:)):*\s*([+-]?[0-9]+)\s*/*\s*$"
 
 
 def strip(c: ColumnLike) -> Column:
@@ -21,18 +22,12 @@ def strip(c: ColumnLike) -> Column:
 
 def normalise_endpoint(protocol: ColumnLike, raw: ColumnLike) -> Column:
     """``scheme://host:port`` or NULL."""
-    text = strip(raw)
-    has_scheme = F.contains(text, F.lit("://"))
-    pieces = F.split(text, "://", 2)
-    scheme = F.when(has_scheme, F.lower(F.get(pieces, F.lit(0)))).otherwise(col(protocol))
-    rest = F.regexp_replace(F.when(has_scheme, F.get(pieces, F.lit(1))).otherwise(text), "/+$", "")
-    bracketed = F.startswith(rest, F.lit("["))
-    cut = F.when(bracketed, F.position(F.lit("]"), rest)).otherwise(F.position(F.lit(":"), rest) - 1)
-    host = F.substring(rest, F.lit(1), cut)
-    port_text = F.regexp_replace(F.substring(rest, cut + 1, F.length(rest)), "^:+", "")
-    port = F.when(F.rlike(port_text, F.lit(PORT_TEXT)), F.trim(port_text).try_cast("int"))
-    usable = scheme.isin(*S.ENDPOINT_SCHEMES) & (cut > 0) & port.between(1, 65535)
-    return F.when(usable, F.concat(scheme, F.lit("://"), host, F.lit(":"), port.cast("string")))
+    part = lambda i: F.regexp_extract(col(raw), ADDRESS, i)
+    named = F.contains(col(raw), F.lit("://"))
+    scheme = F.when(named, F.lower(part(1))).otherwise(col(protocol))
+    port = part(3).try_cast("int")
+    usable = scheme.isin(*S.ENDPOINT_SCHEMES) & port.between(1, 65535)
+    return F.when(usable, F.concat(scheme, F.lit("://"), part(2), F.lit(":"), port.cast("string")))
 
 
 def is_ipv4(c: ColumnLike) -> Column:

@@ -9,10 +9,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from farelake import schema as S
-from farelake.functions.common import ColumnLike, col
+from farelake.functions.common import ColumnLike, col, let
 
 PAGE_SLOTS = (2, 3)
 ITEMS = "array<variant>"
+NEEDED_TYPES = ("price", "duration", "stops", "legs")
 
 
 def _items(v: Column) -> Column:
@@ -20,52 +21,61 @@ def _items(v: Column) -> Column:
     return F.try_variant_get(v, "$", ITEMS)
 
 
-def _is_blank(v: Column, items: Column) -> Column:
-    """Absent, JSON null, or an empty list, object, text, zero or false."""
-    scalar = F.to_json(v).isin("{}", "0", "0.0", '""', "false")
-    return v.isNull() | F.is_variant_null(v) | F.when(items.isNotNull(), F.size(items) == 0).otherwise(scalar)
+def _list(v: Column) -> Column:
+    """``struct<items, blank>``: the elements if a list, and whether the value counts as empty."""
+    def parts(items: Column) -> Column:
+        nothing = v.isNull() | F.is_variant_null(v)
+        scalar = F.to_json(v).isin("{}", "0", "0.0", '""', "false")
+        blank = F.when(nothing, True).when(items.isNotNull(), F.size(items) == 0).otherwise(scalar)
+        return F.struct(items.alias("items"), blank.alias("blank"))
+
+    return let(_items(v), parts)
+
+
+def _page_rows(page: Column) -> Column:
+    """Rows of a page: none for an empty page, NULL for one that is not made of lists."""
+    none = F.array().cast(ITEMS)
+    return let(
+        _list(page),
+        lambda p: F.when(p["blank"], none).when(
+            p["items"].isNotNull(),
+            let(_list(F.get(p["items"], F.lit(0))), lambda r: F.when(r["blank"], none).otherwise(r["items"])),
+        ),
+    )
 
 
 def payload_struct(body: ColumnLike) -> Column:
     """``struct<kind, raw>``: kind is ok, malformed or none; raw is the rows of both pages in order."""
-    doc = F.try_parse_json(col(body))
-    slots = _items(doc)
-    malformed = slots.isNull() | (F.size(slots) <= max(PAGE_SLOTS))
-    rows = []
-    for slot in PAGE_SLOTS:
-        page = F.get(slots, F.lit(slot))
-        page_items = _items(page)
-        first = F.get(page_items, F.lit(0))
-        first_items = _items(first)
-        page_blank, first_blank = _is_blank(page, page_items), _is_blank(first, first_items)
-        malformed = malformed | (
-            ~page_blank & (page_items.isNull() | (~first_blank & first_items.isNull()))
-        )
-        rows.append(F.when(~page_blank & ~first_blank, first_items).otherwise(F.array().cast(ITEMS)))
-    kind = F.when(doc.isNull(), "none").when(F.coalesce(malformed, F.lit(True)), "malformed").otherwise("ok")
-    return F.struct(kind.alias("kind"), F.when(kind == "ok", F.concat(*rows)).alias("raw"))
-
-
-def _field_is_bad(row: Column, name: str, type_name: str) -> Column:
-    """A field that is there but does not hold a value of its type."""
-    value = F.try_variant_get(row, f"$.{name}", "variant")
-    there = value.isNotNull() & ~F.is_variant_null(value)
-    return there & F.try_variant_get(row, f"$.{name}", type_name).isNull()
+    def read(doc: Column) -> Column:
+        def rows_of(slots: Column) -> Column:
+            pages = [_page_rows(F.get(slots, F.lit(slot))) for slot in PAGE_SLOTS]
+            return F.when(F.size(slots) > max(PAGE_SLOTS), F.concat(*pages))
+
+        def judge(raw: Column) -> Column:
+            kind = F.when(doc.isNull(), "none").when(raw.isNull(), "malformed").otherwise("ok")
+            return F.struct(kind.alias("kind"), raw.alias("raw"))
+
+        return let(let(_items(doc), rows_of), judge)
+
+    return let(F.try_parse_json(col(body)), read)
 
 
 def decode_offers(raw: ColumnLike) -> Column:
-    """Raw rows to offers in order; a row that does not decode is left out, not its neighbours."""
-    typed = {"price": "double", "duration": "int", "stops": "int", "legs": ITEMS}
+    """Raw rows to offers in order; a row that does not decode is left out, not its neighbours.
 
-    def decodes(row: Column) -> Column:
-        ok = F.startswith(F.schema_of_variant(row), F.lit("OBJECT"))
-        for name, type_name in typed.items():
-            ok = ok & ~_field_is_bad(row, name, type_name)
-        return F.coalesce(ok, F.lit(False))
+    A row decodes when it is an object, and no field of NEEDED_TYPES is there with a value of another type.
+    """
+    def decode(row: Column) -> Column:
+        def checked(offer: Column) -> Column:
+            ok = offer.isNotNull()
+            for name in NEEDED_TYPES:
+                value = F.try_variant_get(row, f"$.{name}", "variant")
+                ok = ok & (offer[name].isNotNull() | value.isNull() | F.is_variant_null(value))
+            return F.when(ok, offer)
 
-    return F.transform(
-        F.filter(col(raw), decodes), lambda row: F.try_variant_get(row, "$", S.OFFER.simpleString())
-    )
+        return let(F.try_variant_get(row, "$", S.OFFER.simpleString()), checked)
+
+    return F.filter(F.transform(col(raw), decode), lambda offer: offer.isNotNull())
 
 
 def merged_price(out_price: ColumnLike, in_price: ColumnLike) -> Column:

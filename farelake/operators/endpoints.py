@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 from farelake import schema as S
 from farelake.functions import net
 from farelake.functions.common import floor_div
-from farelake.operators.scaling import order_statistics, running_total, top_n
-
-ROWS_PER_BLOCK = 65536
+from farelake.operators.scaling import ROWS_PER_BLOCK, order_statistics, running_total, top_n
 
 
 # ------------------------------------------------------------------ lists
@@ -78,11 +76,8 @@ def probe_class(probes: DataFrame, real_ip: str = "") -> DataFrame:
 def echo_median(probes: DataFrame, keys: Sequence[str] = ("url",), latency: str = "latency_ms") -> DataFrame:
     """Upper median of the good latencies per key, 0.0 where fewer than two are good."""
     upper = floor_div("_n", 2) + 1
-    stats = order_statistics(probes, keys, latency, {"median_ms": upper}, block_width=1.0, min_rows=2)
-    everyone = probes.select(*keys).distinct()
-    return everyone.join(stats.drop("_n"), list(keys), "left").withColumn(
-        "median_ms", F.coalesce("median_ms", F.lit(0.0))
-    )
+    stats = order_statistics(probes, keys, latency, {"median_ms": upper})
+    return stats.select(*keys, F.when(F.col("_n") >= 2, F.col("median_ms")).otherwise(0.0).alias("median_ms"))
 
 
 def quality_scores(medians: DataFrame, latency: str = "median_ms") -> DataFrame:
@@ -122,9 +117,7 @@ def prefilter_until(candidates: DataFrame, alive_target: int, batch: int = S.PRE
     """
     numbered = candidates.withColumn("batch", floor_div("pos", batch))
     per_batch = numbered.groupBy("batch").agg(F.count_if("alive").alias("_alive"))
-    summed = running_total(
-        per_batch, [], floor_div("batch", 4096), ["batch"], F.col("_alive"), "_upto"
-    )
+    summed = running_total(per_batch, [], floor_div("batch", 4096), ["batch"], F.col("_alive"), "_upto")
     stop = summed.filter(F.col("_upto") >= alive_target).agg(F.min("batch")).scalar()
     return numbered.filter(F.col("batch") <= F.coalesce(stop, F.col("batch")))
 

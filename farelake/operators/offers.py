@@ -34,8 +34,11 @@ def parse_offers(responses: DataFrame, body: str = "payload") -> DataFrame:
 
 def one_way_offers(responses: DataFrame, body: str = "payload") -> DataFrame:
     """Responses with at least one offer, as the JSON text that is stored."""
-    parsed = parse_offers(responses, body).filter(F.size("offers") > 0)
-    return parsed.withColumn("flights", F.to_json("offers")).drop("kind", "offers")
+    parsed = parse_offers(responses, body)
+    # As a generator, so that the offers are decoded once and not again for a filter.
+    found = F.explode(F.filter(F.array("offers"), lambda o: F.size(o) > 0)).alias("offers")
+    other = [c for c in parsed.columns if c not in ("kind", "offers")]
+    return parsed.select(*other, found).select(*other, F.to_json("offers").alias("flights"))
 
 
 def top_outbound(outbound: DataFrame, n: int = 3, task: Sequence[str] = ("task_id",)) -> DataFrame:

@@ -12,51 +12,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farelake.functions.common import floor_div
-
 # Spark trims rankings up to this rank before the shuffle (WindowGroupLimit); above it we salt.
 MAP_SIDE_RANK = 1000
+ROWS_PER_BLOCK = 65536
 BEFORE = (Window.unboundedPreceding, -1)
 UP_TO = (Window.unboundedPreceding, Window.currentRow)
 
 
 def running_total(
-    df: DataFrame,
-    keys: Sequence[str],
-    block: Column,
-    order: Sequence[Column | str],
-    value: Column,
-    out: str,
-    fan_out: int = 4096,
+    df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[Column | str], value: Column, out: str
 ) -> DataFrame:
     """Add ``out``: the inclusive running sum of ``value`` per ``keys`` in ``order``.
 
-    ``block`` is an integer that grows with ``order`` and keeps each (keys, block) group small, such
-    as ``floor_div(position, 65536)``. Sums per block and per ``fan_out`` blocks are scanned first; the
-    rows then only need a window inside their own block. ``keys`` must not be NULL.
+    ``block`` is an integer that grows with ``order`` and keeps each (keys, block) group small, such as
+    ``floor_div(position, ROWS_PER_BLOCK)``. One row per block is scanned per key; the rows themselves only
+    need a window inside their block. ``keys`` must not be NULL.
     """
     keys = list(keys)
     rows = df.withColumn("_blk", block.cast("bigint")).withColumn("_val", value)
-    rows = rows.withColumn("_sup", floor_div("_blk", fan_out))
-    blocks = rows.groupBy(*keys, "_sup", "_blk").agg(F.sum("_val").alias("_sum"))
-    supers = blocks.groupBy(*keys, "_sup").agg(F.sum("_sum").alias("_sum"))
-    zero = F.lit(0)
-    supers = supers.select(
-        *keys, "_sup",
-        F.coalesce(F.sum("_sum").over(Window.partitionBy(*keys).orderBy("_sup").rowsBetween(*BEFORE)), zero)
-        .alias("_base"),
-    )
-    in_super = Window.partitionBy(*keys, "_sup").orderBy("_blk").rowsBetween(*BEFORE)
-    offsets = (
-        blocks.withColumn("_part", F.coalesce(F.sum("_sum").over(in_super), zero))
-        .join(supers, [*keys, "_sup"])
-        .select(*keys, "_blk", (F.col("_base") + F.col("_part")).alias("_offset"))
-    )
+    blocks = rows.groupBy(*keys, "_blk").agg(F.sum("_val").alias("_sum"))
+    before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(*BEFORE)
+    offsets = blocks.select(*keys, "_blk", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
     in_block = Window.partitionBy(*keys, "_blk").orderBy(*order).rowsBetween(*UP_TO)
     return (
         rows.withColumn("_in_block", F.sum("_val").over(in_block))
         .join(offsets, [*keys, "_blk"])
-        .withColumn(out, F.col("_offset") + F.coalesce("_in_block", zero))
+        .withColumn(out, F.col("_offset") + F.coalesce("_in_block", F.lit(0)))
         .select(*df.columns, out)
     )
 
@@ -87,24 +68,20 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
 
 
 def order_statistics(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    ranks: dict[str, Column],
-    block_width: float = 1.0,
-    min_rows: int = 1,
+    df: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Column], block_width: float = 1.0
 ) -> DataFrame:
     """Exact order statistics per key: ``ranks`` maps an output name to a 1-based rank over ``_n``.
 
     Equal values are counted before the shuffle and ranks come from running counts over value ranges
-    ``block_width`` wide, so no list of a key's values is ever built. NULL values do not count.
+    ``block_width`` wide, so no list of a key's values is ever built. NULL values do not count; a key
+    without values stays, with ``_n`` 0 and NULL statistics.
     """
     keys = list(keys)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_cnt"))
     block = F.floor(F.col(value) / F.lit(block_width))
     scanned = running_total(counts, keys, block, [value], F.col("_cnt"), "_upto")
-    totals = counts.groupBy(*keys).agg(F.sum("_cnt").alias("_n")).filter(F.col("_n") >= min_rows)
-    hits = scanned.join(totals, keys)
+    totals = df.groupBy(*keys).agg(F.count(value).alias("_n"))
+    hits = scanned.join(totals, keys, "right")
     picks = [
         F.max(F.when((rank <= F.col("_upto")) & (rank > F.col("_upto") - F.col("_cnt")), F.col(value))).alias(name)
         for name, rank in ranks.items()

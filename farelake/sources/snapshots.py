@@ -40,6 +40,7 @@ def write_snapshots(endpoints: DataFrame, path: str, rows_per_file: int = 10_000
     cached_at are read back as one snapshot.
     """
     fields = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.ENDPOINT])
-    part = F.pmod(F.xxhash64("url"), F.ceil(F.lit(endpoints.count()) / rows_per_file))
+    parts = endpoints.agg(F.ceil(F.count(F.lit(1)) / rows_per_file)).scalar()
+    part = F.pmod(F.xxhash64("url"), parts)
     grouped = endpoints.groupBy("cached_at", part.alias("_part")).agg(F.collect_list(fields).alias("proxies"))
     grouped.drop("_part").write.mode("overwrite").option("maxRecordsPerFile", 1).json(path)

@@ -142,19 +142,25 @@ def summarise_events(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     This runs before the shuffle, so a hot URL sends one short row per batch of its events.
     """
+    point = lambda ts, i: {"ts": int(ts), "id": int(i)}
     for pdf in batches:
         pdf = pdf[pdf["event"].isin(_KINDS)].sort_values(["ts_us", "probe_id"])
-        rows = []
-        for url, group in pdf.groupby("url", sort=False):
-            at = {k: list(zip(g["ts_us"], g["probe_id"])) for k, g in group.groupby("event")}
-            firsts = at.get("rate_limited", [])
-            last = {k: ({"ts": int(v[-1][0]), "id": int(v[-1][1])}) for k, v in at.items()}
-            rows.append({
-                "url": url, "n_429": len(firsts), "n_stub": len(at.get("stub", [])),
-                "first_429": [{"ts": int(t), "id": int(i)} for t, i in firsts[: S.EVICT_AFTER - 1]],
-                "last_429": last.get("rate_limited"), "last_stub": last.get("stub"),
-                "last_failure": last.get("failure"),
-            })
+        by_kind = pdf.groupby(["url", "event"], sort=False)
+        sizes = by_kind.size()
+        last = {(r.url, r.event): point(r.ts_us, r.probe_id) for r in by_kind.tail(1).itertuples()}
+        firsts: dict[str, list] = {}
+        for r in by_kind.head(S.EVICT_AFTER - 1).itertuples():
+            if r.event == "rate_limited":
+                firsts.setdefault(r.url, []).append(point(r.ts_us, r.probe_id))
+        rows = [
+            {
+                "url": url,
+                "n_429": sizes.get((url, "rate_limited"), 0), "n_stub": sizes.get((url, "stub"), 0),
+                "first_429": firsts.get(url, []), "last_429": last.get((url, "rate_limited")),
+                "last_stub": last.get((url, "stub")), "last_failure": last.get((url, "failure")),
+            }
+            for url in pdf["url"].unique()
+        ]
         if rows:
             yield pd.DataFrame(rows)
 
