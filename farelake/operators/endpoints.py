@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from farelake import schema as S
 from farelake.functions import net
 from farelake.functions.common import floor_div
-from farelake.operators.scaling import ROWS_PER_BLOCK, order_statistics, running_total, top_n
+from farelake.operators.scaling import ROWS_PER_BLOCK, order_statistics, running_total, running_totals, top_n
 
 
 # ------------------------------------------------------------------ lists
@@ -215,15 +215,17 @@ def weighted_pick(draws: DataFrame, pool: DataFrame, weight_scale: int = 1_000_0
     number, so neither a product of the tables nor a broadcast of the pool is needed.
     """
     weighted = pool.withColumn("_w", F.round(F.col("quality_score") * weight_scale).cast("bigint"))
-    total = weighted.agg(F.coalesce(F.sum("_w"), F.lit(0))).scalar()
-    rows = weighted.agg(F.count(F.lit(1))).scalar()
-    cumulated = running_total(weighted, [], floor_div("pos", ROWS_PER_BLOCK), ["pos"], F.col("_w"), "_high")
-    spans = cumulated.filter("_w > 0").withColumn("_low", F.col("_high") - F.col("_w"))
+    size = weighted.agg(
+        F.struct(F.coalesce(F.sum("_w"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("rows"))
+    ).scalar()
+    total, rows = size["total"], size["rows"]
+    placed = running_totals(
+        weighted, [], floor_div("pos", ROWS_PER_BLOCK), ["pos"], {"_high": F.col("_w"), "_no": F.lit(1)}
+    )
     width = F.ceil(total / rows)
-    first_range = F.floor(F.col("_low") / width)
-    last_range = F.floor(F.col("_high") / width)
-    spans = spans.withColumn("_range", F.explode(F.sequence(first_range, last_range)))
-    spans = spans.select("_range", "_low", "_high", "pos", "url")
+    spans = placed.filter("_w > 0").withColumn("_low", F.col("_high") - F.col("_w"))
+    ranges = F.sequence(F.floor(F.col("_low") / width), F.floor(F.col("_high") / width))
+    spans = spans.select(F.explode(ranges).alias("_range"), "_low", "_high", "pos", "url")
 
     by_weight = draws.filter(total > 0).withColumn("_r", F.col("u") * total)
     by_weight = by_weight.withColumn("_range", F.floor(F.col("_r") / width))
@@ -231,10 +233,9 @@ def weighted_pick(draws: DataFrame, pool: DataFrame, weight_scale: int = 1_000_0
     hit = hit | ((F.col("_r") == 0) & (F.col("_low") == 0))
     picked = by_weight.join(spans, "_range").filter(hit).select(*draws.columns, "pos", "url")
 
-    turns = draws.filter((total <= 0) & (rows > 0)).withColumn("_turn", F.pmod(F.col("task_id"), F.nullif(rows, F.lit(0))))
-    numbered = running_total(weighted, [], floor_div("pos", ROWS_PER_BLOCK), ["pos"], F.lit(1), "_no")
-    numbered = numbered.select((F.col("_no") - 1).alias("_turn"), "pos", "url")
-    return picked.unionByName(turns.join(numbered, "_turn").select(*draws.columns, "pos", "url"))
+    turn = F.pmod("task_id", F.nullif(rows, F.lit(0)))
+    turns = draws.filter(total <= 0).withColumn("_no", turn + 1)
+    return picked.unionByName(turns.join(placed, "_no").select(*draws.columns, "pos", "url"))
 
 
 def snapshot_decision(

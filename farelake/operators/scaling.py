@@ -19,29 +19,36 @@ BEFORE = (Window.unboundedPreceding, -1)
 UP_TO = (Window.unboundedPreceding, Window.currentRow)
 
 
-def running_total(
-    df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[Column | str], value: Column, out: str
+def running_totals(
+    df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[Column | str], sums: dict[str, Column]
 ) -> DataFrame:
-    """Add ``out``: the inclusive running sum of ``value`` per ``keys`` in ``order``.
+    """Add the inclusive running sum of each column in ``sums`` per ``keys`` in ``order``.
 
     ``block`` is an integer that grows with ``order`` and keeps each (keys, block) group small, such as
     ``floor_div(position, ROWS_PER_BLOCK)``. One row per block is scanned per key; the rows themselves only
     need a window inside their block. ``keys`` must not be NULL.
     """
-    keys = list(keys)
-    rows = df.withColumn("_blk", block.cast("bigint")).withColumn("_val", value)
-    blocks = rows.groupBy(*keys, "_blk").agg(F.sum("_val").alias("_sum"))
+    keys, names = list(keys), list(sums)
+    values = {f"_v{i}": sums[name] for i, name in enumerate(names)}
+    rows = df.withColumns({"_blk": block.cast("bigint"), **values})
+    blocks = rows.groupBy(*keys, "_blk").agg(*[F.sum(v).alias(v) for v in values])
     before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(*BEFORE)
-    offsets = blocks.select(*keys, "_blk", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    offsets = blocks.select(*keys, "_blk", *[F.sum(v).over(before).alias(f"{v}_before") for v in values])
     in_block = Window.partitionBy(*keys, "_blk").orderBy(*order).rowsBetween(*UP_TO)
-    return (
-        rows.withColumn("_in_block", F.sum("_val").over(in_block))
-        .join(offsets, [*keys, "_blk"])
-        .withColumn(out, F.col("_offset") + F.coalesce("_in_block", F.lit(0)))
-        .select(*df.columns, out)
+    inside = rows.withColumns({v: F.sum(v).over(in_block) for v in values})
+    total = lambda v: F.coalesce(f"{v}_before", F.lit(0)) + F.coalesce(v, F.lit(0))
+    return inside.join(offsets, [*keys, "_blk"]).select(
+        *df.columns, *[total(v).alias(name) for v, name in zip(values, names)]
     )
 
 
+def running_total(
+    df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[Column | str], value: Column, out: str
+) -> DataFrame:
+    """``running_totals`` of a single column."""
+    return running_totals(df, keys, block, order, {out: value})
+
+
 def top_n(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int, salts: int = 64
 ) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farelake import schema as S
 from farelake.operators import state as st
 from farelake.operators.attempts import final_state
+from farelake.operators.scaling import latest
 from farelake.operators.tasks import build_tasks
 from farelake.sources import bronze, silver, statetable
 
@@ -16,14 +18,18 @@ def search(runs: DataFrame, attempts: DataFrame, state: DataFrame | None = None)
 
     ``runs`` has start_date, effective_end and as_of; ``attempts`` is the log of captured attempts.
     """
-    table = st.purge_seeds(state) if state is not None else statetable.empty_state(runs.sparkSession)
-    seeded = st.seed_missing(table, build_tasks(runs))
-    outcomes = st.accepted(st.normalise_outcome(final_state(attempts)))
-    ends = seeded.select(*S.PK, "origin", "destination")
-    known = outcomes.join(ends, list(S.PK))
-    stored = known.select(*[known[f.name].cast(f.dataType).alias(f.name) for f in S.STATE])
-    untouched = seeded.join(stored.select(*S.PK), list(S.PK), "left_anti")
-    return untouched.unionByName(stored)
+    seeds = build_tasks(runs).select(*S.SEED_COLUMNS).withColumns({"retries": F.lit(0), "success": F.lit(0)})
+    outcomes = st.accepted(st.normalise_outcome(final_state(attempts))).withColumns({
+        "origin": F.substring_index("route", "|", 1), "destination": F.substring_index("route", "|", -1),
+    })
+    layers = [seeds, outcomes] if state is None else [seeds, st.purge_seeds(state), outcomes]
+    # One pass over all layers: an outcome beats what is stored, which beats a seed.
+    stacked = None
+    for age, layer in enumerate(layers):
+        layer = layer.withColumn("_age", F.lit(age))
+        stacked = layer if stacked is None else stacked.unionByName(layer, allowMissingColumns=True)
+    table = latest(stacked, S.PK, ["_age"])
+    return table.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.STATE])
 
 
 def convert(spark: SparkSession, state_path: str, bundle_path: str) -> bool:
