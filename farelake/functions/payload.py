@@ -47,15 +47,18 @@ def _page_rows(page: Column) -> Column:
 def payload_struct(body: ColumnLike) -> Column:
     """``struct<kind, raw>``: kind is ok, malformed or none; raw is the rows of both pages in order."""
     def read(doc: Column) -> Column:
-        def rows_of(slots: Column) -> Column:
-            pages = [_page_rows(F.get(slots, F.lit(slot))) for slot in PAGE_SLOTS]
-            return F.when(F.size(slots) > max(PAGE_SLOTS), F.concat(*pages))
+        at = lambda path, kind: F.try_variant_get(doc, path, kind)
+        # The rows of a usual page are taken in one step; only other pages are looked at level by level.
+        pages = [
+            F.coalesce(at(f"$[{slot}][0]", ITEMS), _page_rows(at(f"$[{slot}]", "variant"))) for slot in PAGE_SLOTS
+        ]
+        all_slots = at(f"$[{max(PAGE_SLOTS)}]", "variant").isNotNull()
 
         def judge(raw: Column) -> Column:
             kind = F.when(doc.isNull(), "none").when(raw.isNull(), "malformed").otherwise("ok")
             return F.struct(kind.alias("kind"), raw.alias("raw"))
 
-        return let(let(_items(doc), rows_of), judge)
+        return let(F.when(all_slots, F.concat(*pages)), judge)
 
     return let(F.try_parse_json(col(body)), read)
 

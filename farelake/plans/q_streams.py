@@ -18,9 +18,12 @@ from farelake.streaming import jobs
 
 
 def stream_view(spark, sf: str, view: str) -> DataFrame:
-    """A view of projections over events, as a stream of the events table's files."""
-    schema = table(spark, sf, "events").schema
-    jobs.read_files(spark, sf, schema, glob="events.parquet").createOrReplaceTempView("events")
+    """A view of projections over events, as a stream of the events table's file or folder of files."""
+    events = table(spark, sf, "events")
+    some_file = events.select("_metadata.file_path").first()[0]
+    in_folder = some_file.rsplit("/", 2)[-2] == "events.parquet"
+    folder, glob = (f"{sf}/events.parquet", "*.parquet") if in_folder else (sf, "events.parquet")
+    jobs.read_files(spark, folder, events.schema, glob=glob).createOrReplaceTempView("events")
     return spark.sql(with_views(f"SELECT * FROM {view}"))
 
 

@@ -19,6 +19,7 @@ from farelake import schema as S
 from farelake.operators.rate import final_rates, rate_trace
 from farelake.operators.scaling import latest
 from farelake.operators.state import upsert_latest
+from farelake.sources import statetable
 
 PARTS = "batches"
 
@@ -71,8 +72,22 @@ def stream_upsert(outcomes: DataFrame, path: str, checkpoint: str) -> StreamingQ
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
-    """The current row of each key over all batches."""
-    return upsert_latest(spark.read.parquet(f"{path}/{PARTS}").drop("batch_id"))
+    """The current row of each key: the compacted version, if any, and all batches after it."""
+    batches, base = spark.read.parquet(f"{path}/{PARTS}"), statetable.current_version(spark, f"{path}/base")
+    if base is None:
+        return upsert_latest(batches.drop("batch_id"))
+    newer = batches.filter(F.col("batch_id") > int(base[2])).drop("batch_id")
+    return upsert_latest(spark.read.parquet(base[1]).unionByName(newer))
+
+
+def compact_upserted(spark: SparkSession, path: str) -> int:
+    """Fold the batches so far into one version, which later reads start from; returns the last batch in it.
+
+    Run it between streams. Batches already folded are skipped by folder name.
+    """
+    last = spark.read.parquet(f"{path}/{PARTS}").agg(F.max("batch_id")).head()[0]
+    statetable.write_state(read_upserted(spark, path), f"{path}/base", label=str(last))
+    return last
 
 
 # ------------------------------------------------------------------ windowed counts

@@ -8,7 +8,7 @@ from farelake.functions import payload
 from farelake.operators import offers as of
 
 
-@pytest.mark.parametrize("body,kind,prices", [
+PAYLOADS = [
     ('[[],[],[[{"price":1},{"price":2}]],[[{"price":3}]]]', "ok", [1.0, 2.0, 3.0]),
     ('[[],[],null,[[{"price":3}]]]', "ok", [3.0]),
     ('[[],[],[],[]]', "ok", []),
@@ -22,12 +22,14 @@ from farelake.operators import offers as of
     ('{broken', "none", None),
     ("", "none", None),
     ('[[],[],[[{"price":1},{"price":"x"},7,null,{"price":null},{"legs":3},{}]],null]', "ok", [1.0, None, None]),
-])
-def test_payloads(spark, body, kind, prices):
-    df = spark.createDataFrame([(1, body)], "id int, payload string")
-    r = of.parse_offers(df).collect()[0]
-    assert r.kind == kind
-    assert (None if r.offers is None else [o.price for o in r.offers]) == prices
+]
+
+
+def test_payloads(spark):
+    df = spark.createDataFrame([(i, p[0]) for i, p in enumerate(PAYLOADS)], "id int, payload string")
+    got = of.parse_offers(df).orderBy("id").collect()
+    prices = [None if r.offers is None else [o.price for o in r.offers] for r in got]
+    assert [(p[0], r.kind, x) for p, r, x in zip(PAYLOADS, got, prices)] == PAYLOADS
 
 
 def test_extract_keeps_positions_and_empty_responses(spark, rows):
@@ -75,18 +77,24 @@ def test_expand_outcome(spark, errors, n_back, want):
     assert (r.n_pairs, r.error_type, r.success) == want
 
 
-@pytest.mark.parametrize("a,b,price", [(100.0, 30.0, 130.0), (None, 30.0, 30.0), (None, None, None), (0.0, 0.0, None)])
-@pytest.mark.parametrize("out,back,token", [("o", "i", "i"), ("o", "", "o"), ("o", None, "o"), ("", None, ""), (None, "", None)])
-def test_merge(spark, a, b, price, out, back, token):
+def test_merge(spark):
     leg = ("SIN", "KUL", 60, None, None)
 
     def offer(p, t):
         values = {"legs": [leg], "price": p, "duration": 60, "stops": 1, "booking_token": t, "currency": "SGD"}
         return tuple(values.get(f.name) for f in S.OFFER)
 
-    df = spark.createDataFrame([(offer(a, out), offer(b, back))], f"o {S.OFFER.simpleString()}, i {S.OFFER.simpleString()}")
-    m = df.select(payload.merge_offers(F.col("o"), F.col("i")).alias("m")).collect()[0].m
-    assert (m.price, m.duration, m.stops, m.booking_token, m.currency, len(m.legs)) == (price, 120, 2, token, "SGD", 2)
+    prices = [(100.0, 30.0, 130.0), (None, 30.0, 30.0), (None, None, None), (0.0, 0.0, None)]
+    tokens = [("o", "i", "i"), ("o", "", "o"), ("o", None, "o"), ("", None, ""), (None, "", None)]
+    cases = [(p, t) for p in prices for t in tokens]
+    kind = S.OFFER.simpleString()
+    df = spark.createDataFrame(
+        [(i, offer(p[0], t[0]), offer(p[1], t[1])) for i, (p, t) in enumerate(cases)], f"n int, o {kind}, i {kind}"
+    )
+    got = df.select("n", payload.merge_offers(F.col("o"), F.col("i")).alias("m")).orderBy("n").collect()
+    for (p, t), (_, m) in zip(cases, got):
+        assert (m.price, m.booking_token) == (p[2], t[2])
+        assert (m.duration, m.stops, m.currency, len(m.legs)) == (120, 2, "SGD", 2)
 
 
 def test_flatten(spark, rows):

@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from farelake.functions import outcomes
@@ -8,20 +7,23 @@ from farelake.operators import attempts as at
 LONG = "x" * 1024
 
 
-@pytest.mark.parametrize("status,body,cls", [
+RESPONSES = [
     (429, "", "429"), (500, "", "connection"), (503, "captcha", "connection"), (403, "", "429"), (400, "", "data"),
     (404, "captcha", "data"), (200, "Unusual TRAFFIC here", "429"), (200, "Access Denied", "429"), (200, "fine", "ok"),
     (302, "captcha", "ok"), (200, None, "ok"),
-])
-def test_http_class(spark, status, body, cls):
-    df = spark.createDataFrame([(status, body)], "status int, body string")
-    assert df.select(outcomes.http_class("status", "body").alias("c")).collect()[0].c == cls
+]
+
+
+def test_http_class(spark):
+    df = spark.createDataFrame(RESPONSES, "status int, body string, cls string")
+    got = df.select("status", "body", outcomes.http_class("status", "body")).collect()
+    assert [tuple(r) for r in got] == RESPONSES
 
 
 GOOD = '[[],[],[[{"price":1}]],null]'
 
 
-@pytest.mark.parametrize("endpoint,exception,status,body,want", [
+EXCHANGES = [
     (False, None, 200, GOOD, ("no_proxy", False, 0)),
     (True, "Timeout", 200, GOOD, ("timeout", False, 0)),
     (True, "ProxyError", 200, GOOD, ("connection", False, 0)),
@@ -37,22 +39,26 @@ GOOD = '[[],[],[[{"price":1}]],null]'
     (True, None, 200, '[[],[],[[{"price":"x"}]],null]', ("data", False, 0)),
     (True, None, 200, GOOD, (None, False, 1)),
     (True, None, 302, GOOD, (None, False, 1)),
-])
-def test_attempt_outcome(spark, endpoint, exception, status, body, want):
+]
+
+
+def test_attempt_outcome(spark):
     df = spark.createDataFrame(
-        [(endpoint, exception, status, body)], "has_endpoint boolean, exception string, status int, body string"
+        [e[:4] for e in EXCHANGES], "has_endpoint boolean, exception string, status int, body string"
     )
-    r = at.classify_exchanges(df).collect()[0]
-    assert (r.error_type, r.stubbed, r.success) == want
+    got = at.classify_exchanges(df).select(*df.columns, "error_type", "stubbed", "success").collect()
+    assert [(*r[:4], tuple(r[4:])) for r in got] == EXCHANGES
 
 
-@pytest.mark.parametrize("error,stubbed,event", [
+BLAME = [
     ("timeout", False, "failure"), ("connection", False, "failure"), ("429", False, "rate_limited"), ("data", True, "stub"),
     ("data", False, "none"), ("other", False, "none"), ("no_proxy", False, "none"), (None, False, "ok"),
-])
-def test_blame(spark, error, stubbed, event):
-    df = spark.createDataFrame([(error, stubbed)], "e string, s boolean")
-    assert df.select(outcomes.endpoint_event("e", "s").alias("v")).collect()[0].v == event
+]
+
+
+def test_blame(spark):
+    df = spark.createDataFrame(BLAME, "e string, s boolean, v string")
+    assert [tuple(r) for r in df.select("e", "s", outcomes.endpoint_event("e", "s")).collect()] == BLAME
 
 
 LOG = "k string, round int, attempt int, success int, error_type string, flights string, searched_at string"
@@ -82,12 +88,14 @@ def test_final_state_is_the_last_round(spark):
     assert got == {"a": (0, "429", "t1"), "b": (0, "data", "t0")}
 
 
-@pytest.mark.parametrize("seconds,text", [
+DURATIONS = [
     (0, "0s"), (45, "45s"), (70, "1m10s"), (300, "5m00s"), (3729.5, "1h02m"), (7200, "2h00m"), (59.9, "59s")
-])
-def test_format_duration(spark, seconds, text):
-    df = spark.createDataFrame([(float(seconds),)], "s double")
-    assert df.select(format_duration("s").alias("t")).collect()[0].t == text
+]
+
+
+def test_format_duration(spark):
+    df = spark.createDataFrame([(float(x), t) for x, t in DURATIONS], "s double, t string")
+    assert [r[0] for r in df.select(format_duration("s")).collect()] == [t for _, t in DURATIONS]
 
 
 def expected_reports(total, step=5):
@@ -100,16 +108,18 @@ def expected_reports(total, step=5):
     return sorted({*out, total})
 
 
-@pytest.mark.parametrize("total", [1, 2, 3, 7, 19, 20, 21, 99, 100, 101, 250, 1234])
-def test_progress_steps(spark, total):
-    df = spark.createDataFrame([("r", i) for i in range(total)], "run string, seq long").withColumn(
+def test_progress_steps(spark):
+    sizes = [1, 2, 3, 7, 19, 20, 21, 99, 100, 101, 250, 1234]
+    df = spark.createDataFrame([(n, i) for n in sizes for i in range(n)], "run int, seq long").withColumn(
         "ts", F.timestamp_add("SECOND", F.col("seq"), F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'"))
     )
-    got = at.progress_steps(df, "run", "seq", "ts", block=16).orderBy("done").collect()
-    assert [r.done for r in got] == expected_reports(total)
-    assert got[-1].pct == 100 and got[-1].elapsed_s == total - 1
-    if total > 1:
-        assert got[-1].rate == total / (total - 1) and got[-1].eta == "0s"
+    rows = at.progress_steps(df, "run", "seq", "ts", block=16).orderBy("done").collect()
+    for n in sizes:
+        got = [r for r in rows if r.run == n]
+        assert [r.done for r in got] == expected_reports(n)
+        assert got[-1].pct == 100 and got[-1].elapsed_s == n - 1
+        if n > 1:
+            assert got[-1].rate == n / (n - 1) and got[-1].eta == "0s"
 
 
 def test_small_functions(spark):

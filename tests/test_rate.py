@@ -62,7 +62,7 @@ def random_reports(seed, n=1500):
     return out
 
 
-@pytest.mark.parametrize("seed,max_rate,min_rate,chunk_s", [(1, 4.0, 0.5, 600), (2, 5.0, 0.7, 20), (3, 3.0, 0.05, 7)])
+@pytest.mark.parametrize("seed,max_rate,min_rate,chunk_s", [(1, 4.0, 0.5, 600), (2, 3.6, 0.7, 20), (3, 3.0, 0.05, 7)])
 def test_trace_equals_replay(spark, seed, max_rate, min_rate, chunk_s):
     reports = random_reports(seed)
     df = spark.createDataFrame(reports, SCHEMA).repartition(4)

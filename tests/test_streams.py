@@ -44,7 +44,13 @@ def test_upsert(spark, outcomes, dirs, rows):
     stream = in_files(spark, outcomes, "seq", folder)
     jobs.stream_upsert(stream, out, ckpt)
     jobs.stream_upsert(stream, out, ckpt)  # nothing new: nothing changes
-    assert rows(jobs.read_upserted(spark, out).select(outcomes.columns)) == rows(st.upsert_latest(outcomes))
+    read = lambda: rows(jobs.read_upserted(spark, out).select(outcomes.columns))
+    assert read() == rows(st.upsert_latest(outcomes))
+    assert jobs.compact_upserted(spark, out) == 3
+    more = outcomes.withColumn("seq", F.col("seq") + 350).filter("seq % 3 = 1")
+    more.coalesce(1).write.mode("append").parquet(folder)
+    jobs.stream_upsert(stream, out, ckpt)
+    assert read() == rows(st.upsert_latest(outcomes.unionByName(more)))
 
 
 def test_status_over_batches(spark, outcomes, dirs, rows):
