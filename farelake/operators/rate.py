@@ -60,13 +60,16 @@ def rate_ladder(max_rate: float, min_rate: float) -> list[float]:
 
 
 def effective_reports(
-    reports: DataFrame, min_rate: float, source: str = "source", context: DataFrame | None = None
+    reports: DataFrame, ladder: list[float], source: str = "source", context: DataFrame | None = None
 ) -> DataFrame:
     """Reports that can move the budget: ``hits`` is the 429s of the last 30 s, or 0 for a clean success.
 
     Whether a success is clean (no 429 for 60 s) and how many 429s a burst has do not depend on the budget,
-    so both are plain windows. 429s too few to bite even at the lowest budget are dropped here. Rows of
-    ``context`` are earlier reports that only count in those windows.
+    so both are plain windows. Rows of ``context`` are earlier reports that only count in those windows.
+
+    Reports are of one class when they move the same budgets of ``ladder``. In an unbroken run of one class,
+    the budget stands still after as many reports as the ladder has steps, so the rest of the run is
+    dropped. What remains of a slice is small even if the slice is not.
     """
     columns = [source, "ts", "id", "is_429"]
     log = reports.select(*columns).withColumn("_old", F.lit(False))
@@ -77,6 +80,7 @@ def effective_reports(
     )
     sliced = _with_halo(at, "_at", F.col("_429") == 1, S.QUIET_WINDOW_S, SLICE_S)
     by_time = Window.partitionBy(source, "_slice").orderBy("_at")
+    in_order = Window.partitionBy(source, "_slice").orderBy("_at", "id")
     same_instant = Window.partitionBy(source, "_slice", "_at").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     before = lambda s: F.coalesce(F.sum("_429").over(by_time.rangeBetween(-s * MICROS, -1)), F.lit(0))
     counted = (
@@ -85,18 +89,31 @@ def effective_reports(
         .withColumn("_recent", before(S.QUIET_WINDOW_S) + F.col("_now"))
         .filter((F.col("_slice") == F.col("_own")) & ~F.col("_old"))
     )
-    bites = (F.col("_429") == 1) & (F.col("_burst") > S.BURST_WINDOW_S * min_rate * S.BURST_SHARE)
-    clean = (F.col("_429") == 0) & (F.col("_recent") == 0)
-    return counted.filter(bites | clean).select(
-        source, "_at", "id", F.when(bites, F.col("_burst")).otherwise(0).cast("bigint").alias("hits")
+    hits = F.when(F.col("_429") == 1, F.col("_burst")).when(F.col("_recent") == 0, 0)
+    moved = sum(((F.col("hits") > _limit(F.lit(rate))).cast("int") for rate in ladder), F.lit(0))
+    new_run = F.coalesce(F.lag("_class").over(in_order) != F.col("_class"), F.lit(True))
+    same_run = F.lag("_run", len(ladder)).over(in_order) == F.col("_run")
+    return (
+        counted.withColumn("hits", hits.cast("bigint"))
+        .withColumn("_class", moved)
+        .filter((F.col("hits") == 0) | (F.col("_class") > 0))
+        .withColumn("_new", new_run.cast("int"))
+        .withColumn("_run", F.sum("_new").over(in_order))
+        .withColumn("_same", F.coalesce(same_run, F.lit(False)))
+        .filter("NOT _same")
+        .select(source, "_at", "id", "hits")
     )
 
 
+def _limit(rate: Column) -> Column:
+    """429s within the burst window that ``rate`` still bears."""
+    return rate * (S.BURST_WINDOW_S * S.BURST_SHARE)
+
+
 def _next_rate(rate: Column, hits: Column, max_rate: float, min_rate: float) -> Column:
     throttled = F.greatest(F.lit(min_rate), rate * S.RATE_BACKOFF)
     recovered = F.least(F.lit(max_rate), rate * S.RATE_RECOVERY)
-    over = hits > rate * (S.BURST_WINDOW_S * S.BURST_SHARE)
-    return F.when(hits == 0, recovered).when(over, throttled).otherwise(rate)
+    return F.when(hits == 0, recovered).when(hits > _limit(rate), throttled).otherwise(rate)
 
 
 def rate_trace(
@@ -119,7 +136,7 @@ def rate_trace(
     ladder = rate_ladder(max_rate, min_rate)
     step = lambda r, hits: _next_rate(r, hits, max_rate, min_rate)
     chunks = (
-        effective_reports(reports, min_rate, source, context)
+        effective_reports(reports, ladder, source, context)
         .withColumn("chunk", floor_div("_at", chunk_s * MICROS))
         .groupBy(source, "chunk")
         .agg(F.array_sort(F.collect_list(F.struct("_at", "id", "hits"))).alias("log"))

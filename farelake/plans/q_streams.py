@@ -43,8 +43,8 @@ def stream_upsert(spark, sf):
 
 
 def on_time(df: DataFrame, column: str) -> DataFrame:
-    """Watermarks need an instant; the logs are in UTC."""
-    return df.withColumn("ts", F.col(column).cast("timestamp"))
+    """Watermarks need an instant; the logs are in UTC whatever the session's zone."""
+    return df.withColumn("ts", F.timestamp_micros(epoch_micros(column)))
 
 
 @query("stream_status", """

@@ -100,3 +100,14 @@ def test_stream_carries_the_budget_over_batches(spark, tmp_path):
     got = sorted((r.source, r.id, r.old_rate, r.new_rate) for r in spark.read.parquet(f"{out}/trace").collect())
     assert got == replay(reports, 4.0, 0.25)
     assert len({r.batch_id for r in spark.read.parquet(f"{out}/rates").select("batch_id").collect()}) > 2
+
+
+def test_long_runs_are_cut_before_they_are_gathered(spark):
+    reports = [("s", T0 + timedelta(milliseconds=i), i, False) for i in range(500)] + [
+        ("s", T0 + timedelta(seconds=1, milliseconds=i), 1000 + i, True) for i in range(2000)
+    ]
+    df = spark.createDataFrame(reports, SCHEMA)
+    ladder = rate.rate_ladder(4.0, 0.5)
+    # One run of successes and one per step of the ladder, none longer than the ladder.
+    assert rate.effective_reports(df, ladder).count() <= len(ladder) * (len(ladder) + 1)
+    assert trace(df, max_rate=4.0, min_rate=0.5) == replay(reports, 4.0, 0.5)
