@@ -27,7 +27,9 @@ def page_rows(body: str, slot: int) -> str:
 
 
 def _blank(body: str, path: str) -> str:
-    return f"coalesce(json_type({body}, '{path}') = 'NULL' OR json_array_length({body}, '{path}') = 0 AND json_type({body}, '{path}') = 'ARRAY', true)"
+    """Nothing there, JSON null or an empty list."""
+    kind = f"json_type({body}, '{path}')"
+    return f"coalesce({kind} = 'NULL' OR ({kind} = 'ARRAY' AND json_array_length({body}, '{path}') = 0), true)"
 
 
 def page_kind(body: str) -> str:

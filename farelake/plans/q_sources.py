@@ -42,7 +42,8 @@ def read_bronze(spark, sf):
     return with_first_offer(bronze.read_bronze(spark, exported(spark, sf, "bronze")).drop(bronze.CORRUPT))
 
 
-@query("read_bronze_inferred", f"SELECT route, count(*) AS n, sum((flights::JSON->>'$[0].price')::BIGINT)::BIGINT AS cents FROM {GOOD} g GROUP BY route")
+@query("read_bronze_inferred", f"""
+SELECT route, count(*) AS n, sum((flights::JSON->>'$[0].price')::BIGINT)::BIGINT AS cents FROM {GOOD} g GROUP BY route""")
 def read_bronze_inferred(spark, sf):
     """Columns taken from the lines themselves."""
     rows = bronze.read_bronze(spark, exported(spark, sf, "inferred"), schema=None)
@@ -162,9 +163,11 @@ def provider_registry(spark, sf):
     return collect(registry, grid, "").drop("as_of")
 
 
+ANSWERED = f"SELECT seq, {PK}, success FROM {LATEST} l"
+
+
 @query("collect", f"""
-SELECT l.seq, {PK.replace('route', 'l.route', 1).replace('dep_date', 'l.dep_date').replace('return_date', 'l.return_date').replace('flight_type', 'l.flight_type')},
- l.success, p.provider FROM {LATEST} l, (VALUES ('log'), ('good')) p(provider) WHERE p.provider = 'log' OR l.success = 1""")
+SELECT *, 'log' AS provider FROM ({ANSWERED}) a UNION ALL SELECT *, 'good' FROM ({ANSWERED}) b WHERE success = 1""")
 def collect_runs(spark, sf):
     """Two providers answer the tasks of the grid from captured outcomes."""
     outcomes = stored(spark, sf).select("seq", *S.PK, "success")

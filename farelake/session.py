@@ -30,15 +30,15 @@ def build_session(app: str = "farelake", master: str | None = None, **conf: str)
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent, as on a laptop, is a local folder made and recorded.
+    Only where no checkpoint folder is set, as on a laptop, a local one is made and set.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="farelake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="farelake-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 
