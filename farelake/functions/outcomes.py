@@ -9,7 +9,11 @@ from farelake import schema as S
 from farelake.functions.common import ColumnLike, col
 
 # Exception names, by the class they count as. Any other name counts as "other".
-TRANSPORT_CLASSES = {"Timeout": "timeout", "ProxyError": "connection", "ConnectionError": "connection"}
+TRANSPORT_CLASSES = {
+    "Timeout": "timeout", "ProxyError": "connection", "ConnectionError": "connection",
+    # A request that reached its provider without an endpoint.
+    "MissingEndpoint": "connection",
+}
 
 OK, STUB, NO_DATA = "ok", "stub", "data"
 

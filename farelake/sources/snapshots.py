@@ -36,11 +36,12 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
 def write_snapshots(endpoints: DataFrame, path: str, rows_per_file: int = 10_000) -> None:
     """Write pools, each as one JSON object, or as several of about ``rows_per_file`` endpoints.
 
-    ``endpoints`` has cached_at and ENDPOINT's fields, and a URL once per pool. Objects with the same
+    ``endpoints`` has cached_at and ENDPOINT's fields; a URL counts once per pool. Objects with the same
     cached_at are read back as one snapshot.
     """
     fields = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.ENDPOINT])
-    parts = endpoints.agg(F.ceil(F.count(F.lit(1)) / rows_per_file)).scalar()
+    once = endpoints.dropDuplicates(["cached_at", "url"])
+    parts = once.agg(F.ceil(F.count(F.lit(1)) / rows_per_file)).scalar()
     part = F.pmod(F.xxhash64("url"), parts)
-    grouped = endpoints.groupBy("cached_at", part.alias("_part")).agg(F.collect_list(fields).alias("proxies"))
+    grouped = once.groupBy("cached_at", part.alias("_part")).agg(F.collect_list(fields).alias("proxies"))
     grouped.drop("_part").write.mode("overwrite").option("maxRecordsPerFile", 1).json(path)

@@ -29,6 +29,7 @@ EXCHANGES = [
     (True, "ProxyError", 200, GOOD, ("connection", False, 0)),
     (True, "ConnectionError", 200, GOOD, ("connection", False, 0)),
     (True, "KeyError", 200, GOOD, ("other", False, 0)),
+    (True, "MissingEndpoint", None, None, ("connection", False, 0)),
     (True, None, 429, GOOD, ("429", False, 0)),
     (True, None, 200, "short", ("data", True, 0)),
     (True, None, 200, LONG, ("data", False, 0)),

@@ -17,7 +17,10 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_equals_sql(spark, con, name):
-    problem = compare(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name])
+    df = entry.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    problem = compare(df, con, entry.oracle_sql()[name])
     assert problem is None or (name in EMPTY and problem == "no rows at all")
 
 
