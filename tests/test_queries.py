@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from farelake.plans import registry
 from oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -15,7 +16,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_equals_sql(spark, con, name):
     df = entry.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -33,4 +34,4 @@ def test_entry_has_rows(spark):
 
 
 def test_no_query_without_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLES)
