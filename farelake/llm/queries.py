@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm import bitslices, licenses, packing, sharding, tokencounts, warc
+from farelake.llm import bitslices, decontamination, jaccard, licenses, linededup, packing, sharding, tokencounts, toxicity, warc
 from farelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,24 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.suffix_sums(tokencounts.histogram(counted))
 
 
+@query("op3_ngram_jaccard")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"))
+
+
+@query("op4_decontamination")
+def leaked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_line_dedup")
+def deduplicated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = F.col("text").cast("binary")
+    return linededup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.octet_length(kept).cast("bigint").alias("kept_bytes"), F.crc32(kept).alias("kept_crc32")
+    )
+
+
 @query("op6_packing")
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -51,6 +69,11 @@ def sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op8_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.assessed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op9_top_k")
 def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
