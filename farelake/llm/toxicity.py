@@ -41,33 +41,31 @@ MEMO_WORDS = 400_000
 GAPS = [(a, b) for b in range(2, REACH + 1) for a in range(1, b)]
 
 
-def units(words: list[str]) -> list[str]:
-    """Letters and digits of each word."""
-    return ["".join(filter(str.isalnum, w)) for w in words]
-
-
-def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, hashed triple and weight of every gapped triple of every word, rows in order."""
-    size = max(map(len, words), default=0)
-    codes = np.zeros((len(words), max(size, 1)), np.uint32)
-    for row, word in enumerate(words):
-        codes[row, :len(word)] = np.frombuffer(word.encode("utf-32-le"), np.uint32)
-    rows, feats, weights = [], [], []
+def features(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed gapped triples of words of one length, a row per word, and the weight of each column."""
+    size, columns, weights = codes.shape[1], [], []
     for a, b in GAPS:
         if size <= b:
             continue
-        first, mid, last = codes[:, :-b], codes[:, a:size - b + a], codes[:, b:]
-        row, col = np.nonzero(last)
-        mixed = first[row, col] * np.uint32(2654435761) ^ mid[row, col] * np.uint32(2246822519) ^ last[row, col] * np.uint32(3266489917)
+        mixed = codes[:, :-b] * np.uint32(2654435761)
+        mixed ^= codes[:, a:size - b + a] * np.uint32(2246822519)
+        mixed ^= codes[:, b:] * np.uint32(3266489917)
         mixed ^= mixed >> np.uint32(15)
-        rows.append(row)
-        feats.append((mixed * np.uint32(668265263) >> np.uint32(16)).astype(np.int64))
-        weights.append(np.full(len(row), DECAY ** (b - 2), np.float32))
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
-    row = np.concatenate(rows)
-    order = np.argsort(row, kind="stable")
-    return row[order], np.concatenate(feats)[order], np.concatenate(weights)[order]
+        mixed *= np.uint32(668265263)
+        columns.append(mixed >> np.uint32(16))
+        weights.append(np.full(size - b, DECAY ** (b - 2), np.float32))
+    return np.concatenate(columns, 1), np.concatenate(weights)
+
+
+def by_length(words: list[str]):
+    """(places, codes) of the words of each length that has triples."""
+    text = np.array(words, f"U{LONGEST}")
+    codes = text.view(np.uint32).reshape(len(words), LONGEST)
+    size = (codes != 0).sum(1)
+    for n in np.unique(size):
+        if n > 2:
+            at = np.flatnonzero(size == n)
+            yield at, np.ascontiguousarray(codes[at, :n])
 
 
 class Kernel:
@@ -75,49 +73,60 @@ class Kernel:
 
     def __init__(self, landmarks: list[str]):
         self.m = len(landmarks)
-        row, feat, weight = triples(landmarks)
         table = np.zeros((FEATURES, self.m), np.float32)
-        np.add.at(table, (feat, row), weight)
+        for at, codes in by_length(landmarks):
+            feats, weights = features(codes)
+            np.add.at(table, (feats, at[:, None]), weights[None])
         self.table = table / np.maximum(np.sqrt((table**2).sum(0)), 1e-9)
         self.peak = self.table.max(1)
 
-    def of(self, words: list[str], chunk: int = 1024) -> np.ndarray:
-        """Kernel values of each word with each landmark."""
-        out = np.zeros((len(words), self.m), np.float32)
-        for start in range(0, len(words), 16 * chunk):
-            self._some(words[start:start + 16 * chunk], out[start:start + 16 * chunk], chunk)
+    def near(self, words: list[str], chunk: int = 4096, few: int = 256) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the words that any landmark is near to, and their kernel values with all landmarks."""
+        places, values = [np.zeros(0, np.int64)], [np.zeros((0, self.m), np.float32)]
+        for at, codes in by_length(words) if words else ():
+            for low in range(0, len(at), chunk):
+                feats, weights = features(codes[low:low + chunk])
+                norm = np.sqrt((weights**2).sum())
+                close = np.flatnonzero(self.peak[feats] @ weights >= FLOOR * norm)
+                for start in range(0, len(close), few):
+                    some = close[start:start + few]
+                    value = np.minimum(np.einsum("nfm,f->nm", self.table[feats[some]], weights) / norm, 1.0)
+                    value = np.where(value >= FLOOR, value, 0) ** POWER
+                    hit = value.any(1)
+                    places.append(at[low + some[hit]])
+                    values.append(value[hit].astype(np.float32))
+        return np.concatenate(places), np.concatenate(values)
+
+    def of(self, words: list[str]) -> np.ndarray:
+        out = np.zeros((len(words), self.m))
+        places, values = self.near(words)
+        out[places] = values
         return out
 
-    def _some(self, words: list[str], out: np.ndarray, chunk: int) -> None:
-        row, feat, weight = triples(words)
-        if not len(row):
-            return
-        norm = np.sqrt(np.bincount(row, weight.astype(np.float64) ** 2, len(words)))
-        bound = np.bincount(row, weight * self.peak[feat], len(words))
-        near = np.flatnonzero(bound >= FLOOR * norm * (norm > 0) + (norm == 0) * 1e9)
-        starts = np.searchsorted(row, np.arange(len(words) + 1))
-        for low in range(0, len(near), chunk):
-            some = near[low:low + chunk]
-            sizes = starts[some + 1] - starts[some]
-            ends = np.cumsum(sizes)
-            at = np.arange(ends[-1]) + np.repeat(starts[some] - (ends - sizes), sizes)
-            sums = np.add.reduceat(self.table[feat[at]] * weight[at, None], ends - sizes, axis=0)
-            value = np.minimum(sums / norm[some, None], 1.0)
-            out[some] = np.where(value >= FLOOR, value, 0) ** POWER
-
-
-def sentences(text: str | None) -> list[list[str]]:
-    """Words of each sentence in lower case; a sentence ends at a mark or a line's end, and is cut after SENTENCE_WORDS words."""
-    out, now = [], []
-    for word in (text or "").lower().replace("\n", "\n ").split(" "):
-        ends = word.endswith((".", "!", "?", "\n"))
-        word = word.strip()
-        if word:
-            now.append(word)
-        if now and (ends or len(now) == SENTENCE_WORDS):
-            out.append(now)
-            now = []
-    return out + [now] * bool(now)
+
+def parsed(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words, each place's word and sentence, and each sentence's text.
+
+    Words are parted by spaces and line ends and keep their letters and digits in lower case. A sentence ends at a mark or a
+    line's end and is cut after SENTENCE_WORDS words.
+    """
+    marked = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", "\n ")
+    split = pc.split_pattern(marked, " ")
+    counts = np.diff(split.offsets.to_numpy())
+    raw = split.flatten().dictionary_encode()
+    at = raw.indices.to_numpy()
+    empty = pc.equal(pc.utf8_trim_whitespace(raw.dictionary), "").to_numpy(zero_copy_only=False)[at]
+    stop = pc.match_substring_regex(raw.dictionary, r"[.!?\n]\z").to_numpy(zero_copy_only=False)[at]
+    plain = pc.replace_substring_regex(pc.utf8_lower(raw.dictionary), r"[^\p{L}\p{N}]+", "").dictionary_encode()
+    doc = np.repeat(np.arange(len(counts)), counts)
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = stop[:-1] | (doc[1:] != doc[:-1])
+    filled = np.cumsum(~empty)
+    head = np.flatnonzero(fresh)
+    base = np.repeat((filled - ~empty)[head], np.diff(np.append(head, len(at))))
+    run = np.maximum(filled - base - 1, 0) // SENTENCE_WORDS
+    fresh[1:] |= run[1:] != run[:-1]
+    return plain.dictionary.to_pylist(), plain.indices.to_numpy()[at], np.cumsum(fresh) - 1, doc[fresh]
 
 
 def pieces(unit: str) -> list[str]:
@@ -171,33 +180,47 @@ def platt(decision: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[
     return float(beta[0]), float(beta[1])
 
 
+def word_kernels(kernel: Kernel, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``near`` for words of any length: the kernel of a long word is the sum over its parts."""
+    if not any(len(w) > LONGEST for w in words):
+        return kernel.near(words)
+    parts = [pieces(w) for w in words]
+    owner = np.repeat(np.arange(len(words)), [len(p) for p in parts])
+    places, values = kernel.near([p for own in parts for p in own])
+    used, row = np.unique(owner[places], return_inverse=True)
+    sums = np.zeros((len(used), kernel.m), np.float32)
+    np.add.at(sums, row, values)
+    return used, sums
+
+
 def fit(texts: list[str], toxic: list[int], share: float) -> Model:
     """Fit on the sample; ``share`` is the share of toxic labels among all training labels."""
     y = np.array(toxic)
-    split = [[[p for u in units(s) for p in pieces(u)] for s in sentences(t)] or [[""]] for t in texts]
-    vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for doc in split for s in doc for w in s))}
-    words = list(vocabulary)
-    seen = np.zeros((len(words), 2))
-    for doc, label in zip(split, toxic):
-        seen[list({vocabulary[w] for s in doc for w in s}), label] += 1
+    words, word, sentence, doc_of = parsed(pa.array(texts, pa.large_string()))
+    in_doc = np.unique(doc_of[sentence] * len(words) + word)
+    seen = np.stack([np.bincount(in_doc[y[in_doc // len(words)] == c] % len(words), minlength=len(words)) for c in (0, 1)], 1)
     odds = np.log((seen[:, 1] + 0.5) / (y.sum() + 1)) - np.log((seen[:, 0] + 0.5) / ((1 - y).sum() + 1))
-    strength = odds * np.sqrt(seen[:, 1]) * (np.array([len(w) for w in words]) >= 3)
+    fits = np.array([3 <= len(w) <= LONGEST for w in words])
+    strength = odds * np.sqrt(seen[:, 1]) * fits
     landmarks = [words[i] for i in np.lexsort((words, -strength))[:LANDMARKS] if strength[i] > 0]
-    landmarks = landmarks or [w for w in words if len(w) >= 3][:LANDMARKS] or ["none"]
+    landmarks = landmarks or [w for w in words if 3 <= len(w) <= LONGEST][:LANDMARKS] or ["none"]
     kernel = Kernel(landmarks)
-    values, vectors = np.linalg.eigh(kernel.of(landmarks).astype(np.float64))
+    values, vectors = np.linalg.eigh(kernel.of(landmarks))
     keep = values > 1e-6 * max(values.max(), 1e-9)
     half = vectors[:, keep] / np.sqrt(values[keep])
-    known = kernel.of(words)
-    # Sentences of a document share one owner; only sentences near a landmark differ from the empty one.
-    owner, sums = [], []
-    for d, doc in enumerate(split):
-        rows = [known[list({vocabulary[w] for w in s})].sum(0) for s in doc]
-        rows = [r for r in rows if r.any()] or [np.zeros(kernel.m, np.float32)]
-        owner += [d] * len(rows)
-        sums += rows
-    owner, z = np.array(owner), np.array(sums, np.float64) @ half
-    first = np.searchsorted(owner, np.arange(len(split)))
+    known = word_kernels(kernel, words)
+    # Sentences without a word near a landmark are all alike; each document keeps one such.
+    place = np.full(len(words), -1)
+    place[known[0]] = np.arange(len(known[0]))
+    some = np.flatnonzero(place[word] >= 0)
+    pairs = np.unique(sentence[some] * len(words) + word[some])
+    used, row = np.unique(pairs // len(words), return_inverse=True)
+    sums = np.zeros((len(used) + len(texts), kernel.m))
+    np.add.at(sums, row, known[1][place[pairs % len(words)]])
+    owner = np.concatenate((doc_of[used], np.arange(len(texts))))
+    order = np.argsort(owner, kind="stable")
+    owner, z = owner[order], sums[order] @ half
+    first = np.searchsorted(owner, np.arange(len(texts)))
     decision = z @ (half.T @ np.ones(kernel.m))
     beta, bias = np.zeros(z.shape[1]), 0.0
     weight_of = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
@@ -205,7 +228,7 @@ def fit(texts: list[str], toxic: list[int], share: float) -> Model:
         best = first + np.array([int(np.argmax(part)) for part in np.split(decision, first[1:])])
         chosen = np.concatenate((best[y == 1], np.flatnonzero(y[owner] == 0)))
         label = np.where(y[owner[chosen]] == 1, 1.0, -1.0)
-        per_doc = np.bincount(owner[chosen], minlength=len(split))[owner[chosen]]
+        per_doc = np.bincount(owner[chosen], minlength=len(texts))[owner[chosen]]
         beta, bias = squared_hinge(z[chosen], label, weight_of[owner[chosen]] / per_doc)
         decision = z @ beta + bias
     top = np.maximum.reduceat(decision, first)
@@ -224,47 +247,22 @@ class Scorer:
             self.memo.clear()
         memo = self.memo
         new = [w for w in words if w not in memo]
-        parts = [pieces(u) for u in units(new)]
-        flat = [p for own in parts for p in own]
-        scores = self.kernel.of(flat).astype(np.float64) @ self.model.weights if flat else np.zeros(0)
-        ends = np.cumsum([len(p) for p in parts]) if parts else np.zeros(0, int)
-        for word, end, own in zip(new, ends.tolist(), parts):
-            memo[word] = float(scores[end - len(own):end].sum())
-        return np.array([memo[w] for w in words])
+        scores = np.zeros(len(new))
+        places, values = word_kernels(self.kernel, new)
+        scores[places] = values.astype(np.float64) @ self.model.weights
+        memo.update(zip(new, scores.tolist()))
+        return np.fromiter(map(memo.__getitem__, words), np.float64, len(words))
 
     def decisions(self, texts: pa.Array) -> np.ndarray:
-        """Each text's highest sentence."""
-        lowered = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-        # Line ends are marks of their own; other white space only parts words.
-        marked = pc.replace_substring_regex(lowered, r"[\t\r\v\f ]*\n\s*", "\n ")
-        split = pc.split_pattern(marked, " ")
-        counts = np.diff(split.offsets.to_numpy())
-        words = split.flatten().dictionary_encode()
-        raw = words.dictionary.to_pylist()
-        at = words.indices.to_numpy()
-        empty = np.array([not w.strip() for w in raw], bool) if raw else np.zeros(0, bool)
-        ends = np.array([w.endswith((".", "!", "?", "\n")) for w in raw], bool) if raw else np.zeros(0, bool)
-        scores = self.word_scores([w.strip() for w in raw]) if raw else np.zeros(0)
-        value = scores[at]
-        doc = np.repeat(np.arange(len(counts)), counts)
-        # A sentence's number: marks before it, then whole runs of SENTENCE_WORDS words since the mark.
-        stop = ends[at]
-        fresh = np.ones(len(at), bool)
-        fresh[1:] = stop[:-1] | (doc[1:] != doc[:-1])
-        filled = np.cumsum(~empty[at])
-        head = np.flatnonzero(fresh)
-        base = np.repeat((filled - ~empty[at])[head], np.diff(np.append(head, len(at))))
-        run = np.maximum(filled - base - 1, 0) // SENTENCE_WORDS
-        cut = fresh.copy()
-        cut[1:] |= run[1:] != run[:-1]
-        out = np.full(len(counts), self.model.bias)
-        if len(at):
-            # A word counts once in a sentence; words that score nothing can be left out.
-            sentence = np.cumsum(cut) - 1
-            some = np.flatnonzero(value)
-            pairs = np.unique(sentence[some] * len(raw) + at[some])
-            sums = np.bincount(pairs // len(raw), scores[pairs % len(raw)], sentence[-1] + 1)
-            np.maximum.at(out, doc[np.flatnonzero(cut)], sums + self.model.bias)
+        """Each text's highest sentence; a word counts once in a sentence."""
+        words, word, sentence, doc_of = parsed(texts)
+        out = np.full(len(texts), self.model.bias)
+        if len(word):
+            scores = self.word_scores(words)
+            some = np.flatnonzero(scores[word])
+            pairs = np.unique(sentence[some] * len(words) + word[some])
+            sums = np.bincount(pairs // len(words), scores[pairs % len(words)], len(doc_of))
+            np.maximum.at(out, doc_of, sums + self.model.bias)
         return out
 
 
