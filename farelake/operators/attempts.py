@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from farelake import schema as S
 from farelake.functions import outcomes, payload
 from farelake.functions.common import floor_div, format_duration
-from farelake.operators.scaling import latest, running_total
+from farelake.operators.scaling import join_on, latest, running_total
 
 
 def classify_exchanges(exchanges: DataFrame) -> DataFrame:
@@ -105,7 +105,7 @@ def progress_steps(done: DataFrame, run: str, seq: str, ts: str, step_pct: int =
     elapsed = F.timestamp_diff("MICROSECOND", F.col("started"), F.col(ts)) / 1e6
     speed = F.when(F.col("elapsed_s") > 0, F.col("done") / F.col("elapsed_s"))
     return (
-        reports.join(placed, [run, "done"])
+        join_on(reports, placed, [run, "done"])
         .withColumn("pct", pct(F.col("done")))
         .withColumn("elapsed_s", elapsed)
         .withColumn("rate", speed)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelake import schema as S
-from farelake.operators.scaling import percentiles
+from farelake.operators.scaling import join_on, percentiles
 
 SNAPSHOT = ("snapshot_date",)
 ITINERARY = S.PK
@@ -37,8 +37,12 @@ def bad_offer() -> Column:
 
 
 def offer_facts(offers: DataFrame) -> DataFrame:
-    """Clean offers with calendar fields; a copy of an arrival already seen counts once."""
-    once = offers.filter(~bad_offer()).dropDuplicates([*ITINERARY, "snapshot_date", "seq"])
+    """Clean offers with calendar fields; a copy of an offer already seen counts once.
+
+    An offer is told from the others of its search by ``offer_pos`` and ``currency``, where there are such columns.
+    """
+    own = [c for c in ("offer_pos", "currency") if c in offers.columns]
+    once = offers.filter(~bad_offer()).dropDuplicates([*ITINERARY, "snapshot_date", "seq", *own])
     dated = once.withColumn("dep_day", F.to_date("dep_date"))
     return (
         dated.withColumn("lead_days", F.datediff("dep_day", "snapshot_date"))
@@ -52,8 +56,11 @@ def quarantined_offers(offers: DataFrame) -> DataFrame:
 
 
 def cheapest_snapshot(offers: DataFrame) -> DataFrame:
-    """Lowest offer per itinerary and snapshot day; the earlier arrival wins a tie."""
-    best = F.min(F.struct("price", "seq", "primary_airline_name"))
+    """Lowest offer per itinerary and snapshot day; the earlier arrival wins a tie.
+
+    Offers without a price count, and never win; a day with no price at all has a NULL one.
+    """
+    best = F.min(F.when(F.col("price").isNotNull(), F.struct("price", "seq", "primary_airline_name")))
     return (
         offers.groupBy(*ITINERARY, *SNAPSHOT)
         .agg(best.alias("_b"), F.count(F.lit(1)).alias("n_offers"))
@@ -85,7 +92,7 @@ def route_comparison(offers: DataFrame) -> DataFrame:
     )
     middle = percentiles(offers, keys, "price", {"median_price": 0.5})
     by_mean = Window.partitionBy("flight_type").orderBy("mean_price")
-    return summary.join(middle, keys).withColumn("rank", F.rank().over(by_mean))
+    return join_on(summary, middle, keys).drop("_n").withColumn("rank", F.rank().over(by_mean))
 
 
 def route_rollup(offers: DataFrame) -> DataFrame:
@@ -104,7 +111,10 @@ def seasonal(facts: DataFrame) -> DataFrame:
 
 def lead_bucket(lead_days: Column | str) -> Column:
     days = F.col(lead_days) if isinstance(lead_days, str) else lead_days
-    return F.when(days <= 30, "0-30").when(days <= 60, "31-60").when(days <= 90, "61-90").otherwise("91+")
+    return (
+        F.when(days < 0, "past").when(days <= 30, "0-30").when(days <= 60, "31-60").when(days <= 90, "61-90")
+        .when(days > 90, "91+").otherwise("unknown")
+    )
 
 
 def booking_window(facts: DataFrame) -> DataFrame:

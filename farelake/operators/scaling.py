@@ -8,12 +8,12 @@ ranking, counts per value instead of a list of values.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Spark trims rankings up to this rank before the shuffle (WindowGroupLimit); above it we salt.
-MAP_SIDE_RANK = 1000
 ROWS_PER_BLOCK = 65536
 BEFORE = (Window.unboundedPreceding, -1)
 UP_TO = (Window.unboundedPreceding, Window.currentRow)
@@ -26,7 +26,7 @@ def running_totals(
 
     ``block`` is an integer that grows with ``order`` and keeps each (keys, block) group small, such as
     ``floor_div(position, ROWS_PER_BLOCK)``. One row per block is scanned per key; the rows themselves only
-    need a window inside their block. ``keys`` must not be NULL.
+    need a window inside their block. NULL is a key like any other.
     """
     keys, names = list(keys), list(sums)
     values = {f"_v{i}": sums[name] for i, name in enumerate(names)}
@@ -37,7 +37,7 @@ def running_totals(
     in_block = Window.partitionBy(*keys, "_blk").orderBy(*order).rowsBetween(*UP_TO)
     inside = rows.withColumns({v: F.sum(v).over(in_block) for v in values})
     total = lambda v: F.coalesce(f"{v}_before", F.lit(0)) + F.coalesce(v, F.lit(0))
-    return inside.join(offsets, [*keys, "_blk"]).select(
+    return join_on(inside, offsets, [*keys, "_blk"]).select(
         *df.columns, *[total(v).alias(name) for v, name in zip(values, names)]
     )
 
@@ -54,24 +54,41 @@ def top_n(
 ) -> DataFrame:
     """The first ``n`` rows of each key in ``order``.
 
-    Up to MAP_SIDE_RANK Spark itself keeps only ``n`` rows per key and map task. Beyond, each key is
-    ranked within salts first, so that the last step sees at most ``n * salts`` rows of a key.
+    One plan for every ``n``: rows are ranked within salts of each key first, so the last step sees at most
+    ``n * salts`` rows of a key. The salt hashes the columns that can be hashed.
     """
     if n <= 0:
         return df.limit(0)
-    ranked = df
-    if n > MAP_SIDE_RANK:
-        ranked = ranked.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-        by_salt = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        ranked = ranked.withColumn("_rn", F.row_number().over(by_salt)).filter(F.col("_rn") <= n)
-        ranked = ranked.drop("_rn", "_salt")
+    plain = [f.name for f in df.schema if not _unhashable(f.dataType)]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.lit(0), *[F.col(f"`{c}`") for c in plain]), F.lit(salts)))
+    return _ranked(_ranked(salted, [*keys, "_salt"], order, n).drop("_salt"), keys, order, n)
+
+
+def _unhashable(kind: T.DataType) -> bool:
+    """Maps and variants, also inside other types."""
+    if isinstance(kind, T.ArrayType):
+        return _unhashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_unhashable(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType | T.VariantType)
+
+
+def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:
     by_key = Window.partitionBy(*keys).orderBy(*order)
-    return ranked.withColumn("_rn", F.row_number().over(by_key)).filter(F.col("_rn") <= n).drop("_rn")
+    return df.withColumn("_rn", F.row_number().over(by_key)).filter(F.col("_rn") <= n).drop("_rn")
+
+
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, where NULL equals NULL; the keys come from ``left``."""
+    other = {k: f"_other_{k}" for k in keys}
+    same = [F.col(k).eqNullSafe(F.col(o)) for k, o in other.items()]
+    condition = reduce(lambda a, b: a & b, same) if same else F.lit(True)
+    return left.join(right.withColumnsRenamed(other), condition, how).drop(*other.values())
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The whole last row of each key in ``order``; one row per key and map task is shuffled."""
-    return top_n(df, keys, [F.col(c).desc() for c in order], 1)
+    return _ranked(df, keys, [F.col(c).desc() for c in order], 1)
 
 
 def order_statistics(
@@ -88,7 +105,7 @@ def order_statistics(
     block = F.floor(F.col(value) / F.lit(block_width))
     scanned = running_total(counts, keys, block, [value], F.col("_cnt"), "_upto")
     totals = df.groupBy(*keys).agg(F.count(value).alias("_n"))
-    hits = scanned.join(totals, keys, "right")
+    hits = join_on(totals, scanned, keys, "left")
     picks = [
         F.max(F.when((rank <= F.col("_upto")) & (rank > F.col("_upto") - F.col("_cnt")), F.col(value))).alias(name)
         for name, rank in ranks.items()

@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from farelake import schema as S
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -17,6 +19,9 @@ TABLES = (
 
 VIEWS: dict[str, str] = {}
 
+# One of the destinations by user.
+DESTINATION = "CASE cast(user_id % 15 AS int) " + " ".join(f"WHEN {i} THEN '{d}'" for i, d in enumerate(S.DESTINATIONS)) + " END"
+
 VIEWS["fx_attempts"] = """
 SELECT seq, CASE WHEN dir = 0 THEN concat('SIN|', d) ELSE concat(d, '|SIN') END AS route,
        cast(dep AS string) AS dep_date,
@@ -32,14 +37,14 @@ SELECT seq, CASE WHEN dir = 0 THEN concat('SIN|', d) ELSE concat(d, '|SIN') END
        cast(CASE WHEN ok = 1 THEN 1 + seq % 3 ELSE 3 * (1 + seq % 4) END AS int) AS retries,
        ok AS success, ts AS searched_at
 FROM (SELECT event_id AS seq, ts, event_type,
-             substr('KULCGKBKKHKTDPSMNLSGNHANNRTKIXHNDPVGPEKICNPUS', cast(3 * (user_id % 15) + 1 AS int), 3) AS d,
+             {DESTINATION} AS d,
              cast(floor(user_id / 15) AS bigint) % 2 AS dir,
              CASE WHEN event_id % 4 = 0 THEN 1 ELSE 0 END AS rt,
              cast(ts AS date) + cast(user_id % 7 AS int) AS dep,
              cast(round(value * 100) AS bigint) AS cents,
              CASE WHEN event_type IN ('click', 'purchase') THEN 1 ELSE 0 END AS ok
       FROM events) x
-"""
+""".replace("{DESTINATION}", DESTINATION)
 
 VIEWS["fx_attempt_log"] = """
 SELECT seq, route, dep_date, return_date, flight_type,
@@ -174,9 +179,8 @@ SELECT o_orderkey AS task_id,
 # Codes as they come in, with aliases, an extra and unknown ones; the code table comes from the log.
 VIEWS["fx_codes"] = """
 SELECT event_id, CASE event_id % 11 WHEN 0 THEN 'OKA' WHEN 1 THEN 'YIC' WHEN 2 THEN 'XXX' WHEN 3 THEN 'NAH'
-                 ELSE substr('KULCGKBKKHKTDPSMNLSGNHANNRTKIXHNDPVGPEKICNPUS',
-                             cast(3 * (user_id % 15) + 1 AS int), 3) END AS code FROM events
-"""
+                 ELSE {DESTINATION} END AS code FROM events
+""".replace("{DESTINATION}", DESTINATION)
 
 # Exchanges with a payload, a block page, a long body without payload or a transport failure.
 VIEWS["fx_exchanges"] = """

@@ -15,7 +15,7 @@ BAD = "(try_cast(dep_date AS date) IS NULL OR coalesce(price <= 0, true))"
 FACTS = f"""(SELECT *, cast(dep_date AS date) AS dep_day, (cast(dep_date AS date) - snapshot_date)::INT AS lead_days,
  month(cast(dep_date AS date))::INT AS dep_month, (isodow(cast(dep_date AS date)) - 1)::INT AS dep_weekday
  FROM fx_offers WHERE NOT {BAD})"""
-CHEAPEST = f"""(SELECT {PK}, snapshot_date, min(price) AS price, arg_min(primary_airline_name, (price, seq)) AS airline,
+CHEAPEST = f"""(SELECT {PK}, snapshot_date, min(price) AS price, arg_min(primary_airline_name, (price, seq)) FILTER (WHERE price IS NOT NULL) AS airline,
  count(*) AS n_offers FROM fx_offers GROUP BY {PK}, snapshot_date)"""
 OVER = f"PARTITION BY {PK} ORDER BY snapshot_date"
 
@@ -74,8 +74,8 @@ def seasonal(spark, sf):
 
 @query("booking_window", f"""
 SELECT route, bucket, n_offers, mean_price, mean_price / (cast(sum(total) OVER (PARTITION BY route) AS double)
- / sum(n_offers) OVER (PARTITION BY route)) AS price_index FROM (SELECT route, CASE WHEN lead_days <= 30 THEN '0-30'
- WHEN lead_days <= 60 THEN '31-60' WHEN lead_days <= 90 THEN '61-90' ELSE '91+' END AS bucket, count(*) AS n_offers,
+ / sum(n_offers) OVER (PARTITION BY route)) AS price_index FROM (SELECT route, CASE WHEN lead_days < 0 THEN 'past' WHEN lead_days <= 30 THEN '0-30'
+ WHEN lead_days <= 60 THEN '31-60' WHEN lead_days <= 90 THEN '61-90' WHEN lead_days > 90 THEN '91+' ELSE 'unknown' END AS bucket, count(*) AS n_offers,
  {MONEY} AS total, {MEAN} AS mean_price FROM {FACTS} x GROUP BY 1, 2) y""")
 def booking_window(spark, sf):
     return gold.booking_window(facts(spark, sf))

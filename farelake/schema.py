@@ -24,7 +24,7 @@ BLOCK_MARKERS = ("captcha", "unusual traffic", "attention required", "access den
 STUB_BODY_CHARS = 1024
 
 AIRPORT_ALIASES = {"OKA": "NAH"}
-EXTRA_AIRPORTS = {"YIC": "Yichun Mingyueshan Airport"}
+EXTRA_AIRPORTS = ("YIC",)
 
 CYCLE_ANCHOR = "2026-08-18"
 CYCLE_WINDOWS = (270, 30, 60, 90)

@@ -117,3 +117,28 @@ def test_stale(table, data):
     for r in gold.stale_age(table, "2024-02-01").collect():
         last = max(x[5] for x in data if x[1] == r.route)
         assert r.age_days == (date(2024, 2, 1) - last).days
+
+
+def test_a_missing_price_never_wins(spark):
+    key = ("SIN|KUL", "2026-08-01", "", "ONE_WAY")
+    schema = "route string, dep_date string, return_date string, flight_type string, snapshot_date string, seq long, price double, primary_airline_name string"
+    rows = [(*key, "2026-07-01", 1, None, "N"), (*key, "2026-07-01", 2, 100.0, "A"), (*key, "2026-07-01", 3, 90.0, "B"), (*key, "2026-07-02", 4, None, "N")]
+    df = spark.createDataFrame(rows, schema).withColumn("snapshot_date", F.to_date("snapshot_date"))
+    got = {str(r.snapshot_date): (r.price, r.airline, r.n_offers) for r in gold.cheapest_snapshot(df).collect()}
+    assert got == {"2026-07-01": (90.0, "B", 3), "2026-07-02": (None, None, 1)}
+
+
+def test_offers_of_one_search_and_null_routes_stay(spark):
+    key = ("SIN|KUL", "2026-08-01", "", "ONE_WAY", "2026-07-01", 1)
+    schema = "route string, dep_date string, return_date string, flight_type string, snapshot_date string, seq long, price double, offer_pos int"
+    rows = [(*key, 100.0, 0), (*key, 90.0, 1), (*key, 90.0, 1), (None, *key[1:], 70.0, 0)]
+    df = spark.createDataFrame(rows, schema).withColumn("snapshot_date", F.to_date("snapshot_date"))
+    assert gold.offer_facts(df).count() == 3
+    got = {r.route: (r.n_offers, r.median_price) for r in gold.route_comparison(df).collect()}
+    assert got == {"SIN|KUL": (3, 90.0), None: (1, 70.0)}
+
+
+def test_lead_buckets(spark):
+    df = spark.createDataFrame([(d,) for d in (-1, 0, 30, 31, 90, 91, None)], "d int")
+    got = [r.b for r in df.select(gold.lead_bucket("d").alias("b")).collect()]
+    assert got == ["past", "0-30", "0-30", "31-60", "61-90", "91+", "unknown"]

@@ -1,5 +1,4 @@
 import random
-from collections import deque
 from datetime import datetime, timedelta
 
 import pytest
@@ -13,23 +12,21 @@ SCHEMA = "source string, ts timestamp_ntz, id long, is_429 boolean"
 
 
 def replay(reports, max_rate, min_rate):
-    """One report at a time, as a limiter would see them."""
-    state, out = {}, []
-    for source, ts, i, is_429 in sorted(reports, key=lambda r: (r[1], r[2])):
-        now = (ts - T0).total_seconds()
-        s = state.setdefault(source, {"rate": max_rate, "times": deque()})
-        old = s["rate"]
-        if is_429:
-            s["times"].append(now)
-        horizon = 30 if is_429 else 60
-        while s["times"] and s["times"][0] < now - horizon:
-            s["times"].popleft()
-        if is_429 and len(s["times"]) > 30 * old * 0.2:
-            s["rate"] = max(min_rate, old * 0.5)
-        elif not is_429 and not s["times"]:
-            s["rate"] = min(max_rate, old * 2.0)
-        if s["rate"] != old:
-            out.append((source, i, old, s["rate"]))
+    """Changes of every source's budget, from counts over the 429s up to each report."""
+    out = []
+    for source in sorted({r[0] for r in reports}):
+        own = [((ts - T0).total_seconds(), i, hit) for _, ts, i, hit in sorted((r for r in reports if r[0] == source), key=lambda r: r[1:3])]
+        budget, hits = max_rate, []
+        for at, i, hit in own:
+            hits += [at] * hit
+            recent = lambda seconds: sum(t >= at - seconds for t in hits)  # noqa: B023, E731
+            if hit:
+                new = max(min_rate, budget / 2) if recent(30) > 6 * budget else budget
+            else:
+                new = budget if recent(60) else min(max_rate, budget * 2)
+            if new != budget:
+                out.append((source, i, budget, new))
+            budget = new
     return sorted(out)
 
 

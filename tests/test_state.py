@@ -53,7 +53,7 @@ def test_normalise_and_quarantine(spark):
     ]
     assert st.accepted(st.normalise_outcome(df)).count() == 3
     assert st.quarantined(st.normalise_outcome(df)).count() == 1
-    with pytest.raises(PySparkException, match="failed result must carry an error_type"):
+    with pytest.raises(PySparkException, match="needs a reason in error_type"):
         st.accepted(st.normalise_outcome(df), strict=True).collect()
 
 
