@@ -37,6 +37,8 @@ RIDGE = 1e-3
 FEATURES = 1 << 16
 LONGEST = 32
 MEMO_WORDS = 400_000
+#: Bytes of sample text parsed at a time while fitting.
+FIT_CHARS = 1 << 18
 
 GAPS = [(a, b) for b in range(2, REACH + 1) for a in range(1, b)]
 
@@ -196,30 +198,46 @@ def word_kernels(kernel: Kernel, words: list[str]) -> tuple[np.ndarray, np.ndarr
 def fit(texts: list[str], toxic: list[int], share: float) -> Model:
     """Fit on the sample; ``share`` is the share of toxic labels among all training labels."""
     y = np.array(toxic)
-    words, word, sentence, doc_of = parsed(pa.array(texts, pa.large_string()))
-    in_doc = np.unique(doc_of[sentence] * len(words) + word)
-    seen = np.stack([np.bincount(in_doc[y[in_doc // len(words)] == c] % len(words), minlength=len(words)) for c in (0, 1)], 1)
+    # One run of texts at a time: only counts of words, and sentences near a landmark, outlive it.
+    whole = pa.RecordBatch.from_arrays([pa.array(np.arange(len(texts))), pa.array(texts, pa.large_string())], names=["at", "text"])
+    place: dict[str, int] = {}
+    seen = np.zeros((0, 2), np.int64)
+    for part in slices(whole, chars=FIT_CHARS):
+        words, word, sentence, doc_of = parsed(part.column(1))
+        in_doc = np.unique(doc_of[sentence] * len(words) + word)
+        held = y[part.column(0).to_numpy()[in_doc // len(words)]] if len(words) else y[:0]
+        at = np.array([place.setdefault(w, len(place)) for w in words], np.int64)
+        seen = np.concatenate((seen, np.zeros((len(place) - len(seen), 2), np.int64)))
+        for c in (0, 1):
+            seen[at, c] += np.bincount(in_doc[held == c] % len(words), minlength=len(words)) if len(words) else 0
+    words = list(place)
     odds = np.log((seen[:, 1] + 0.5) / (y.sum() + 1)) - np.log((seen[:, 0] + 0.5) / ((1 - y).sum() + 1))
-    fits = np.array([3 <= len(w) <= LONGEST for w in words])
+    fits = np.array([3 <= len(w) <= LONGEST for w in words], bool)
     strength = odds * np.sqrt(seen[:, 1]) * fits
-    landmarks = [words[i] for i in np.lexsort((words, -strength))[:LANDMARKS] if strength[i] > 0]
-    landmarks = landmarks or [w for w in words if 3 <= len(w) <= LONGEST][:LANDMARKS] or ["none"]
+    landmarks = [words[i] for i in np.lexsort((np.array(words, object), -strength))[:LANDMARKS] if strength[i] > 0]
+    landmarks = landmarks or sorted(w for w in words if 3 <= len(w) <= LONGEST)[:LANDMARKS] or ["none"]
     kernel = Kernel(landmarks)
     values, vectors = np.linalg.eigh(kernel.of(landmarks))
     keep = values > 1e-6 * max(values.max(), 1e-9)
     half = vectors[:, keep] / np.sqrt(values[keep])
-    known = word_kernels(kernel, words)
     # Sentences without a word near a landmark are all alike; each document keeps one such.
-    place = np.full(len(words), -1)
-    place[known[0]] = np.arange(len(known[0]))
-    some = np.flatnonzero(place[word] >= 0)
-    pairs = np.unique(sentence[some] * len(words) + word[some])
-    used, row = np.unique(pairs // len(words), return_inverse=True)
-    sums = np.zeros((len(used) + len(texts), kernel.m))
-    np.add.at(sums, row, known[1][place[pairs % len(words)]])
-    owner = np.concatenate((doc_of[used], np.arange(len(texts))))
+    owners, spans = [np.arange(len(texts))], [np.zeros((len(texts), half.shape[1]))]
+    for part in slices(whole, chars=FIT_CHARS):
+        words, word, sentence, doc_of = parsed(part.column(1))
+        places, values = word_kernels(kernel, words)
+        row_of = np.full(len(words), -1)
+        row_of[places] = np.arange(len(places))
+        some = np.flatnonzero(row_of[word] >= 0)
+        pairs = np.unique(sentence[some] * len(words) + word[some])
+        used, row = np.unique(pairs // max(len(words), 1), return_inverse=True)
+        sums = np.zeros((len(used), kernel.m))
+        np.add.at(sums, row, values[row_of[pairs % max(len(words), 1)]])
+        owners.append(part.column(0).to_numpy()[doc_of[used]])
+        spans.append(sums @ half)
+    owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
-    owner, z = owner[order], sums[order] @ half
+    owner, z = owner[order], np.concatenate(spans)[order]
+    del spans
     first = np.searchsorted(owner, np.arange(len(texts)))
     decision = z @ (half.T @ np.ones(kernel.m))
     beta, bias = np.zeros(z.shape[1]), 0.0
