@@ -72,6 +72,16 @@ def record_unexpected(rejected: DataFrame, round_no: int = 0) -> DataFrame:
     )
 
 
+def settled(normalised: DataFrame) -> DataFrame:
+    """Normalised outcomes with their round; one that cannot be stored becomes a failure of class other, in the same pass."""
+    bad = F.col("violation")
+    return normalised.withColumns({
+        "flights": F.when(~bad, F.col("flights")),
+        "error_type": F.when(bad, "other").otherwise(F.col("error_type")),
+        "retries": F.when(bad, (F.col("round") + 1) * S.ATTEMPTS_PER_ROUND).otherwise(F.col("retries")),
+    }).drop("violation")
+
+
 def final_state(log: DataFrame, keys: Sequence[str] = S.PK) -> DataFrame:
     """The outcome of the last round of each key."""
     return latest(fold_attempts(log, keys), keys, ["round"]).drop("round")

@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 
 from farelake import schema as S
 from farelake.operators import state as st
-from farelake.operators.attempts import final_state
+from farelake.operators.attempts import fold_attempts, settled
 from farelake.operators.scaling import latest
 from farelake.operators.tasks import build_tasks
 from farelake.sources import bronze, silver, statetable
 
 
 def search(runs: DataFrame, attempts: DataFrame, state: DataFrame | None = None) -> DataFrame:
-    """State after a run: old placeholders purged, the grid seeded, outcomes of the attempts stored.
+    """State after a run: old placeholders purged, the grid seeded, outcomes of the attempts stored, unfit ones as class other.
 
     ``runs`` has start_date, effective_end and as_of; ``attempts`` is the log of captured attempts.
     """
     seeds = build_tasks(runs).select(*S.SEED_COLUMNS).withColumns({"retries": F.lit(0), "success": F.lit(0)})
-    outcomes = st.accepted(st.normalise_outcome(final_state(attempts))).withColumns({
+    last_round = latest(fold_attempts(attempts), S.PK, ["round"])
+    outcomes = settled(st.normalise_outcome(last_round)).drop("round").withColumns({
         "origin": F.substring_index("route", "|", 1), "destination": F.substring_index("route", "|", -1),
     })
     layers = [seeds, outcomes] if state is None else [seeds, st.purge_seeds(state), outcomes]
@@ -37,6 +38,12 @@ def convert(spark: SparkSession, state_path: str, bundle_path: str) -> bool:
     return bronze.export_bronze(st.check_state(statetable.read_state(spark, state_path)), bundle_path)
 
 
-def transform(spark: SparkSession, bundle_path: str | list[str], silver_path: str) -> int:
-    """Bundles to silver; returns the rows written."""
-    return silver.write_silver(bronze.read_bronze(spark, bundle_path), silver_path)
+def transform(spark: SparkSession, bundle_path: str | list[str], silver_path: str, quarantine_path: str | None = None) -> int:
+    """Bundles to silver; returns the rows written.
+
+    Broken lines go as they are to ``quarantine_path``, by default beside silver; without any it is an empty table.
+    """
+    lines = bronze.read_bronze(spark, bundle_path)
+    aside = quarantine_path or f"{silver_path.rstrip('/')}_quarantine"
+    lines.filter(F.col(bronze.CORRUPT).isNotNull()).write.mode("append").parquet(aside)
+    return silver.write_silver(lines.filter(F.col(bronze.CORRUPT).isNull()).drop(bronze.CORRUPT), silver_path)

@@ -104,6 +104,8 @@ ENDPOINT_DEFAULTS = {
 SNAPSHOT = T.StructType([
     T.StructField("cached_at", T.DoubleType()),
     T.StructField("proxies", T.ArrayType(ENDPOINT)),
+    # Endpoints of the whole pool, where it is spread over several objects.
+    T.StructField("pool_size", T.LongType()),
 ])
 
 # Fixed values of the endpoint pool and the rate budget.

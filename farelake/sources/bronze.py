@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,11 +28,17 @@ def read_bronze(
 def bronze_lines(state: DataFrame) -> DataFrame:
     """One JSON text per successful row, with the eight bundle fields in order.
 
-    Offers pass through as parsed JSON, so fields no schema knows are kept, and unreadable text fails.
+    Offers keep their stored text: order of keys, spelling of numbers and fields no schema knows. Only line ends in it,
+    which JSON allows between values alone, become spaces. Text that is no JSON makes a line that readers report as broken.
     Times are written with all their digits.
     """
-    fields = {c: F.col(c).cast("string") for c in S.BRONZE_COLUMNS} | {"flights": F.parse_json("flights")}
-    line = F.to_json(F.struct(*[f.alias(c) for c, f in fields.items()]), {"ignoreNullFields": "false"})
+    def member(name: str) -> Column:
+        if name == "flights":
+            return F.concat(F.lit('"flights":'), F.coalesce(F.regexp_replace(name, r"[\r\n]", " "), F.lit("null")))
+        one = F.to_json(F.struct(F.col(name).cast("string").alias(name)), {"ignoreNullFields": "false"})
+        return F.substring(one, F.lit(2), F.length(one) - 2)
+
+    line = F.concat(F.lit("{"), F.concat_ws(",", *[member(c) for c in S.BRONZE_COLUMNS]), F.lit("}"))
     return successful_raw(state).select(line.alias("value"))
 
 

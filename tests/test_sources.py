@@ -188,3 +188,25 @@ def test_registry(spark, rows):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert work_path(spark, "x").startswith(shared_root(spark)) and work_path(spark, "x") != work_path(spark, "x")
+
+
+def test_a_spread_pool_is_refused_as_a_whole(spark, tmp_path):
+    rows = [(1.0, f"http://10.0.0.{i}:80" if i else None) for i in range(20)]
+    df = spark.createDataFrame(rows, "cached_at double, url string").select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in S.ENDPOINT if f.name != "url"]
+    )
+    for size in (5, 100):
+        path = str(tmp_path / f"pools{size}")
+        snapshots.write_snapshots(df, path, rows_per_file=size)
+        assert snapshots.read_snapshots(spark, path).count() == 0
+        snapshots.write_snapshots(df.filter("url IS NOT NULL"), path, rows_per_file=size)
+        assert snapshots.read_snapshots(spark, path).count() == 19
+
+
+def test_broken_lines_stay_out_of_silver(spark, tmp_path):
+    good = '{"route": "A|B", "dep_date": "2024-01-01", "flights": [{"price": 1.50, "a": 1}]}'
+    (tmp_path / "search_9.jsonl").write_text(good + "\n{broken\n")
+    out = str(tmp_path / "silver")
+    assert lifecycle.transform(spark, str(tmp_path / "search_9.jsonl"), out) == 1
+    assert bronze.CORRUPT not in spark.read.parquet(out).columns
+    assert [r[bronze.CORRUPT] for r in spark.read.parquet(out + "_quarantine").collect()] == ["{broken"]
