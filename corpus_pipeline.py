@@ -29,8 +29,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that an earlier document or line has; n_chars is that of the text left."""
-    kept = linededup.dedup_lines(docs)
+    """All documents, without lines that an earlier document or line has; n_chars is that of the text left.
+
+    Two edits at most: documents of one long line are told apart here and compared as wholes in the next stage.
+    """
+    kept = linededup.dedup_lines(docs, most=2)
     return kept.select(*[
         F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns
     ])

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -101,6 +102,39 @@ def test_edit_distance_and_line_dedup(spark):
     assert linededup.dedup_lines(docs_of(spark, [])).count() == 0
 
 
+def test_near_lines_by_length(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghé") for _ in range(rng.randrange(1, 9))) for _ in range(300)]
+    pool = []
+    for size in (40, 59, 60, 80, 130, 200, 240):
+        spaced = " ".join(rng.choice(words) for _ in range(size))[:size - 1] + "z"
+        for base in (spaced, spaced.replace(" ", "x"), "ab " * (size // 3)):
+            base = base.strip()
+            # Runs of edits, and edits spread evenly, which leave the shortest runs between them.
+            for edits in {0, 1, size // 20 - 1, size // 20, size // 20 + 1, size // 10}:
+                line, even = list(base), list(base)
+                for i in range(edits):
+                    at = rng.randrange(len(line) - 1)
+                    line[at:at + 1] = rng.choice([[], ["q"], ["q", line[at]]])
+                    even[min(len(even) - 2, (2 * i + 1) * len(base) // (2 * edits))] = "w"
+                pool += ["".join(line).strip(), "".join(even).strip()]
+    pool = [x for x in pool if len(x) >= 40]
+    docs = list(enumerate(pool))
+    counts = {x: Counter(x) for x in pool}
+
+    def near(a, b):
+        edits = max(len(a), len(b)) // 20
+        return (counts[a] - counts[b]).total() <= edits >= (counts[b] - counts[a]).total() and distance(a, b) <= edits
+
+    of = classes(sorted(set(pool)), near)
+    got = {r.doc_id: r.n_removed for r in linededup.dedup_lines(docs_of(spark, docs)).collect()}
+    seen = set()
+    for d, x in docs:
+        assert got[d] == (of[x] in seen), (d, len(x), x[:80])
+        seen.add(of[x])
+    assert len(seen) < len(set(pool)) / 2
+
+
 def test_licenses_match_sql(spark):
     mit = "The MIT Licence (MIT)\n\nCopyright (c) 2019 Some One\n\n" + licenses.MIT.replace(",", " ,")
     rows = [(1, mit), (2, "Some words.\nreleased under THE MIT LICENCE!\nmore"), (3, "Licensed under CC BY-NC 4.0 or not"), (1, mit), *ODD]
