@@ -135,6 +135,12 @@ def test_near_lines_by_length(spark):
     assert len(seen) < len(set(pool)) / 2
 
 
+def test_short_lines(spark):
+    texts = ["All rights reserved.\nno\n\n\t", "no\nAll rights reserved\n \n\t", "on\nno\n\nThe same 18 signs.", "The same 18 signs!\non", "The same 18 signs."]
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(docs_of(spark, list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(5)] == [texts[0], " \n\t", "on\n\nThe same 18 signs.", "The same 18 signs!", ""]
+
+
 def test_licenses_match_sql(spark):
     mit = "The MIT Licence (MIT)\n\nCopyright (c) 2019 Some One\n\n" + licenses.MIT.replace(",", " ,")
     rows = [(1, mit), (2, "Some words.\nreleased under THE MIT LICENCE!\nmore"), (3, "Licensed under CC BY-NC 4.0 or not"), (1, mit), *ODD]
