@@ -39,6 +39,18 @@ def test_sharding(spark):
     assert sharding.shard_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_sharding_keeps_small_groups(spark):
+    texts = {i: "hot" if i % 3 == 0 else f"text {i * 7919 % 1000}" for i in range(6000)}
+    got = sharding.shard_documents(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    sizes, where = {}, {}
+    for r in got:
+        sizes[r.shard] = sizes.get(r.shard, 0) + 1
+        where.setdefault(texts[r.doc_id], set()).add(r.shard)
+    assert len(got) == 6000 and sorted(sizes) == list(range(16)) and set(sizes.values()) == {375}
+    # A cut separates one group at most.
+    assert sum(len(s) > 1 for t, s in where.items() if t != "hot") <= 15
+
+
 def test_components(spark):
     rng = random.Random(8)
     pairs = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(i, i + 1) for i in range(100, 140)] + [(200, i) for i in range(201, 260)]
