@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelake.llm import bitslices, decontamination, jaccard, licenses, linededup, packing, sharding, tokencounts, toxicity, warc
+from farelake.llm import (
+    bitslices, decontamination, jaccard, licenses, linededup, packing, quality, sharding, spelling, tokencounts, toxicity, tries, warc,
+)
 from farelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +88,18 @@ def archived(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(report, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "offset"
     )
+
+
+@query("op11_quality")
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assessed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_spelling_variants", spelling.variants_sql())
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_prefix_trie", tries.trie_sql())
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.prefix_trie(table(spark, sf_dir, "conversations"))
