@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from farelake import schema as S
 from farelake.operators import state as st
 from farelake.plans import lifecycle
+from farelake.plans.crc import CRC_TABLE_SQL, crc32_sql
 from farelake.plans.fixtures import fx
 from farelake.plans.providers import Provider, ProviderRegistry, captured, collect
 from farelake.plans.q_endpoints import MEDIAN, QUALITY, quality_score
@@ -116,17 +117,47 @@ def publish_manifest(spark, sf):
     return files.groupBy(folder.alias("folder")).agg((F.sum("length") > 0).alias("filled"))
 
 
+LATE = "searched_at >= TIMESTAMP '2024-01-15'"
+
+
 @query("state_write_read", f"SELECT seq, {COLUMNS} FROM {LATEST} l")
 def state_write_read(spark, sf):
     """Two versions: the second is made from the first and a later part of the log."""
     path = work_path(spark, "state")
     log = fx(spark, sf, "fx_attempts")
-    late = F.col("searched_at") >= F.lit("2024-01-15").cast("timestamp_ntz")
-    statetable.write_state(st.upsert_latest(log.filter(~late)), path, "first half")
-    statetable.write_state(st.upsert_latest(log.filter(late), statetable.read_state(spark, path)), path, "all")
+    statetable.write_state(st.upsert_latest(log.filter(f"NOT {LATE}")), path, "first half")
+    statetable.upsert_state(log.filter(LATE), path, "all")
     return statetable.read_state(spark, path).select("seq", *S.STATE_COLUMNS)
 
 
+STATE_BUCKETS = 16
+# What is written after the first half of the log: one route, then a few failures, then a row older than all.
+UPSERTS = {2: f"{LATE} AND route = 'SIN|KUL' AND dep_date < '2024-01-20'",
+           3: f"{LATE} AND error_type = 'other' AND route LIKE '%P%' AND dep_date > '2024-01-27'",
+           4: "seq = 0"}
+
+
+@query("state_buckets", f"""
+SELECT bucket, max(version) AS version, count(*) FILTER (WHERE rn = 1) AS n, (sum(seq) FILTER (WHERE rn = 1))::BIGINT AS seqs FROM (
+ SELECT bucket, version, seq, row_number() OVER (PARTITION BY {PK} ORDER BY seq DESC) AS rn FROM (
+  WITH {CRC_TABLE_SQL} SELECT l.*, {crc32_sql(PK.replace(", ", " || '|' || "))} % {STATE_BUCKETS} AS bucket FROM (
+   SELECT 1 AS version, seq, {PK} FROM fx_attempts WHERE searched_at < TIMESTAMP '2024-01-15'
+   {"".join(f"UNION ALL SELECT {v}, seq, {PK} FROM fx_attempts WHERE {part} " for v, part in UPSERTS.items())}) l, crc_table) x) y
+GROUP BY bucket""")
+def state_buckets(spark, sf):
+    """Per bucket the version it was last written in, and what it holds: later writes leave most buckets alone."""
+    path = work_path(spark, "state-buckets")
+    log = fx(spark, sf, "fx_attempts")
+    statetable.write_state(st.upsert_latest(log.filter(f"NOT {LATE}")), path, buckets=STATE_BUCKETS)
+    for part in UPSERTS.values():
+        statetable.upsert_state(log.filter(part), path)
+    statetable.vacuum(spark, path, keep=1)
+    held = statetable.read_state(spark, path).groupBy(statetable.bucket_of(STATE_BUCKETS).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("seq").alias("seqs")
+    )
+    return held.join(statetable.versions_by_bucket(spark, path), "bucket").select("bucket", "version", "n", "seqs")
+
+
 @query("endpoint_snapshot", f"""
 SELECT url, 'http' AS protocol, {QUALITY} AS quality_score, median_ms AS latency_ms, 0.0::DOUBLE AS last_validated,
  0 AS rate_limited_count, '' AS source FROM {MEDIAN} x WHERE median_ms <> 0""")

@@ -42,6 +42,20 @@ def stream_upsert(spark, sf):
     return jobs.read_upserted(spark, out).select("seq", *S.STATE_COLUMNS)
 
 
+@query("stream_upsert_folded", f"SELECT seq, {COLUMNS} FROM {LATEST} l")
+def stream_upsert_folded(spark, sf):
+    """Two streams over parts of the log that overlap, folded in between, and one of them again from a new checkpoint."""
+    out = work_path(spark, "stream-folded")
+    log = stream_view(spark, sf, "fx_attempts")
+    jobs.stream_upsert(log.filter("seq % 3 < 2"), out, work_path(spark, "ckpt"), buckets=16)
+    jobs.compact_upserted(spark, out, buckets=16)
+    jobs.stream_upsert(log.filter("seq % 3 > 0"), out, work_path(spark, "ckpt"), buckets=16)
+    jobs.compact_upserted(spark, out)
+    jobs.drop_folded(spark, out)
+    jobs.stream_upsert(log.filter("seq % 3 < 2 AND route LIKE '%KUL%'"), out, work_path(spark, "ckpt"), buckets=16)
+    return jobs.read_upserted(spark, out).select("seq", *S.STATE_COLUMNS)
+
+
 def on_time(df: DataFrame, column: str) -> DataFrame:
     """Watermarks need an instant; the logs are in UTC whatever the session's zone."""
     return df.withColumn("ts", F.timestamp_micros(epoch_micros(column)))

@@ -7,6 +7,7 @@ results that do not depend on arrival within a batch, so one hot key never becom
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -19,7 +20,7 @@ from farelake import schema as S
 from farelake.operators.rate import final_rates, rate_trace
 from farelake.operators.scaling import latest
 from farelake.operators.state import upsert_latest
-from farelake.sources import statetable
+from farelake.sources import statetable, storage
 
 PARTS = "batches"
 
@@ -60,34 +61,88 @@ def stream_bronze(bundles: DataFrame, silver: str, checkpoint: str) -> Streaming
 
 
 # ------------------------------------------------------------------ keyed outcomes
-def stream_upsert(outcomes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Fold each batch to one row per key and keep it under its batch number.
+def stream_of(batch: DataFrame) -> str:
+    """The identity of the stream that a batch comes from: it stays with the checkpoint, a new checkpoint has a new one."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
-    A repeated batch replaces its own folder, so a restart changes nothing. No batch rewrites the table.
+
+def stream_upsert(outcomes: DataFrame, path: str, checkpoint: str, buckets: int = statetable.BUCKETS) -> StreamingQuery:
+    """Fold each batch to one row per key and keep it, in the buckets of the table, under its stream and number.
+
+    A repeated batch replaces its own folder, so a restart changes nothing; streams and checkpoints do not share folders, so
+    none overwrites another. No batch rewrites the table.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_latest(batch).write.mode("overwrite").parquet(f"{path}/{PARTS}/batch_id={batch_id}")
+        rows = upsert_latest(batch).withColumn("bucket", statetable.bucket_of(buckets)).hint("rebalance", F.col("bucket"))
+        folder = f"{path}/{PARTS}/stream={stream_of(batch)}/batch_id={batch_id}"
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(folder)
 
     return each_batch(outcomes, checkpoint, write)
 
 
-def read_upserted(spark: SparkSession, path: str) -> DataFrame:
-    """The current row of each key: the compacted version, if any, and all batches after it."""
-    batches, base = spark.read.parquet(f"{path}/{PARTS}"), statetable.current_version(spark, f"{path}/base")
-    if base is None:
-        return upsert_latest(batches.drop("batch_id"))
-    newer = batches.filter(F.col("batch_id") > int(base[2])).drop("batch_id")
-    return upsert_latest(spark.read.parquet(base[1]).unionByName(newer))
+def folded(commit: statetable.Commit | None) -> dict[str, int]:
+    """The last batch of each stream that a version of the base has in it."""
+    return json.loads(commit.label) if commit else {}
 
 
-def compact_upserted(spark: SparkSession, path: str) -> int:
-    """Fold the batches so far into one version, which later reads start from; returns the last batch in it.
+def waiting_batches(spark: SparkSession, path: str, commit: statetable.Commit | None) -> DataFrame | None:
+    """Batches that the base lacks, with their stream, number and bucket; None if there are none. Folders are skipped by name."""
+    known, root, folders = folded(commit), f"{path}/{PARTS}", []
+    for stream in storage.names(spark, root):
+        for batch in storage.names(spark, f"{root}/{stream}"):
+            if int(batch.removeprefix("batch_id=")) > known.get(stream.removeprefix("stream="), -1):
+                inside = storage.names(spark, f"{root}/{stream}/{batch}")
+                # A batch that is still being written has no mark yet; one without rows has no buckets.
+                folders += [f"{root}/{stream}/{batch}"] if "_SUCCESS" in inside and len(inside) > 1 else []
+    return spark.read.option("basePath", root).parquet(*folders) if folders else None
 
-    Run it between streams. Batches already folded are skipped by folder name.
+
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    """The current row of each key: the base, and the batches it lacks in the buckets they touch."""
+    commit = statetable.current_commit(spark, f"{path}/base")
+    waiting = waiting_batches(spark, path, commit)
+    if waiting is None:
+        return statetable.read_commit(spark, f"{path}/base", commit)
+    newer = waiting.drop("stream", "batch_id", "bucket")
+    if commit is None:
+        return upsert_latest(newer)
+    touched = {str(r[0]) for r in waiting.select(statetable.bucket_of(commit.buckets)).distinct().collect()} & set(commit.folders)
+    merged = upsert_latest(statetable.read_commit(spark, f"{path}/base", commit, sorted(touched)).unionByName(newer, allowMissingColumns=True))
+    rest = sorted(set(commit.folders) - touched)
+    return merged.unionByName(statetable.read_commit(spark, f"{path}/base", commit, rest), allowMissingColumns=True) if rest else merged
+
+
+def compact_upserted(spark: SparkSession, path: str, buckets: int = statetable.BUCKETS) -> dict[str, int]:
+    """Fold the waiting batches into the base, bucket by bucket; returns the last batch of each stream in it.
+
+    Rows and the marks of what was folded become visible by one commit, so a run that dies folds again. It may run beside the streams;
+    of two folds at a time one gets a StateConflict. Buckets without new rows are not read.
     """
-    last = spark.read.parquet(f"{path}/{PARTS}").agg(F.max("batch_id")).head()[0]
-    statetable.write_state(read_upserted(spark, path), f"{path}/base", label=str(last))
-    return last
+    base = f"{path}/base"
+    commit = statetable.current_commit(spark, base)
+    waiting = waiting_batches(spark, path, commit)
+    if waiting is None:
+        return folded(commit)
+    marks = dict(folded(commit))
+    for row in waiting.groupBy(F.col("stream").cast("string").alias("stream")).agg(F.max("batch_id").cast("int").alias("last")).collect():
+        marks[row["stream"]] = row["last"]
+    rows, label = waiting.drop("stream", "batch_id", "bucket"), json.dumps(marks)
+    if commit is None:
+        statetable.write_state(upsert_latest(rows), base, label, buckets)
+    else:
+        statetable.upsert_state(rows, base, label, base=commit)
+    return marks
+
+
+def drop_folded(spark: SparkSession, path: str) -> None:
+    """Remove batches that the base has in it, and versions of the base but the last two; no reader may be older than those."""
+    base = f"{path}/base"
+    for stream, last in folded(statetable.current_commit(spark, base)).items():
+        folder = f"{path}/{PARTS}/stream={stream}"
+        for batch in storage.names(spark, folder):
+            if batch.startswith("batch_id=") and int(batch.removeprefix("batch_id=")) <= last:
+                storage.remove(spark, f"{folder}/{batch}")
+    statetable.vacuum(spark, base)
 
 
 # ------------------------------------------------------------------ windowed counts

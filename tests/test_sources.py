@@ -12,7 +12,7 @@ from farelake.operators import state as st
 from farelake.plans import lifecycle
 from farelake.plans.providers import Provider, ProviderRegistry, captured, collect
 from farelake.session import shared_root, work_path
-from farelake.sources import bronze, silver, snapshots, statetable
+from farelake.sources import bronze, silver, snapshots, statetable, storage
 from test_state import row, state
 
 
@@ -115,12 +115,63 @@ def test_state_versions(spark, tmp_path, rows):
     newer = st.upsert_latest(state(spark, row(success=1)).withColumn("seq", F.lit(1)), statetable.read_state(spark, path))
     assert statetable.write_state(newer.drop("seq"), path, "second") == 2
     assert [r.success for r in statetable.read_state(spark, path).collect()] == [1]
-    assert statetable.current_version(spark, path)[2] == "second"
+    assert statetable.current_version(spark, path) == (2, "second")
     statetable.write_state(newer.drop("seq", "return_date"), path)
     assert statetable.read_state(spark, path).count() == 0
     # A version that was never committed is not seen.
     newer.drop("seq").write.parquet(f"{path}/data/000000000099-dead")
     assert statetable.current_version(spark, path)[0] == 3
+    statetable.upsert_state(newer, path)
+    assert statetable.read_state(spark, path).count() == 1
+
+
+def files_of(path):
+    return {f.relative_to(path) for f in path.rglob("*.parquet")}
+
+
+def test_an_upsert_rewrites_touched_buckets_only(spark, tmp_path, rows):
+    path = tmp_path / "state"
+    log = spark.range(300).select(
+        F.col("id").alias("seq"), *[F.concat(F.lit(c[0]), (F.col("id") % 150).cast("string")).alias(c) for c in S.PK], F.lit("a").alias("error_type"),
+    )
+    statetable.write_state(st.upsert_latest(log), str(path), buckets=32)
+    before = files_of(path)
+    some = log.filter("seq IN (7, 160)").withColumns({"seq": F.col("seq") + 1000, "error_type": F.lit("b")})
+    assert statetable.upsert_state(some.unionByName(log.filter("seq = 3")), str(path)) == 2
+    fresh = files_of(path) - before
+    held = {str(f.parent.name) for f in before if f.parent.name in {g.parent.name for g in fresh}}
+    assert before < files_of(path) and len({f.parent for f in fresh}) <= 3 and len(held) == len({f.parent for f in fresh})
+    want = st.upsert_latest(log.unionByName(some))
+    assert rows(statetable.read_state(spark, str(path)).select(want.columns)) == rows(want)
+    touched = {r.bucket for r in statetable.versions_by_bucket(spark, str(path)).collect() if r.version == 2}
+    assert touched == {int(f.parent.name.split("=")[1]) for f in fresh}
+    # A column that only later rows have, and keys of NULL.
+    more = some.limit(1).withColumns({"seq": F.lit(5000), "route": F.lit(None).cast("string"), "note": F.lit("new")})
+    statetable.upsert_state(more, str(path))
+    back = statetable.read_state(spark, str(path))
+    assert back.filter("note = 'new'").count() == 1 and back.count() == 151 and back.columns[-1] == "note"
+    statetable.vacuum(spark, str(path), keep=1)
+    assert rows(statetable.read_state(spark, str(path))) == rows(back)
+    assert len(files_of(path)) < len(before) + len(fresh) + 1
+    assert statetable.vacuum(spark, str(path), keep=1) == [] and statetable.vacuum(spark, f"{path}/none") == []
+
+
+def test_of_two_writers_one_fails(spark, tmp_path):
+    path = str(tmp_path / "state")
+    assert statetable.upsert_state(state(spark, row(error="429")).withColumn("seq", F.lit(1)), path) == 1
+    base = statetable.current_commit(spark, path)
+    one, two = (state(spark, row(error=e)).withColumn("seq", F.lit(i)) for i, e in enumerate(("data", "timeout"), 2))
+    assert statetable.upsert_state(one, path, base=base) == 2
+    with pytest.raises(statetable.StateConflict):
+        statetable.upsert_state(two, path, base=base)
+    with pytest.raises(statetable.StateConflict):
+        statetable.write_state(two, path, base=base)
+    assert [r.error_type for r in statetable.read_state(spark, path).collect()] == ["data"]
+    # What the losers wrote goes with the next vacuum, once later versions passed it.
+    assert statetable.upsert_state(two, path) == 3
+    assert len(statetable.vacuum(spark, path, keep=1)) == 4
+    assert [r.error_type for r in statetable.read_state(spark, path).collect()] == ["timeout"]
+    assert not [n for n in storage.names(spark, f"{path}/commits") if not n.endswith("3.json") and not n.endswith(".crc")]
 
 
 def test_snapshots(spark, tmp_path):

@@ -46,13 +46,34 @@ def test_upsert(spark, outcomes, dirs, rows):
     jobs.stream_upsert(stream, out, ckpt)  # nothing new: nothing changes
     read = lambda: rows(jobs.read_upserted(spark, out).select(outcomes.columns))
     assert read() == rows(st.upsert_latest(outcomes))
-    assert jobs.compact_upserted(spark, out) == 3
+    assert list(jobs.compact_upserted(spark, out).values()) == [3]
     more = outcomes.withColumn("seq", F.col("seq") + 350).filter("seq % 3 = 1")
     more.coalesce(1).write.mode("append").parquet(folder)
     jobs.stream_upsert(stream, out, ckpt)
     assert read() == rows(st.upsert_latest(outcomes.unionByName(more)))
 
 
+def test_streams_that_share_a_table_lose_nothing(spark, outcomes, dirs, rows):
+    folder, out, ckpt = dirs
+    stream = in_files(spark, outcomes, "seq", folder)
+    jobs.stream_upsert(stream.filter("seq % 2 = 0"), out, ckpt)
+    jobs.stream_upsert(stream.filter("seq % 2 = 1"), out, f"{ckpt}-two")
+    read = lambda: rows(jobs.read_upserted(spark, out).select(outcomes.columns))
+    want = rows(st.upsert_latest(outcomes))
+    assert read() == want
+    marks = jobs.compact_upserted(spark, out)
+    assert len(marks) == 2 and set(marks.values()) == {3} and read() == want
+    # A checkpoint that was lost: all batches come again under another name.
+    jobs.stream_upsert(stream.filter("seq % 2 = 0"), out, f"{ckpt}-again")
+    assert read() == want and len(jobs.compact_upserted(spark, out)) == 3 and read() == want
+    jobs.drop_folded(spark, out)
+    assert read() == want and jobs.compact_upserted(spark, out) == jobs.folded(jobs.statetable.current_commit(spark, f"{out}/base"))
+    # A folded batch that is written once more, as after a crash before the stream's own commit.
+    stream_id = next(iter(marks))
+    outcomes.withColumns({"seq": F.lit(10**6), "bucket": F.lit(0)}).write.parquet(f"{out}/{jobs.PARTS}/stream={stream_id}/batch_id=0")
+    assert read() == want
+
+
 def test_status_over_batches(spark, outcomes, dirs, rows):
     folder, out, ckpt = dirs
     jobs.stream_counts(jobs.status_counts(in_files(spark, outcomes, "seq", folder)), out, ckpt)
