@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from farelake import schema as S
 from farelake.functions import net
 from farelake.functions.common import floor_div
-from farelake.operators.scaling import ROWS_PER_BLOCK, order_statistics, running_total, running_totals, top_n
+from farelake.operators.scaling import ROWS_PER_BLOCK, join_on, order_statistics, running_total, running_totals, top_n
 
 
 # ------------------------------------------------------------------ lists
@@ -154,7 +154,7 @@ def evict_blacklist(events: DataFrame, counted: DataFrame | None = None) -> Data
         start = counted.select(
             "url", F.col("rate_limited_count").alias("_c429"), F.col("stub_count").alias("_cstub")
         )
-        totals = totals.join(start, "url", "left").fillna(0, ["_c429", "_cstub"])
+        totals = join_on(totals, start, ["url"], "left").fillna(0, ["_c429", "_cstub"])
     parks = (
         top_n(events.filter(is_429), ["url"], ["ts", "probe_id"], S.EVICT_AFTER - 1)
         .groupBy("url").agg(F.array_sort(F.collect_list("ts")).alias("_parks"))
@@ -173,7 +173,7 @@ def evict_blacklist(events: DataFrame, counted: DataFrame | None = None) -> Data
     n_parks = F.least(F.col("_n429"), F.lit(S.EVICT_AFTER - 1) - F.col("_c429"))
     parked = F.when(n_parks > 0, F.get("_parks", n_parks.cast("int") - 1))
     return (
-        totals.join(parks, "url", "left")
+        join_on(totals, parks, ["url"], "left")
         .withColumn("_last", last)
         .select(
             "url",

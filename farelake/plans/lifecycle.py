@@ -10,6 +10,7 @@ from farelake.operators import state as st
 from farelake.operators.attempts import fold_attempts, settled
 from farelake.operators.scaling import latest
 from farelake.operators.tasks import build_tasks
+from farelake.session import work_path
 from farelake.sources import bronze, silver, statetable
 
 
@@ -41,9 +42,13 @@ def convert(spark: SparkSession, state_path: str, bundle_path: str) -> bool:
 def transform(spark: SparkSession, bundle_path: str | list[str], silver_path: str, quarantine_path: str | None = None) -> int:
     """Bundles to silver; returns the rows written.
 
-    Broken lines go as they are to ``quarantine_path``, by default beside silver; without any it is an empty table.
+    Lines are parsed once. Broken ones go as they are to ``quarantine_path``, by default beside silver, in a folder per bundle; a bundle
+    that is converted again replaces its own.
     """
-    lines = bronze.read_bronze(spark, bundle_path)
+    parsed = work_path(spark, "parsed")
+    bronze.read_bronze(spark, bundle_path).withColumn("bundle", bronze.bundle_of(F.col("_metadata.file_path"))).write.parquet(parsed)
+    lines = spark.read.parquet(parsed)
+    broken = lines.filter(F.col(bronze.CORRUPT).isNotNull()).select(bronze.CORRUPT, "bundle")
     aside = quarantine_path or f"{silver_path.rstrip('/')}_quarantine"
-    lines.filter(F.col(bronze.CORRUPT).isNotNull()).write.mode("append").parquet(aside)
-    return silver.write_silver(lines.filter(F.col(bronze.CORRUPT).isNull()).drop(bronze.CORRUPT), silver_path)
+    broken.write.partitionBy("bundle").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(aside)
+    return silver.write_silver(lines.filter(F.col(bronze.CORRUPT).isNull()).drop(bronze.CORRUPT, "bundle"), silver_path)

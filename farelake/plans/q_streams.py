@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from farelake import schema as S
 from farelake.functions.common import epoch_micros
-from farelake.plans.fixtures import table, with_views
+from farelake.plans.fixtures import sql, table, with_views
 from farelake.plans.q_endpoints import BURST_RATE, MAX_RATE, MIN_RATE, POOL, TRACE
 from farelake.plans.q_sources import OFFERS, exported, with_first_offer
 from farelake.plans.q_state import COLUMNS, LATEST, PK
 from farelake.plans.registry import query
 from farelake.session import work_path
-from farelake.sources.silver import read_silver
 from farelake.streaming import jobs
+from farelake.streaming.batches import late_rows, split_late
 
 
 def stream_view(spark, sf: str, view: str) -> DataFrame:
@@ -32,7 +32,7 @@ def stream_bronze(spark, sf):
     bundle = exported(spark, sf, "stream-bronze")
     out = work_path(spark, "stream-silver")
     jobs.stream_bronze(jobs.read_bundles(spark, bundle), out, work_path(spark, "ckpt"))
-    return with_first_offer(read_silver(spark, out))
+    return with_first_offer(jobs.read_stream_silver(spark, out))
 
 
 @query("stream_upsert", f"SELECT seq, {COLUMNS} FROM {LATEST} l")
@@ -86,8 +86,10 @@ def stream_burst(spark, sf):
 
 @query("stream_endpoint_state", f"""
 SELECT url, rate_limited_count, stub_count, epoch_us(evicted_at) AS evicted_us, epoch_us(blacklist_until) AS blacklist_us,
- epoch_us(rate_limit_until) AS rate_limit_us FROM {POOL} x""")
+ epoch_us(rate_limit_until) AS rate_limit_us FROM {POOL} x JOIN (SELECT url, max(ts) AS heard FROM fx_probes GROUP BY url) h USING (url)
+WHERE heard + INTERVAL 1 DAY > (SELECT max(ts) FROM fx_probes) - INTERVAL 1 SECOND""")
 def stream_endpoint_state(spark, sf):
+    """Endpoints that were heard of within a day of the end of the log; the others have expired."""
     out = work_path(spark, "stream-endpoints")
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
@@ -97,7 +99,30 @@ def stream_endpoint_state(spark, sf):
         jobs.stream_endpoint_state(events, out, work_path(spark, "ckpt"))
     finally:
         spark.conf.set(key, before)
-    return jobs.read_counts(spark, out, ["url"])
+    return jobs.read_endpoint_state(spark, out)
+
+
+# How the log arrives: the first half of the month, the second, and then, days late, every fiftieth row of the first.
+ARRIVALS = """SELECT *, CASE WHEN searched_at >= TIMESTAMP '2024-01-15' THEN 1 WHEN seq % 50 = 0 THEN 2 ELSE 0 END AS arrival FROM fx_attempts"""
+
+
+@query("stream_late", f"""
+SELECT epoch_us(time_bucket(INTERVAL 10 MINUTES, searched_at)) // 1000000 AS window_s, error_type, late, count(*) AS n
+FROM (SELECT *, coalesce(searched_at < (SELECT max(searched_at) FROM ({ARRIVALS}) b WHERE b.arrival < a.arrival) - INTERVAL 10 MINUTES, false)
+ AS late FROM ({ARRIVALS}) a) x GROUP BY 1, 2, 3""")
+def stream_late(spark, sf):
+    """What came in time, counted by a stream with a watermark, and what came too late: together every row."""
+    out, ckpt = work_path(spark, "stream-late"), work_path(spark, "ckpt")
+    rows = on_time(sql(spark, sf, ARRIVALS), "searched_at")
+    for arrival in range(3):
+        rows.filter(F.col("arrival") == arrival).write.mode("append").parquet(f"{out}/in")
+        in_time = split_late(jobs.read_files(spark, f"{out}/in", rows.schema), f"{out}/split", f"{ckpt}/split", 600)
+        jobs.stream_counts(jobs.status_counts(in_time), out, f"{ckpt}/counts")
+    counted = jobs.read_counts(spark, out, ["window_start", "error_type"]).withColumn("late", F.lit(False))
+    late = late_rows(spark, f"{out}/split").groupBy(F.window("ts", "10 minutes").start.alias("window_start"), "error_type").agg(
+        F.count(F.lit(1)).alias("n"), F.lit(True).alias("late")
+    )
+    return counted.unionByName(late).select(F.unix_seconds("window_start").alias("window_s"), "error_type", "late", "n")
 
 
 @query("stream_rate", TRACE)

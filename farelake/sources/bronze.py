@@ -50,6 +50,17 @@ def export_bronze(state: DataFrame, path: str, compression: str = "gzip") -> boo
     return True
 
 
+def bundle_of(file_path: Column) -> Column:
+    """The name of the bundle that a file is, or is a part of; the path itself where it has no such name."""
+    name = F.regexp_extract(file_path, r"/(search_[^/]*?)\.jsonl?(?:\.gz)?(?:/[^/]*)?$", 1)
+    return F.when(name != "", name).otherwise(file_path)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Broken lines with the bundle they came in; no rows where none was broken."""
+    return spark.read.schema(f"{CORRUPT} string, bundle string").parquet(path)
+
+
 def latest_bundle(spark: SparkSession, folder: str) -> DataFrame:
     """Path of the bundle modified last (by time, not name); no row when there is none.
 

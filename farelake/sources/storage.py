@@ -5,6 +5,8 @@ They go through Hadoop, so any store that Spark writes to will do.
 
 from __future__ import annotations
 
+import uuid
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
@@ -28,28 +30,34 @@ def names(spark: SparkSession, folder: str) -> list[str]:
 
 
 def create_once(spark: SparkSession, folder: str, name: str, text: str) -> None:
-    """Make a file whole or not at all; AlreadyThere if one of that name exists.
-
-    The text is written aside and renamed without overwriting, which HDFS and object-store connectors do in one step.
-    """
-    files, fs = _files(spark, folder), spark._jvm.org.apache.hadoop.fs
-    aside = _path(spark, f"{folder}/_{spark._jvm.java.util.UUID.randomUUID()}")
-    out = files.create(aside, True)
+    """Make a file whole or not at all; AlreadyThere if one of that name exists."""
+    aside = f"{folder}/_{uuid.uuid4().hex}"
+    out = _files(spark, folder).create(_path(spark, aside), True)
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    never = getattr(fs, "Options$Rename")
-    options = spark.sparkContext._gateway.new_array(never, 1)
-    options[0] = never.NONE
-    context = fs.FileContext.getFileContext(aside.toUri(), spark._jsc.hadoopConfiguration())
+    rename_once(spark, aside, f"{folder}/{name}")
+
+
+def rename_once(spark: SparkSession, aside: str, path: str) -> None:
+    """Give a finished file or folder its name, which HDFS and object-store connectors for it do in one step.
+
+    If there is one of that name already, the one aside is removed, and AlreadyThere says so.
+    """
+    fs = spark._jvm.org.apache.hadoop.fs
+    source, target = _path(spark, aside), _path(spark, path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target.getParent())
+    kinds = getattr(fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kinds, 1)
+    options[0] = kinds.NONE
     try:
-        context.rename(aside, _path(spark, f"{folder}/{name}"), options)
+        fs.FileContext.getFileContext(source.toUri(), spark._jsc.hadoopConfiguration()).rename(source, target, options)
     except Py4JJavaError as error:
-        files.delete(aside, False)
-        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
-            raise AlreadyThere(f"{folder}/{name}") from None
-        raise
+        if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        remove(spark, aside)
+        raise AlreadyThere(path) from None
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -1,8 +1,8 @@
 """Streams of bundles, outcomes and endpoint events.
 
-The batch operators define the results; a stream over the same rows ends with the same tables. Late data:
-only the windowed counts drop rows, those older than the watermark. Keyed state is merged from partial
-results that do not depend on arrival within a batch, so one hot key never becomes one long fold.
+The batch operators define the results; a stream over the same rows ends with the same tables. Windowed counts and the removal of
+duplicates drop what comes after their watermark: put ``batches.split_late`` before them to keep such rows apart. Keyed state is
+merged from partial results that do not depend on arrival, so one hot key never becomes one long fold.
 """
 
 from __future__ import annotations
@@ -18,9 +18,10 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from farelake import schema as S
 from farelake.operators.rate import final_rates, rate_trace
-from farelake.operators.scaling import latest
+from farelake.operators.scaling import join_on, latest, top_n
 from farelake.operators.state import upsert_latest
-from farelake.sources import statetable, storage
+from farelake.sources import bronze, statetable, storage
+from farelake.streaming.batches import each_batch, mark_before, publish, published, run_available, stream_of
 
 PARTS = "batches"
 
@@ -36,36 +37,39 @@ def read_files(
 
 
 def read_bundles(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
-    """Bundles as a stream; each new file is read once."""
-    reader = spark.readStream.schema(S.BRONZE).option("recursiveFileLookup", "true")
+    """Bundles as a stream; each new file is read once, and a broken line is kept as text, as in ``bronze.read_bronze``."""
+    schema = T.StructType([*S.BRONZE.fields, T.StructField(bronze.CORRUPT, T.StringType())])
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("columnNameOfCorruptRecord", bronze.CORRUPT)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(folder)
 
 
-def run_available(query_writer, checkpoint: str) -> StreamingQuery:
-    """Run what is there and stop; started again it goes on where it stopped."""
-    query = query_writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
+# ------------------------------------------------------------------ bronze to silver
+def stream_bronze(bundles: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Each batch of lines, parsed once, as silver by route and quarantine; both become visible together and once."""
+    kind = F.when(F.col(bronze.CORRUPT).isNull(), "silver").otherwise("quarantine")
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("kind", kind).hint("rebalance", F.col("kind"), F.col("route"))
+        publish(rows, batch, batch_id, path, ["kind", "route"])
 
-def each_batch(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], mode: str = "append"):
-    return run_available(stream.writeStream.outputMode(mode).foreachBatch(write), checkpoint)
+    return each_batch(bundles, checkpoint, write)
 
 
-# ------------------------------------------------------------------ bronze to silver
-def stream_bronze(bundles: DataFrame, silver: str, checkpoint: str) -> StreamingQuery:
-    writer = bundles.writeStream.format("parquet").partitionBy("route").option("path", silver).outputMode("append")
-    return run_available(writer, checkpoint)
+def read_stream_silver(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of all batches, in the columns of batch silver."""
+    rows = published(spark, path, "kind=silver")
+    return spark.createDataFrame([], S.BRONZE) if rows is None else rows.withColumn("route", F.col("route").cast("string")).drop(bronze.CORRUPT)
 
 
-# ------------------------------------------------------------------ keyed outcomes
-def stream_of(batch: DataFrame) -> str:
-    """The identity of the stream that a batch comes from: it stays with the checkpoint, a new checkpoint has a new one."""
-    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+def read_stream_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """The broken lines of all batches as they came."""
+    rows = published(spark, path, "kind=quarantine")
+    return spark.createDataFrame([], f"{bronze.CORRUPT} string") if rows is None else rows.select(bronze.CORRUPT)
 
 
+# ------------------------------------------------------------------ keyed outcomes
 def stream_upsert(outcomes: DataFrame, path: str, checkpoint: str, buckets: int = statetable.BUCKETS) -> StreamingQuery:
     """Fold each batch to one row per key and keep it, in the buckets of the table, under its stream and number.
 
@@ -191,71 +195,85 @@ def stream_append(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 
 
 # ------------------------------------------------------------------ endpoint pool state
-PARTIAL = (
-    "url string, n_429 long, n_stub long, first_429 array<struct<ts:long,id:long>>,"
-    " last_429 struct<ts:long,id:long>, last_stub struct<ts:long,id:long>, last_failure struct<ts:long,id:long>"
-)
+#: An endpoint that was not heard of for so long is forgotten.
+ENDPOINT_TTL_S = 86400
+_POINTS = ("first", "second", "last_429", "last_stub", "last_failure")
+SUMMARY = "url string, n_429 bigint, n_stub bigint, " + ", ".join(f"{p}_us bigint, {p}_id bigint" for p in _POINTS) + ", heard_us bigint, seen timestamp"
 POOL_STATE = (
-    "url string, rate_limited_count long, stub_count long, evicted_us long, blacklist_us long, rate_limit_us long"
+    "url string, rate_limited_count long, stub_count long, evicted_us long, blacklist_us long, rate_limit_us long, expired boolean"
 )
-_MEMORY = T.StructType([
-    T.StructField("n_429", T.LongType()), T.StructField("n_stub", T.LongType()),
-    T.StructField("first_429", T.ArrayType(T.LongType())),
-    T.StructField("last", T.ArrayType(T.LongType())),
-])
+_MEMORY = T.StructType([T.StructField("numbers", T.ArrayType(T.LongType())), T.StructField("timer_ms", T.LongType())])
 _NEVER = (-1, -1)
-_KINDS = ("rate_limited", "stub", "failure")
 
 
-def summarise_events(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per Arrow batch and URL: counts, the first 429s and the last event of each kind.
+def summarise_events(events: DataFrame, seen_us: int) -> DataFrame:
+    """Per URL: counts, the first two 429s, the last event of each kind and of any; absent points are -1.
 
-    This runs before the shuffle, so a hot URL sends one short row per batch of its events.
+    All of it is aggregated before the shuffle, so a hot URL sends one short row per task. Summaries of any parts of a log, in any
+    order, add up to that of the whole. ``seen`` is the newest time of the stream so far; it never falls.
     """
-    point = lambda ts, i: {"ts": int(ts), "id": int(i)}
-    for pdf in batches:
-        pdf = pdf[pdf["event"].isin(_KINDS)].sort_values(["ts_us", "probe_id"])
-        by_kind = pdf.groupby(["url", "event"], sort=False)
-        sizes = by_kind.size()
-        last = {(r.url, r.event): point(r.ts_us, r.probe_id) for r in by_kind.tail(1).itertuples()}
-        firsts: dict[str, list] = {}
-        for r in by_kind.head(S.EVICT_AFTER - 1).itertuples():
-            if r.event == "rate_limited":
-                firsts.setdefault(r.url, []).append(point(r.ts_us, r.probe_id))
-        rows = [
-            {
-                "url": url,
-                "n_429": sizes.get((url, "rate_limited"), 0), "n_stub": sizes.get((url, "stub"), 0),
-                "first_429": firsts.get(url, []), "last_429": last.get((url, "rate_limited")),
-                "last_stub": last.get((url, "stub")), "last_failure": last.get((url, "failure")),
-            }
-            for url in pdf["url"].unique()
-        ]
-        if rows:
-            yield pd.DataFrame(rows)
+    at = F.struct(F.col("ts_us").alias("us"), F.col("probe_id").cast("bigint").alias("id"))
+    is_429, is_stub = F.col("event") == "rate_limited", F.col("event") == "stub"
+    totals = events.groupBy("url").agg(
+        F.count_if(is_429).alias("n_429"), F.count_if(is_stub).alias("n_stub"), F.max("ts_us").alias("heard_us"),
+        F.max(F.when(is_429, at)).alias("last_429"), F.max(F.when(is_stub, at)).alias("last_stub"),
+        F.max(F.when(F.col("event") == "failure", at)).alias("last_failure"),
+    )
+    firsts = top_n(events.filter(is_429).select("url", "ts_us", "probe_id"), ["url"], ["ts_us", "probe_id"], S.EVICT_AFTER - 1)
+    firsts = firsts.groupBy("url").agg(F.array_sort(F.collect_list(at)).alias("_firsts"))
+    told = join_on(totals, firsts, ["url"], "left").withColumns({"first": F.get("_firsts", F.lit(0)), "second": F.get("_firsts", F.lit(1))})
+    points = [F.coalesce(F.col(f"{p}.{part}"), F.lit(-1)).alias(f"{p}_{part}") for p in _POINTS for part in ("us", "id")]
+    # One value for all rows of the batch: it is the clock of the timers.
+    clock = told.agg(F.timestamp_micros(F.greatest(F.max("heard_us"), F.lit(seen_us)))).scalar()
+    return told.select("url", "n_429", "n_stub", *points, "heard_us", clock.alias("seen"))
+
+
+def stream_summaries(events: DataFrame, root: str, checkpoint: str) -> DataFrame:
+    """Summaries of each batch of ``events(url, ts_us, probe_id, event)``, published once; gives them as a stream."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        seen = mark_before(batch, batch_id, root) or 0
+        publish(summarise_events(batch, seen).withColumn("kind", F.lit("summary")), batch, batch_id, root, ["kind"], "heard_us")
+
+    each_batch(events, checkpoint, write)
+    return events.sparkSession.readStream.schema(SUMMARY).parquet(f"{root}/*/kind=summary")
 
 
 class EndpointState(StatefulProcessor):
-    """Merge partial summaries of one URL into its counts, first 429s and last events."""
+    """The summary of one URL over all batches, until its timer says that it was not heard of for ``ttl_s``."""
+
+    def __init__(self, ttl_s: int):
+        self.ttl_us = ttl_s * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.memory = handle.getValueState("memory", _MEMORY)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n_429, n_stub, flat, flat_last = self.memory.get() if self.memory.exists() else (0, 0, [], [-1] * 6)
-        firsts = [tuple(flat[i : i + 2]) for i in range(0, len(flat), 2)]
-        last = [tuple(flat_last[i : i + 2]) for i in (0, 2, 4)]
+        n_429 = n_stub = heard = 0
+        firsts, last, timer = [], [_NEVER] * 3, None
+        if self.memory.exists():
+            numbers, timer = self.memory.get()
+            n_429, n_stub, heard, *flat = numbers
+            points = list(zip(flat[::2], flat[1::2]))
+            last, firsts = points[:3], points[3:]
         for pdf in rows:
-            for row in pdf.itertuples(index=False):
-                n_429, n_stub = n_429 + int(row.n_429), n_stub + int(row.n_stub)
-                fresh = [(int(p["ts"]), int(p["id"])) for p in row.first_429]
-                firsts = sorted(firsts + fresh)[: S.EVICT_AFTER - 1]
-                for i, point in enumerate((row.last_429, row.last_stub, row.last_failure)):
-                    if isinstance(point, dict):
-                        last[i] = max(last[i], (int(point["ts"]), int(point["id"])))
-        self.memory.update((n_429, n_stub, [x for p in firsts for x in p], [x for p in last for x in p]))
+            # One row per batch of the stream.
+            n_429, n_stub, heard = n_429 + int(pdf["n_429"].sum()), n_stub + int(pdf["n_stub"].sum()), max(heard, int(pdf["heard_us"].max()))
+            point = lambda p: list(zip(pdf[f"{p}_us"].tolist(), pdf[f"{p}_id"].tolist()))
+            firsts = sorted(p for p in [*firsts, *point("first"), *point("second")] if p != _NEVER)[: S.EVICT_AFTER - 1]
+            last = [max([old, *point(p)]) for old, p in zip(last, _POINTS[2:])]
+        until = (heard + self.ttl_us) // 1000
+        if until != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(until)
+        self.memory.update(([n_429, n_stub, heard, *[x for p in [*last, *firsts] for x in p]], until))
         yield pd.DataFrame([self._report(key[0], n_429, n_stub, firsts, last)])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.memory.clear()
+        yield pd.DataFrame([{**self._report(key[0], 0, 0, [], [_NEVER] * 3), "expired": True}])
+
     @staticmethod
     def _report(url, n_429, n_stub, firsts, last) -> dict:
         counts = (n_429, n_stub, S.EVICT_AFTER)
@@ -269,23 +287,32 @@ class EndpointState(StatefulProcessor):
             "evicted_us": at[0] if at else None,
             "blacklist_us": at[0] + ttl * 1_000_000 if at else None,
             "rate_limit_us": firsts[-1][0] + S.PARK_S * 1_000_000 if firsts else None,
+            "expired": False,
         }
 
     def close(self) -> None:
         pass
 
 
-def endpoint_states(events: DataFrame) -> DataFrame:
-    """Pool state per URL after each batch of ``events(url, ts_us, probe_id, event)``."""
-    partial = events.select("url", "ts_us", "probe_id", "event").mapInPandas(summarise_events, PARTIAL)
-    return partial.groupBy("url").transformWithStateInPandas(
-        EndpointState(), outputStructType=POOL_STATE, outputMode="Update", timeMode="None"
+def endpoint_states(summaries: DataFrame, ttl_s: int = ENDPOINT_TTL_S) -> DataFrame:
+    """Pool state per URL after each batch of ``stream_summaries``; a row that has ``expired`` ends its URL.
+
+    The watermark follows ``seen``, which is the same for late reports, so none is lost.
+    """
+    return summaries.withWatermark("seen", "1 second").groupBy("url").transformWithStateInPandas(
+        EndpointState(ttl_s), outputStructType=POOL_STATE, outputMode="Update", timeMode="EventTime"
     )
 
 
-def stream_endpoint_state(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def stream_endpoint_state(events: DataFrame, path: str, checkpoint: str, ttl_s: int = ENDPOINT_TTL_S) -> StreamingQuery:
     """Needs ``spark.sql.streaming.stateStore.providerClass`` set to the RocksDB provider."""
-    return stream_counts(endpoint_states(events), path, checkpoint)
+    summaries = stream_summaries(events, f"{path}/summaries", f"{checkpoint}/summaries")
+    return stream_counts(endpoint_states(summaries, ttl_s), path, f"{checkpoint}/states")
+
+
+def read_endpoint_state(spark: SparkSession, path: str) -> DataFrame:
+    """The state of every URL that has not expired."""
+    return latest(spark.read.parquet(f"{path}/{PARTS}"), ["url"], ["batch_id", "expired"]).filter("NOT expired").drop("batch_id", "expired")
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

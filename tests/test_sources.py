@@ -260,4 +260,4 @@ def test_broken_lines_stay_out_of_silver(spark, tmp_path):
     out = str(tmp_path / "silver")
     assert lifecycle.transform(spark, str(tmp_path / "search_9.jsonl"), out) == 1
     assert bronze.CORRUPT not in spark.read.parquet(out).columns
-    assert [r[bronze.CORRUPT] for r in spark.read.parquet(out + "_quarantine").collect()] == ["{broken"]
+    assert [r[bronze.CORRUPT] for r in bronze.read_quarantine(spark, out + "_quarantine").collect()] == ["{broken"]

@@ -5,11 +5,12 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from farelake import schema as S
 from farelake.functions.common import epoch_micros
 from farelake.operators import endpoints as ep
 from farelake.operators import state as st
-from farelake.streaming import jobs
+from farelake.plans import lifecycle
+from farelake.sources import bronze, silver
+from farelake.streaming import batches, jobs
 from test_endpoints import EVENTS, random_events, replay
 
 T0 = datetime(2024, 1, 1)
@@ -111,27 +112,92 @@ def test_duplicates(spark, outcomes, dirs, rows):
     assert rows(spark.read.parquet(out).select("seq")) == rows(outcomes.select("seq"))
 
 
+def test_late_rows_are_kept_apart(spark, outcomes, dirs, rows):
+    """Every row is counted or late, also through the removal of duplicates, and a repeated run adds none."""
+    folder, out, ckpt = dirs
+    shuffled = outcomes.withColumn("arrival", F.when(F.col("seq") % 40 == 7, F.col("seq") + 300).otherwise(F.col("seq")))
+    for _ in range(2):
+        stream = in_files(spark, shuffled, "arrival", folder) if _ == 0 else stream  # noqa: F821
+        in_time = batches.split_late(stream, f"{out}/split", f"{ckpt}/split", 600)
+        jobs.stream_counts(jobs.status_counts(in_time), f"{out}/counts", f"{ckpt}/counts")
+        jobs.stream_append(jobs.dedup_tasks(in_time, "10 minutes"), f"{out}/once", f"{ckpt}/once")
+    late = batches.late_rows(spark, f"{out}/split")
+    seqs, size, newest, want = [r.seq for r in shuffled.orderBy("arrival", "seq").collect()], -(-400 // 4), -1, []
+    for low in range(0, 400, size):
+        part = seqs[low : low + size]
+        want += [s for s in part if 7 * s < 7 * newest - 600]
+        newest = max([newest, *part])
+    assert want and rows(late.select("seq")) == sorted([(s,) for s in want], key=repr)
+    counted = jobs.read_counts(spark, f"{out}/counts", ["window_start", "error_type"]).agg(F.sum("n")).head()[0]
+    assert counted + len(want) == 400 == spark.read.parquet(f"{out}/once").count() + len(want)
+    assert batches.late_rows(spark, f"{out}/nothing") is None
+
+
+def us(t):
+    return None if t is None else int((t - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+
+
 @pytest.mark.parametrize("seed", [4, 5])
 def test_endpoint_state(spark, dirs, seed):
+    """Also endpoints that only ever succeed, NULL ones, and reports that come late."""
     folder, out, ckpt = dirs
-    events = random_events(seed)
+    events = random_events(seed) + [(None, T0 + timedelta(seconds=i), 1000 + i, "rate_limited") for i in range(4)]
+    events += [("quiet", T0, 2000, "ok"), ("late", T0 - timedelta(hours=5), 2001, "stub"), ("late", T0, 3, "stub")]
     df = spark.createDataFrame(events, EVENTS).withColumn("ts_us", epoch_micros("ts"))
-    jobs.stream_endpoint_state(in_files(spark, df, "probe_id", folder), out, ckpt)
-    us = lambda t: None if t is None else int((t - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
-    got = {r.url: (r.rate_limited_count, r.stub_count, r.evicted_us, r.blacklist_us, r.rate_limit_us)
-           for r in jobs.read_counts(spark, out, ["url"]).collect()}
-    want = {u: (*v[:2], us(v[2]), us(v[3]), us(v[4])) for u, v in replay(events).items()}
-    assert {u: v for u, v in want.items() if v != (0, 0, None, None, None)} == got
+    stream = in_files(spark, df, "probe_id", folder)
+    jobs.stream_endpoint_state(stream, out, ckpt)
+    jobs.stream_endpoint_state(stream, out, ckpt)
+    got = {r.url: tuple(r)[1:] for r in jobs.read_endpoint_state(spark, out).select(
+        "url", "rate_limited_count", "stub_count", "evicted_us", "blacklist_us", "rate_limit_us").collect()}
+    assert got == {u: (*v[:2], us(v[2]), us(v[3]), us(v[4])) for u, v in replay(events).items()}
     batch = ep.evict_blacklist(spark.createDataFrame(events, EVENTS))
-    assert {r.url for r in batch.collect()} == set(want)
+    assert {r.url: (r.rate_limited_count, r.stub_count, us(r.evicted_at), us(r.blacklist_until), us(r.rate_limit_until)) for r in batch.collect()} == got
 
 
-def test_bronze_stream_reads_only_new_bundles(spark, dirs):
+def test_endpoint_state_expires(spark, dirs):
     folder, out, ckpt = dirs
-    line = '{"route":"%s","dep_date":"2026-08-01","return_date":"","flight_type":"ONE_WAY","origin":"SIN","destination":"X","flights":[{"price":1}],"searched_at":"t"}'
-    for i, routes in enumerate((["SIN|KUL", "SIN|BKK"], ["SIN|KUL"])):
-        spark.createDataFrame([(line % r,) for r in routes], "value string").coalesce(1).write.text(f"{folder}/search_{i}.jsonl", compression="gzip")
+    at = lambda h: T0 + timedelta(hours=h)
+    events = [("gone", at(0), 0, "rate_limited"), ("gone", at(1), 1, "stub"), ("kept", at(1), 2, "rate_limited")]
+    later = [("kept", at(20), 3, "rate_limited"), ("new", at(30), 4, "ok"), ("new", at(40), 5, "stub"), ("gone", at(41), 6, "rate_limited")]
+    df = spark.createDataFrame(events + later, EVENTS).withColumn("ts_us", epoch_micros("ts"))
+    rows = df.collect()
+    states = []
+    for part in (rows[:3], rows[3:5], rows[5:6], rows[6:]):
+        spark.createDataFrame(part, df.schema).coalesce(1).write.mode("append").parquet(folder)
+        jobs.stream_endpoint_state(jobs.read_files(spark, folder, df.schema), out, ckpt, ttl_s=24 * 3600)
+        states.append({r.url: (r.rate_limited_count, r.stub_count) for r in jobs.read_endpoint_state(spark, out).collect()})
+    assert states[0] == {"gone": (1, 1), "kept": (1, 0)}
+    assert states[2] == {"kept": (2, 0), "new": (0, 1)}
+    # What comes back starts anew.
+    assert states[3]["gone"] == (1, 0) and states[3]["kept"] == (2, 0)
+
+
+LINE = '{"route":"%s","dep_date":"2026-08-01","return_date":"","flight_type":"ONE_WAY","origin":"SIN","destination":"X","flights":[{"price":1}],"searched_at":"t"}'
+
+
+def test_bronze_stream_reads_only_new_bundles(spark, dirs, rows):
+    folder, out, ckpt = dirs
+    for i, routes in enumerate((["SIN|KUL", "SIN|BKK"], ["SIN|KUL", None])):
+        lines = [(LINE % r if r else "{broken",) for r in routes]
+        spark.createDataFrame(lines, "value string").coalesce(1).write.text(f"{folder}/search_{i}.jsonl", compression="gzip")
         jobs.stream_bronze(jobs.read_bundles(spark, folder), out, ckpt)
-    back = spark.read.parquet(out)
+    back = jobs.read_stream_silver(spark, out)
     assert {r["route"]: r["count"] for r in back.groupBy("route").count().collect()} == {"SIN|KUL": 2, "SIN|BKK": 1}
-    assert back.schema["flights"].dataType.elementType.names == S.OFFER.names
+    # The same rows and columns as in batch, and each broken line once.
+    lifecycle.transform(spark, f"{folder}/search_*.jsonl", f"{out}-batch")
+    batch = silver.read_silver(spark, f"{out}-batch")
+    assert rows(back.select(sorted(back.columns))) == rows(batch.select(sorted(batch.columns))) and set(back.dtypes) == set(batch.dtypes)
+    assert rows(jobs.read_stream_quarantine(spark, out)) == [("{broken",)]
+    lifecycle.transform(spark, f"{folder}/search_*.jsonl", f"{out}-batch")
+    assert rows(bronze.read_quarantine(spark, f"{out}-batch_quarantine")) == [("{broken", "search_1")]
+    # A lost checkpoint comes under another name; nothing is overwritten.
+    assert jobs.read_stream_quarantine(spark, f"{out}-none").count() == jobs.read_stream_silver(spark, f"{out}-none").count() == 0
+
+
+def test_a_repeated_batch_changes_nothing(spark, dirs, rows):
+    folder, out, ckpt = dirs
+    stream = in_files(spark, spark.createDataFrame([(i, i * 10) for i in range(8)], "i int, at long"), "i", folder)
+    twice = lambda batch, n: [batches.publish(batch.withColumn("kind", F.lit("x")), batch, n, out, ["kind"], "at") for _ in range(2)]
+    batches.each_batch(stream, ckpt, twice)
+    assert rows(batches.published(spark, out, "kind=x").select("i")) == [(i,) for i in range(8)]
+    assert sorted(int(n.split("-")[-1]) for n in jobs.storage.names(spark, out)) == [10, 30, 50, 70]
