@@ -7,12 +7,15 @@ table: it holds what that source answered within the slice, and its budget is at
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelake import schema as S
 from farelake.functions.common import epoch_micros, floor_div
+from farelake.operators.scaling import join_on
+from farelake.session import work_path
 
 MICROS = 1_000_000
 SLICE_S = 60
@@ -110,10 +113,89 @@ def _limit(rate: Column) -> Column:
     return rate * (S.BURST_WINDOW_S * S.BURST_SHARE)
 
 
-def _next_rate(rate: Column, hits: Column, max_rate: float, min_rate: float) -> Column:
-    throttled = F.greatest(F.lit(min_rate), rate * S.RATE_BACKOFF)
-    recovered = F.least(F.lit(max_rate), rate * S.RATE_RECOVERY)
-    return F.when(hits == 0, recovered).when(hits > _limit(rate), throttled).otherwise(rate)
+# Maps from the place of a budget on the ladder before some reports to its place after them. They compose in any grouping, so the
+# chunks of a source form a tree: FAN chunks make a block, FAN blocks a large block, and a source has few of those.
+FAN = 256
+
+
+def _numbers(values) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
+def _step(ladder: list[float]) -> Callable[[Column, Column], Column]:
+    """The next place on the ladder after a report with ``hits``."""
+    place = {rate: i for i, rate in enumerate(ladder)}
+    up = _numbers(place[min(ladder[0], r * S.RATE_RECOVERY)] for r in ladder)
+    down = _numbers(place[max(ladder[-1], r * S.RATE_BACKOFF)] for r in ladder)
+    bears = F.array(*[_limit(F.lit(r)) for r in ladder])
+    return lambda at, hits: F.when(hits == 0, F.get(up, at)).when(hits > F.get(bears, at), F.get(down, at)).otherwise(at)
+
+
+def chunk_maps(effective: DataFrame, ladder: list[float], source: str, chunk_s: int) -> DataFrame:
+    """(source, node, log, after): each chunk's effective reports in order and the map they make."""
+    step = _step(ladder)
+    chunks = effective.groupBy(source, floor_div("_at", chunk_s * MICROS).alias("node")).agg(
+        F.array_sort(F.collect_list(F.struct("_at", "id", "hits"))).alias("log")
+    )
+    start = _numbers(range(len(ladder)))
+    after = F.aggregate("log", start, lambda at, e: F.transform(at, lambda i: step(i, e["hits"])))
+    return chunks.withColumn("after", after)
+
+
+def parents(nodes: DataFrame, steps: int, source: str) -> DataFrame:
+    """(source, node, after, kids): blocks of FAN nodes; ``kids`` has their maps in order."""
+    kids = nodes.groupBy(source, floor_div("node", FAN).alias("node")).agg(F.array_sort(F.collect_list(F.struct("node", "after"))).alias("kids"))
+    composed = F.aggregate("kids", _numbers(range(steps)), lambda at, kid: F.transform(at, lambda i: F.get(kid["after"], i)))
+    return kids.withColumn("after", composed)
+
+
+def _begin(blocks: DataFrame, source: str) -> DataFrame:
+    """(source, node, start) of the kids of ``blocks`` (source, kids, start): each begins where the one before it ends."""
+    empty = F.array().cast("array<struct<node:bigint,start:int>>")
+    first = F.struct(F.col("start").cast("int").alias("at"), empty.alias("out"))
+    walk = F.aggregate("kids", first, lambda acc, kid: F.struct(
+        F.get(kid["after"], acc["at"]).alias("at"),
+        F.concat(acc["out"], F.array(F.struct(kid["node"].alias("node"), acc["at"].alias("start")))).alias("out"),
+    ))
+    return blocks.select(source, F.inline(walk["out"]))
+
+
+def chunk_starts(blocks: DataFrame, large: DataFrame, source: str, initial: DataFrame | None = None) -> DataFrame:
+    """(source, node, start) of every chunk from the two levels above the chunks; ``initial(source, start)`` else the top of the ladder."""
+    tops = large.groupBy(source).agg(F.array_sort(F.collect_list(F.struct("node", "after"))).alias("kids"))
+    if initial is None:
+        tops = tops.withColumn("start", F.lit(0))
+    else:
+        tops = join_on(tops, initial, [source], "left").withColumn("start", F.coalesce("start", F.lit(0)))
+    begun = _begin(tops, source)
+    for level in (large, blocks):
+        begun = _begin(join_on(level.select(source, "node", "kids"), begun, [source, "node"]), source)
+    return begun
+
+
+def replayed(chunks: DataFrame, begun: DataFrame, ladder: list[float], source: str) -> DataFrame:
+    """Every change of the budget, from the chunks (source, node, log) and where each starts."""
+    step = _step(ladder)
+    change = "struct<at_us:bigint,id:bigint,hits:bigint,old:int,new:int>"
+    empty = F.array().cast(f"array<{change}>")
+
+    def move(acc: Column, e: Column) -> Column:
+        new = step(acc["at"], e["hits"])
+        row = F.struct(e["_at"].alias("at_us"), e["id"].cast("bigint").alias("id"), e["hits"].alias("hits"), acc["at"].alias("old"), new.alias("new"))
+        return F.struct(new.alias("at"), F.when(new != acc["at"], F.concat(acc["out"], F.array(row))).otherwise(acc["out"]).alias("out"))
+
+    def move_all(acc: Column, part: Column) -> Column:
+        # Changes of a part are gathered by themselves, so that no long array is copied for each change.
+        done = F.aggregate(part, F.struct(acc["at"].alias("at"), empty.alias("out")), move)
+        return F.struct(done["at"].alias("at"), F.concat(acc["out"], F.array(done["out"])).alias("out"))
+
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size("log") - 1) / FAN)), lambda k: F.slice("log", (k * FAN + 1).cast("int"), FAN))
+    begin = F.struct(F.col("start").alias("at"), F.array().cast(f"array<array<{change}>>").alias("out"))
+    rates = _numbers(ladder)
+    rows = join_on(chunks.filter(F.size("log") > 0).select(source, "node", "log"), begun, [source, "node"]).select(
+        source, F.inline(F.flatten(F.aggregate(parts, begin, move_all)["out"]))
+    )
+    return rows.select(source, "at_us", "id", "hits", F.get(rates, F.col("old")).alias("old_rate"), F.get(rates, F.col("new")).alias("new_rate"))
 
 
 def rate_trace(
@@ -128,58 +210,20 @@ def rate_trace(
     """Every change of each source's budget: ``(source, at_us, id, hits, old_rate, new_rate)``.
 
     The budget takes few values, so a chunk of the log is a small map from the budget before it to the budget
-    after it. Chunks are mapped in parallel, the maps are applied in order per source (one short row per
-    chunk), and then each chunk is replayed in parallel from its true starting budget.
+    after it. Maps compose, in blocks and large blocks, on as many tasks as there are; then each block tells its parts where they
+    start, and the chunks are replayed in parallel. The reports are scanned once: their chunks are written and read again.
     ``initial(source, rate)`` gives budgets to start from; else each source starts at ``max_rate``.
     ``context`` holds earlier reports, already replayed, that still count as recent ones.
     """
-    ladder = rate_ladder(max_rate, min_rate)
-    step = lambda r, hits: _next_rate(r, hits, max_rate, min_rate)
-    chunks = (
-        effective_reports(reports, ladder, source, context)
-        .withColumn("chunk", floor_div("_at", chunk_s * MICROS))
-        .groupBy(source, "chunk")
-        .agg(F.array_sort(F.collect_list(F.struct("_at", "id", "hits"))).alias("log"))
-    )
-    starts = F.array(*[F.lit(r) for r in ladder])
-    mapped = chunks.withColumn(
-        "after",
-        F.aggregate("log", starts, lambda rates, e: F.transform(rates, lambda r: step(r, e["hits"]))),
-    ).select(source, "chunk", "after")
+    spark, ladder = reports.sparkSession, rate_ladder(max_rate, min_rate)
+    path = work_path(spark, "rate-chunks")
+    chunk_maps(effective_reports(reports, ladder, source, context), ladder, source, chunk_s).write.parquet(path)
+    chunks = spark.read.parquet(path)
+    blocks = parents(chunks, len(ladder), source)
+    large = parents(blocks, len(ladder), source)
     if initial is not None:
-        mapped = mapped.join(initial.select(source, F.col("rate").alias("first")), source, "left")
-    else:
-        mapped = mapped.withColumn("first", F.lit(None).cast("double"))
-    place = {rate: i for i, rate in enumerate(ladder)}
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("chunk")
-        first = pdf["first"].iloc[0]
-        rate, out = (max_rate if pd.isna(first) else float(first)), []
-        for after in pdf["after"]:
-            out.append(rate)
-            rate = float(after[place[rate]])
-        return pdf.assign(start=out)[[source, "chunk", "start"]]
-
-    kind = dict(chunks.dtypes)
-    begun = mapped.groupBy(source).applyInPandas(walk, f"{source} {kind[source]}, chunk bigint, start double")
-    change = "struct<at_us:bigint,id:bigint,hits:bigint,old_rate:double,new_rate:double>"
-    empty = F.array().cast(f"array<{change}>")
-
-    def replay(acc: Column, e: Column) -> Column:
-        new = step(acc["rate"], e["hits"])
-        row = F.struct(
-            e["_at"].alias("at_us"), e["id"].cast("bigint").alias("id"), e["hits"].alias("hits"),
-            acc["rate"].alias("old_rate"), new.alias("new_rate"),
-        )
-        changes = F.when(new != acc["rate"], F.concat(acc["changes"], F.array(row))).otherwise(acc["changes"])
-        return F.struct(new.alias("rate"), changes.alias("changes"))
-
-    begin = F.struct(F.col("start").alias("rate"), empty.alias("changes"))
-    return (
-        chunks.join(begun, [source, "chunk"])
-        .select(source, F.inline(F.aggregate("log", begin, replay)["changes"]))
-    )
+        initial = initial.select(source, (F.array_position(_numbers(ladder), F.col("rate")) - 1).cast("int").alias("start"))
+    return replayed(chunks, chunk_starts(blocks, large, source, initial), ladder, source)
 
 
 def final_rates(trace: DataFrame, source: str = "source") -> DataFrame:

@@ -129,7 +129,7 @@ def stream_late(spark, sf):
 def stream_rate(spark, sf):
     out = work_path(spark, "stream-rate")
     jobs.stream_rate(stream_view(spark, sf, "fx_reports"), out, work_path(spark, "ckpt"), MAX_RATE, MIN_RATE)
-    return spark.read.parquet(f"{out}/trace").drop("batch_id")
+    return jobs.read_rate_trace(spark, out, MAX_RATE, MIN_RATE)
 
 
 @query("stream_dedup", f"SELECT seq, {PK}, success FROM fx_attempts")
@@ -139,3 +139,14 @@ def stream_dedup(spark, sf):
     twice = on_time(stream_view(spark, sf, "fx_attempts"), "searched_at").withColumn("_copy", F.explode(F.lit([1, 2])))
     jobs.stream_append(jobs.dedup_tasks(twice).drop("_copy", "ts"), out, work_path(spark, "ckpt"))
     return spark.read.parquet(out).select("seq", *S.PK, "success")
+
+
+@query("stream_rate_late", TRACE.replace("fx_reports", "(SELECT 'all' AS source, ts, id, is_429 FROM fx_reports) r"))
+def stream_rate_late(spark, sf):
+    """All reports of one source, those of odd numbers first and the others afterwards, though none is newer."""
+    out, ckpt = work_path(spark, "stream-rate-late"), work_path(spark, "ckpt")
+    rows = sql(spark, sf, "SELECT 'all' AS source, ts, id, is_429 FROM fx_reports")
+    for odd in (1, 0):
+        rows.filter(F.col("id") % 2 == odd).write.mode("append").parquet(f"{out}/in")
+        jobs.stream_rate(jobs.read_files(spark, f"{out}/in", rows.schema), out, ckpt, MAX_RATE, MIN_RATE)
+    return jobs.read_rate_trace(spark, out, MAX_RATE, MIN_RATE)

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelake import schema as S
-from farelake.operators.state import migrate_state, upsert_latest
+from farelake.operators.scaling import latest
+from farelake.operators.state import migrate_state
 from farelake.sources import storage
 
 BUCKETS = 64
@@ -62,10 +63,10 @@ def current_version(spark: SparkSession, path: str) -> tuple[int, str] | None:
     return (now.version, now.label) if now else None
 
 
-def _write(rows: DataFrame, path: str, version: int, buckets: int) -> tuple[str, list[str]]:
+def _write(rows: DataFrame, path: str, version: int, buckets: int, place: tuple[str, ...]) -> tuple[str, list[str]]:
     """Lay ``rows`` out in bucket folders of a new folder; returns it and the buckets it holds."""
     folder = f"data/{version:012d}-{uuid.uuid4().hex}"
-    keys = tuple(c for c in S.PK if c in rows.columns)
+    keys = tuple(c for c in place if c in rows.columns)
     # Spark divides a hot bucket into more files and puts small ones together in one task.
     (
         rows.withColumn("_bucket", bucket_of(buckets, keys)).hint("rebalance", F.col("_bucket"))
@@ -83,37 +84,48 @@ def _put(spark: SparkSession, path: str, commit: Commit) -> int:
     return commit.version
 
 
-def write_state(state: DataFrame, path: str, label: str = "", buckets: int = BUCKETS, base: Commit | None = None) -> int:
+def write_state(
+    state: DataFrame, path: str, label: str = "", buckets: int = BUCKETS, base: Commit | None = None, place: tuple[str, ...] = S.PK
+) -> int:
     """Write all rows as a new version and make it current; returns its number.
 
-    ``base`` is the version that ``state`` was made from, by default the newest one.
+    ``base`` is the version that ``state`` was made from, by default the newest one; ``place`` are the columns that tell a row's bucket.
     """
     spark = state.sparkSession
     base = base or current_commit(spark, path)
     version = base.version + 1 if base else 1
-    folder, parts = _write(state, path, version, buckets)
+    folder, parts = _write(state, path, version, buckets, place)
     return _put(spark, path, Commit(version, label, buckets, state.schema.json(), {b: folder for b in parts}))
 
 
-def upsert_state(batch: DataFrame, path: str, label: str = "", order: tuple[str, ...] = ("seq",), base: Commit | None = None) -> int:
+def upsert_state(
+    batch: DataFrame, path: str, label: str = "", order: tuple[str, ...] = ("seq",), base: Commit | None = None,
+    keys: tuple[str, ...] = S.PK, place: tuple[str, ...] | None = None, buckets: int = BUCKETS,
+) -> int:
     """Make the table after ``batch`` the newest version: per key the whole row that comes last in ``order``.
 
     Only the buckets of the batch are read and written again; the other buckets keep their folders. Rows of the table without ``order``
-    count as older than the batch. ``base`` is the version to start from, by default the newest one.
+    count as older than the batch. ``base`` is the version to start from, by default the newest one; ``place``, by default the keys, are
+    columns of the key that tell a row's bucket.
     """
-    spark = batch.sparkSession
+    spark, place = batch.sparkSession, place or keys
     base = base or current_commit(spark, path)
-    if base is None or "return_date" not in T.StructType.fromJson(json.loads(base.columns)).names:
-        return write_state(upsert_latest(batch, order=order), path, label, base=base)
-    # At most as many rows as there are buckets.
-    touched = sorted(str(r[0]) for r in batch.select(bucket_of(base.buckets)).distinct().collect())
-    stored = _read(spark, path, base, [b for b in touched if b in base.folders])
-    rows = upsert_latest(stored.unionByName(batch, allowMissingColumns=True), order=order) if stored else upsert_latest(batch, order=order)
-    folder, parts = _write(rows, path, base.version + 1, base.buckets)
+    if base is None or not set(keys) <= set(T.StructType.fromJson(json.loads(base.columns)).names):
+        return write_state(latest(batch, keys, order), path, label, buckets, base, place)
+    stored = read_touched(batch, path, base, place)
+    rows = latest(batch if stored is None else stored.unionByName(batch, allowMissingColumns=True), keys, order)
+    folder, parts = _write(rows, path, base.version + 1, base.buckets, place)
     columns = _merged(base.columns, rows.schema)
     return _put(spark, path, Commit(base.version + 1, label, base.buckets, columns, {**base.folders, **{b: folder for b in parts}}))
 
 
+def read_touched(batch: DataFrame, path: str, base: Commit, place: tuple[str, ...] = S.PK) -> DataFrame | None:
+    """The rows of ``base`` in the buckets that ``batch`` has rows in; None if those hold none."""
+    # At most as many rows as there are buckets.
+    touched = {str(r[0]) for r in batch.select(bucket_of(base.buckets, place)).distinct().collect()}
+    return _read(batch.sparkSession, path, base, sorted(touched & set(base.folders)))
+
+
 def _merged(columns: str, new: T.StructType) -> str:
     """The columns of both, those known before first."""
     old = T.StructType.fromJson(json.loads(columns))

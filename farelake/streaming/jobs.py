@@ -17,9 +17,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from farelake import schema as S
-from farelake.operators.rate import final_rates, rate_trace
+from farelake.functions.common import epoch_micros, floor_div
+from farelake.operators.rate import CHUNK_S, FAN, chunk_maps, chunk_starts, effective_reports, parents, rate_ladder, replayed
 from farelake.operators.scaling import join_on, latest, top_n
 from farelake.operators.state import upsert_latest
+from farelake.session import work_path
 from farelake.sources import bronze, statetable, storage
 from farelake.streaming.batches import each_batch, mark_before, publish, published, run_available, stream_of
 
@@ -319,32 +321,88 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 # ------------------------------------------------------------------ request budget
+#: A chunk of the budget's log is known by source, level 0 and number; the blocks above it, which share its bucket, by levels 1 and 2.
+TREE_KEYS = ("source", "level", "node")
+TREE_PLACE = ("source", "top")
+TREE_BUCKETS = 256
+DAY_S = 86400
+
+
+def _touched(reports: DataFrame, chunk_s: int) -> DataFrame:
+    """(source, node) of the chunks that reports may change: their own, and those that still look back at a 429."""
+    at = epoch_micros("ts")
+    reach = F.when(F.col("is_429"), floor_div(at + S.QUIET_WINDOW_S * 1_000_000, chunk_s * 1_000_000)).otherwise(floor_div(at, chunk_s * 1_000_000))
+    return reports.select("source", F.explode(F.sequence(floor_div(at, chunk_s * 1_000_000), reach)).alias("node")).distinct()
+
+
+def _around(spark: SparkSession, log: str, touched: DataFrame, chunk_s: int) -> tuple[DataFrame, DataFrame]:
+    """Reports of the touched chunks, and 429s of the chunks before them; only folders of their days are read."""
+    days = touched.select(floor_div(F.col("node") * chunk_s, DAY_S).alias("day")).distinct()
+    days = sorted({d + off for (d,) in days.collect() for off in (-1, 0, 1)})
+    rows = published(spark, log, "kind=reports").filter(F.col("day").isin(days)).withColumn("node", floor_div(epoch_micros("ts"), chunk_s * 1_000_000))
+    own = join_on(rows, touched, ["source", "node"], "left_semi")
+    before = join_on(touched.select("source", (F.col("node") - 1).alias("node")), touched, ["source", "node"], "left_anti")
+    return own, join_on(rows.filter("is_429"), before, ["source", "node"], "left_semi")
+
+
 def stream_rate(
-    reports: DataFrame, path: str, checkpoint: str, max_rate: float, min_rate: float
+    reports: DataFrame, path: str, checkpoint: str, max_rate: float, min_rate: float, chunk_s: int = CHUNK_S
 ) -> StreamingQuery:
-    """Carry each source's budget from batch to batch.
+    """Keep each source's tree of budget maps up to date; reports may come in any order.
 
-    A batch replays its reports together with the last minute of 429s before it, which decide bursts and
-    clean successes, from the budget each source had. Batches must arrive in time order.
+    A batch joins the log, in folders by day. Only the chunks it touches are made again from their reports, then the blocks and large
+    blocks above them from the maps of their parts; ``read_rate_trace`` tells the changes.
     """
-    def earlier(spark: SparkSession, kind: str, batch_id: int) -> DataFrame | None:
-        return spark.read.parquet(f"{path}/{kind}/batch_id={batch_id - 1}") if batch_id else None
+    if chunk_s < S.QUIET_WINDOW_S:
+        raise ValueError("a chunk is shorter than the time a 429 counts")
+    ladder, log, tree = rate_ladder(max_rate, min_rate), f"{path}/log", f"{path}/tree"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        tail, rates = earlier(spark, "tail", batch_id), earlier(spark, "rates", batch_id)
-        log = batch.select("source", "ts", "id", "is_429")
+        day = floor_div(epoch_micros("ts"), DAY_S * 1_000_000)
+        rows = batch.select("source", "ts", "id", "is_429").withColumns({"kind": F.lit("reports"), "day": day})
+        publish(rows, batch, batch_id, log, ["kind", "day"])
+        base = statetable.current_commit(spark, tree)
+        touched = _kept(_touched(batch, chunk_s), "rate-touched")
+        own, context = _around(spark, log, touched, chunk_s)
+        made = chunk_maps(effective_reports(own, ladder, context=context), ladder, "source", chunk_s)
+        same = F.array(*[F.lit(i) for i in range(len(ladder))])
+        # A chunk whose reports no longer move anything stays, with a map that changes nothing.
+        chunks = join_on(touched, made, ["source", "node"], "left").withColumns({
+            "after": F.coalesce("after", same), "log": F.coalesce("log", F.array().cast(made.schema["log"].dataType)),
+        })
+        new = _kept(_leveled(chunks, 0, base), "rate-new")
+        stored = statetable.read_touched(new, tree, base, TREE_PLACE) if base else None
+        for level in (0, 1):
+            known = new if stored is None else latest(stored.unionByName(new), TREE_KEYS, ["seq"])
+            path_up = new.filter(F.col("level") == level).select("source", floor_div("node", FAN).alias("_up")).distinct()
+            parts = known.filter(F.col("level") == level).withColumn("_up", floor_div("node", FAN))
+            blocks = parents(join_on(parts, path_up, ["source", "_up"], "left_semi"), len(ladder), "source").withColumn("log", F.lit(None).cast(made.schema["log"].dataType))
+            new = _kept(new.unionByName(_leveled(blocks, level + 1, base)), "rate-new")
+        statetable.upsert_state(new, tree, base=base, keys=TREE_KEYS, place=TREE_PLACE, buckets=TREE_BUCKETS)
 
-        def keep(df: DataFrame, kind: str) -> DataFrame:
-            df.write.mode("overwrite").parquet(f"{path}/{kind}/batch_id={batch_id}")
-            return spark.read.parquet(f"{path}/{kind}/batch_id={batch_id}")
+    return each_batch(reports, checkpoint, write)
 
-        trace = keep(rate_trace(log, max_rate, min_rate, initial=rates, context=tail), "trace")
-        moved = final_rates(trace)
-        keep(moved if rates is None else rates.join(moved, "source", "left_anti").unionByName(moved), "rates")
-        known = log if tail is None else log.unionByName(tail)
-        newest = known.groupBy("source").agg(F.max("ts").alias("_newest"))
-        recent = F.col("ts") >= F.col("_newest") - F.expr(f"INTERVAL {S.QUIET_WINDOW_S} SECONDS")
-        keep(known.filter("is_429").join(newest, "source").filter(recent).drop("_newest"), "tail")
 
-    return each_batch(reports, checkpoint, write)
+def _kept(rows: DataFrame, label: str) -> DataFrame:
+    path = work_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _leveled(nodes: DataFrame, level: int, base: statetable.Commit | None) -> DataFrame:
+    """Rows of the tree; those of a later version replace earlier ones."""
+    return nodes.select(
+        "source", F.lit(level).alias("level"), "node", "after", "log", floor_div("node", FAN ** (2 - level)).alias("top"),
+        F.lit(base.version + 1 if base else 1).cast("bigint").alias("seq"),
+    )
+
+
+def read_rate_trace(spark: SparkSession, path: str, max_rate: float, min_rate: float) -> DataFrame:
+    """Every change of each source's budget over all reports so far, as ``rate_trace`` gives it."""
+    ladder = rate_ladder(max_rate, min_rate)
+    commit = statetable.current_commit(spark, f"{path}/tree")
+    tree = statetable.read_commit(spark, f"{path}/tree", commit)
+    level = lambda n: tree.filter(F.col("level") == n)
+    blocks, large = (parents(level(n), len(ladder), "source") for n in (0, 1))
+    return replayed(level(0), chunk_starts(blocks, large, "source"), ladder, "source")

@@ -86,17 +86,42 @@ def test_burst_window_edge_is_inclusive(spark, rows):
     assert got == [(0, 2, 2, False), (30, 1, 3, True), (31, 1, 2, False), (61, 1, 2, False)]
 
 
-def test_stream_carries_the_budget_over_batches(spark, tmp_path):
-    reports = sorted(random_reports(5), key=lambda r: (r[1], r[2]))
-    folder = str(tmp_path / "in")
-    for i in range(0, len(reports), 400):
-        spark.createDataFrame(reports[i : i + 400], SCHEMA).coalesce(1).write.mode("append").parquet(folder)
-    stream = jobs.read_files(spark, folder, spark.read.parquet(folder).schema, files_per_batch=1)
-    out = str(tmp_path / "out")
-    jobs.stream_rate(stream, out, str(tmp_path / "ckpt"), 4.0, 0.25)
-    got = sorted((r.source, r.id, r.old_rate, r.new_rate) for r in spark.read.parquet(f"{out}/trace").collect())
-    assert got == replay(reports, 4.0, 0.25)
-    assert len({r.batch_id for r in spark.read.parquet(f"{out}/rates").select("batch_id").collect()}) > 2
+@pytest.mark.parametrize("order", ["in time", "any"])
+def test_stream_of_reports_in_any_order(spark, tmp_path, order):
+    reports = sorted(random_reports(5), key=lambda r: (r[1], r[2])) + [(None, T0 + timedelta(seconds=i // 9), 5000 + i, i % 40 < 30) for i in range(300)]
+    if order == "any":
+        random.Random(1).shuffle(reports)
+    folder, out, ckpt = (str(tmp_path / d) for d in ("in", "out", "ckpt"))
+    seen = []
+    for i in range(0, len(reports), 700):
+        spark.createDataFrame(reports[i : i + 700], SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        seen += reports[i : i + 700]
+        jobs.stream_rate(jobs.read_files(spark, folder, spark.read.parquet(folder).schema), out, ckpt, 4.0, 0.25, chunk_s=60)
+    got = jobs.read_rate_trace(spark, out, 4.0, 0.25)
+    assert plain(got) == replay_all(seen, 4.0, 0.25) == plain(rate.rate_trace(spark.createDataFrame(seen, SCHEMA), 4.0, 0.25))
+    assert {None, "hot"} <= {r.source for r in got.collect()}
+
+
+def plain(df):
+    return sorted((r.source or "", r.id, r.old_rate, r.new_rate) for r in df.collect())
+
+
+def replay_all(reports, *bounds):
+    return replay([(r[0] or "", *r[1:]) for r in reports], *bounds)
+
+
+def test_a_late_report_touches_its_path_only(spark, tmp_path):
+    reports = [(f"s{k}", T0 + timedelta(minutes=10 * m), 100 * k + m, m % 3 > 0) for k in range(30) for m in range(12)]
+    folder, out, ckpt = (str(tmp_path / d) for d in ("in", "out", "ckpt"))
+    for part in (reports, [("s3", T0 + timedelta(minutes=11), 9999, False)]):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        jobs.stream_rate(jobs.read_files(spark, folder, spark.read.parquet(folder).schema), out, ckpt, 4.0, 0.25)
+    written = jobs.statetable.versions_by_bucket(spark, f"{out}/tree").collect()
+    assert sum(r.version == 2 for r in written) == 1 < len(written)
+    commit = jobs.statetable.current_commit(spark, f"{out}/tree")
+    tree = jobs.statetable.read_commit(spark, f"{out}/tree", commit)
+    fresh = {(r.source, r.level) for r in tree.filter("seq = 2").collect()}
+    assert fresh == {("s3", 0), ("s3", 1), ("s3", 2)} and tree.filter("seq = 2").count() == 3
 
 
 def test_long_runs_are_cut_before_they_are_gathered(spark):
