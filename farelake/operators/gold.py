@@ -14,6 +14,8 @@ from farelake.operators.scaling import join_on, percentiles
 
 SNAPSHOT = ("snapshot_date",)
 ITINERARY = S.PK
+# Prices of different currencies are never compared, added or ranked together.
+CURRENCY = ("currency",)
 MONEY = "decimal(18,4)"
 
 
@@ -23,11 +25,11 @@ def money_sum(price: str = "price") -> Column:
 
 
 def mean(price: str = "price") -> Column:
-    return money_sum(price).cast("double") / F.count(price)
+    return money_sum(price).cast("double") / F.nullif(F.count(price), F.lit(0))
 
 
 def mean_over(w, price: str = "price") -> Column:
-    return money_sum(price).over(w).cast("double") / F.count(price).over(w)
+    return money_sum(price).over(w).cast("double") / F.nullif(F.count(price).over(w), F.lit(0))
 
 
 def bad_offer() -> Column:
@@ -36,13 +38,20 @@ def bad_offer() -> Column:
     return day.isNull() | F.coalesce(F.col("price") <= 0, F.lit(True))
 
 
+def in_currency(offers: DataFrame) -> DataFrame:
+    """``offers`` with a currency each: where none is told, the default one."""
+    told = F.col("currency") if "currency" in offers.columns else F.lit(None).cast("string")
+    return offers.withColumn("currency", F.coalesce(told, F.lit(S.DEFAULT_CURRENCY)))
+
+
 def offer_facts(offers: DataFrame) -> DataFrame:
     """Clean offers with calendar fields; a copy of an offer already seen counts once.
 
-    An offer is told from the others of its search by ``offer_pos`` and ``currency``, where there are such columns.
+    An offer is told from the others of its search by ``offer_pos`` and ``currency``; without positions only rows that agree in
+    everything are copies.
     """
-    own = [c for c in ("offer_pos", "currency") if c in offers.columns]
-    once = offers.filter(~bad_offer()).dropDuplicates([*ITINERARY, "snapshot_date", "seq", *own])
+    good = in_currency(offers).filter(~bad_offer())
+    once = good.dropDuplicates([*ITINERARY, "snapshot_date", "seq", "offer_pos", "currency"]) if "offer_pos" in good.columns else good.dropDuplicates()
     dated = once.withColumn("dep_day", F.to_date("dep_date"))
     return (
         dated.withColumn("lead_days", F.datediff("dep_day", "snapshot_date"))
@@ -56,23 +65,23 @@ def quarantined_offers(offers: DataFrame) -> DataFrame:
 
 
 def cheapest_snapshot(offers: DataFrame) -> DataFrame:
-    """Lowest offer per itinerary and snapshot day; the earlier arrival wins a tie.
+    """Lowest offer per itinerary, currency and snapshot day; the earlier arrival wins a tie.
 
     Offers without a price count, and never win; a day with no price at all has a NULL one.
     """
     best = F.min(F.when(F.col("price").isNotNull(), F.struct("price", "seq", "primary_airline_name")))
     return (
-        offers.groupBy(*ITINERARY, *SNAPSHOT)
+        in_currency(offers).groupBy(*ITINERARY, *CURRENCY, *SNAPSHOT)
         .agg(best.alias("_b"), F.count(F.lit(1)).alias("n_offers"))
         .select(
-            *ITINERARY, *SNAPSHOT,
+            *ITINERARY, *CURRENCY, *SNAPSHOT,
             F.col("_b.price").alias("price"), F.col("_b.primary_airline_name").alias("airline"), "n_offers",
         )
     )
 
 
 def _over_time() -> Window:
-    return Window.partitionBy(*ITINERARY).orderBy("snapshot_date")
+    return Window.partitionBy(*ITINERARY, *CURRENCY).orderBy("snapshot_date")
 
 
 def price_trend(snapshots: DataFrame) -> DataFrame:
@@ -85,26 +94,27 @@ def price_trend(snapshots: DataFrame) -> DataFrame:
 
 
 def route_comparison(offers: DataFrame) -> DataFrame:
-    """Offers, lowest, mean and median price per route and type, ranked by mean price per type."""
-    keys = ["route", "flight_type"]
+    """Offers, lowest, mean and median price per route, type and currency, ranked by mean price per type and currency."""
+    offers, keys = in_currency(offers), ["route", "flight_type", *CURRENCY]
     summary = offers.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_offers"), F.min("price").alias("min_price"), mean().alias("mean_price")
     )
     middle = percentiles(offers, keys, "price", {"median_price": 0.5})
-    by_mean = Window.partitionBy("flight_type").orderBy("mean_price")
+    by_mean = Window.partitionBy("flight_type", *CURRENCY).orderBy("mean_price")
     return join_on(summary, middle, keys).drop("_n").withColumn("rank", F.rank().over(by_mean))
 
 
 def route_rollup(offers: DataFrame) -> DataFrame:
-    """The same totals per route and type, per route, and over all."""
-    return offers.rollup("route", "flight_type").agg(
+    """The same totals per route and type, per route, and over all, each per currency."""
+    sets = [["currency", "route", "flight_type"], ["currency", "route"], ["currency"]]
+    return in_currency(offers).groupingSets([[F.col(c) for c in s] for s in sets], "currency", "route", "flight_type").agg(
         F.count(F.lit(1)).alias("n_offers"), F.min("price").alias("min_price"), mean().alias("mean_price")
     )
 
 
 def seasonal(facts: DataFrame) -> DataFrame:
-    """Prices per route, month and weekday of departure (Monday is 0)."""
-    return facts.groupBy("route", "dep_month", "dep_weekday").agg(
+    """Prices per route, currency, month and weekday of departure (Monday is 0)."""
+    return in_currency(facts).groupBy("route", *CURRENCY, "dep_month", "dep_weekday").agg(
         F.count(F.lit(1)).alias("n_offers"), F.min("price").alias("min_price"), mean().alias("mean_price")
     )
 
@@ -118,33 +128,57 @@ def lead_bucket(lead_days: Column | str) -> Column:
 
 
 def booking_window(facts: DataFrame) -> DataFrame:
-    """Mean price per route and lead-time bucket, also as an index of the route's mean."""
-    per_bucket = facts.groupBy("route", lead_bucket("lead_days").alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n_offers"), money_sum().alias("_sum")
+    """Mean price per route, currency and lead-time bucket, also as an index of the route's mean. Offers without a price have no part in means."""
+    per_bucket = in_currency(facts).groupBy("route", *CURRENCY, lead_bucket("lead_days").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n_offers"), F.count("price").alias("_n"), money_sum().alias("_sum")
     )
-    route = Window.partitionBy("route")
-    route_mean = F.sum("_sum").over(route).cast("double") / F.sum("n_offers").over(route)
+    route = Window.partitionBy("route", *CURRENCY)
+    route_mean = F.sum("_sum").over(route).cast("double") / F.nullif(F.sum("_n").over(route), F.lit(0))
     return (
-        per_bucket.withColumn("mean_price", F.col("_sum").cast("double") / F.col("n_offers"))
+        per_bucket.withColumn("mean_price", F.col("_sum").cast("double") / F.nullif(F.col("_n"), F.lit(0)))
         .withColumn("price_index", F.col("mean_price") / route_mean)
-        .drop("_sum")
+        .drop("_sum", "_n")
     )
 
 
 def airline_comparison(offers: DataFrame) -> DataFrame:
-    """Offers, distinct itineraries and mean price per route and airline, ranked within the route."""
-    keys = ["route", "primary_airline_name"]
-    per_itinerary = offers.groupBy(*keys, "dep_date", "return_date", "flight_type").agg(
-        F.count(F.lit(1)).alias("_n"), money_sum().alias("_sum")
+    """Offers, distinct itineraries and mean price per route, currency and airline, ranked within the route and currency."""
+    keys = ["route", *CURRENCY, "primary_airline_name"]
+    per_itinerary = in_currency(offers).groupBy(*keys, "dep_date", "return_date", "flight_type").agg(
+        F.count(F.lit(1)).alias("_rows"), F.count("price").alias("_n"), money_sum().alias("_sum")
     )
     per_airline = per_itinerary.groupBy(*keys).agg(
-        F.sum("_n").alias("n_offers"), F.count(F.lit(1)).alias("n_itineraries"),
-        (F.sum("_sum").cast("double") / F.sum("_n")).alias("mean_price"),
+        F.sum("_rows").alias("n_offers"), F.count(F.lit(1)).alias("n_itineraries"),
+        (F.sum("_sum").cast("double") / F.nullif(F.sum("_n"), F.lit(0))).alias("mean_price"),
     )
-    by_mean = Window.partitionBy("route").orderBy("mean_price")
+    by_mean = Window.partitionBy("route", *CURRENCY).orderBy(F.col("mean_price").asc_nulls_last())
     return per_airline.withColumn("rank", F.rank().over(by_mean))
 
 
+#: Sketches of 2**12 registers: the relative error of an estimate is 1.04 / 64 or about 1.6 % (one standard deviation).
+SKETCH_BITS = 12
+
+
+def airline_sketches(facts: DataFrame) -> DataFrame:
+    """Per route, currency, airline and day: offers, and a sketch of the itineraries that can be merged with others."""
+    itinerary = F.concat_ws("|", "dep_date", "return_date", "flight_type")
+    return in_currency(facts).groupBy("route", *CURRENCY, "primary_airline_name", "snapshot_date").agg(
+        F.count(F.lit(1)).alias("n_offers"), F.hll_sketch_agg(itinerary, F.lit(SKETCH_BITS)).alias("itineraries")
+    )
+
+
+def airlines_between(sketches: DataFrame, first: str, last: str) -> DataFrame:
+    """Offers and about how many itineraries each airline had on a route from one day to another, both included.
+
+    Only the stored sketches of those days are read and merged; ``error`` is the relative standard error of the estimate.
+    """
+    days = F.col("snapshot_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    return sketches.filter(days).groupBy("route", *CURRENCY, "primary_airline_name").agg(
+        F.sum("n_offers").alias("n_offers"), F.hll_sketch_estimate(F.hll_union_agg("itineraries")).alias("about"),
+        F.lit(1.04 / 2 ** (SKETCH_BITS / 2)).alias("error"),
+    )
+
+
 def price_anomaly(snapshots: DataFrame, threshold: float = 2.0) -> DataFrame:
     """Distance of each price from the seven snapshots before it, in standard deviations."""
     trailing = _over_time().rowsBetween(-7, -1)

@@ -22,15 +22,41 @@ VIEWS: dict[str, str] = {}
 # One of the destinations by user.
 DESTINATION = "CASE cast(user_id % 15 AS int) " + " ".join(f"WHEN {i} THEN '{d}'" for i, d in enumerate(S.DESTINATIONS)) + " END"
 
-VIEWS["fx_attempts"] = """
+#: A search has offers 0 to ``seq % 4``, or none where ``seq % 10 = 0``.
+POSITIONS = range(4)
+
+
+def _of(pos: int) -> dict[str, str]:
+    """SQL for the fields of the offer in place ``pos``; some have no price, some a price of zero."""
+    n = f"(seq + {pos})"
+    return {
+        "cents": f"CASE WHEN {n} % 17 = 0 THEN NULL WHEN {n} % 19 = 0 THEN 0 ELSE cents + {250 * pos} END",
+        "currency": f"CASE WHEN {n} % 3 = 0 THEN 'USD' ELSE 'SGD' END",
+        "duration": f"60 + cents % 600 + {10 * pos}",
+        "stops": f"cast({n} % 3 AS int)",
+        "airline": f"concat('A', cast({n} % 5 AS string))",
+    }
+
+
+def _offer_text(pos: int) -> str:
+    """SQL for the JSON of that offer; offers in odd places have two legs."""
+    f = _of(pos)
+    leg = lambda a, b: f"""concat('{{"departure_airport": "', {a}, '", "arrival_airport": "', {b}, '", "duration": ', cast(30 + cents % 50 AS string), '}}')"""
+    legs = leg("origin", "destination") if pos % 2 == 0 else f"concat({leg('origin', chr(39) + 'VIA' + chr(39))}, ', ', {leg(chr(39) + 'VIA' + chr(39), 'destination')})"
+    return (
+        f"""concat('{{"price": ', coalesce(cast({f["cents"]} AS string), 'null'), ', "currency": "', {f["currency"]}, '", "duration": ', """
+        f"""cast({f["duration"]} AS string), ', "stops": ', cast({f["stops"]} AS string), ', "primary_airline_name": "', {f["airline"]}, """
+        f"""'", "legs": [', {legs}, ']}}')"""
+    )
+
+
+VIEWS["fx_searches"] = """
 SELECT seq, CASE WHEN dir = 0 THEN concat('SIN|', d) ELSE concat(d, '|SIN') END AS route,
        cast(dep AS string) AS dep_date,
        CASE WHEN rt = 1 AND dir = 0 THEN cast(dep + cast(7 * (1 + seq % 3) AS int) AS string) ELSE '' END AS return_date,
        CASE WHEN rt = 1 AND dir = 0 THEN 'ROUND_TRIP' ELSE 'ONE_WAY' END AS flight_type,
        CASE WHEN dir = 0 THEN 'SIN' ELSE d END AS origin,
-       CASE WHEN dir = 0 THEN d ELSE 'SIN' END AS destination,
-       CASE WHEN ok = 1 THEN concat('[{"price": ', cast(cents AS string), ', "duration": ', cast(60 + cents % 600 AS string),
-            ', "stops": ', cast(cents % 3 AS string), ', "primary_airline_name": "A', cast(cents % 5 AS string), '"}]') END AS flights,
+       CASE WHEN dir = 0 THEN d ELSE 'SIN' END AS destination, cents,
        CASE WHEN event_type = 'view' THEN '429' WHEN event_type = 'signup' THEN 'data'
             WHEN event_type = 'error' THEN CASE seq % 4 WHEN 0 THEN 'timeout' WHEN 1 THEN 'connection'
                                                         WHEN 2 THEN 'no_proxy' ELSE 'other' END END AS error_type,
@@ -46,6 +72,14 @@ FROM (SELECT event_id AS seq, ts, event_type,
       FROM events) x
 """.replace("{DESTINATION}", DESTINATION)
 
+VIEWS["fx_attempts"] = f"""
+SELECT seq, route, dep_date, return_date, flight_type, origin, destination,
+       CASE WHEN success = 1 AND seq % 10 = 0 THEN '[]' WHEN success = 1 THEN concat('[', {_offer_text(0)},
+            {", ".join(f"CASE WHEN seq % 4 >= {pos} THEN concat(', ', {_offer_text(pos)}) ELSE '' END" for pos in POSITIONS if pos)}, ']') END AS flights,
+       error_type, retries, success, searched_at
+FROM fx_searches
+"""
+
 VIEWS["fx_attempt_log"] = """
 SELECT seq, route, dep_date, return_date, flight_type,
        cast(floor(n / 3) AS int) AS round, cast(n % 3 AS int) AS attempt, success, error_type, flights, searched_at
@@ -53,12 +87,15 @@ FROM (SELECT *, row_number() OVER (PARTITION BY route, dep_date, return_date, fl
       FROM fx_attempts) x
 """
 
-VIEWS["fx_offers"] = """
-SELECT seq, route, dep_date, return_date, flight_type, origin, destination,
-       cast(searched_at AS date) AS snapshot_date, e.value AS price,
-       concat('A', cast(seq % 5 AS string)) AS primary_airline_name, cast(seq % 3 AS int) AS stops
-FROM fx_attempts a JOIN events e ON a.seq = e.event_id WHERE success = 1
-"""
+def _offers_at(pos: int, where: str) -> str:
+    f = _of(pos)
+    return f"""SELECT seq, route, dep_date, return_date, flight_type, origin, destination, cast(searched_at AS date) AS snapshot_date,
+       {pos} AS offer_pos, {f["currency"]} AS currency, cast({f["cents"]} AS double) / 100 AS price, {f["airline"]} AS primary_airline_name, {f["stops"]} AS stops
+FROM fx_searches WHERE success = 1 AND seq % 10 <> 0 AND {where}"""
+
+
+# The offers of all searches; the first offer of some came twice.
+VIEWS["fx_offers"] = " UNION ALL ".join([*(_offers_at(pos, f"seq % 4 >= {pos}") for pos in POSITIONS), _offers_at(0, "seq % 23 = 0")])
 
 VIEWS["fx_responses"] = """
 SELECT page_id AS response_id,

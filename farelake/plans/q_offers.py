@@ -9,7 +9,7 @@ from farelake.functions import payload
 from farelake.operators import offers as of
 from farelake.plans.fixtures import fx
 from farelake.plans.q_attempts import payloads
-from farelake.plans.q_state import LATEST, PK, stored
+from farelake.plans.q_state import FIELD, LATEST, PK, all_offers, stored
 from farelake.plans.registry import query
 
 PARSED = payloads("fx_payloads", "payload")
@@ -92,11 +92,23 @@ def expand_outcome(spark, sf):
 
 
 @query("flatten_offers", f"""
-SELECT {PK}, CASE WHEN flights IS NOT NULL THEN 0 END AS offer_pos, (flights::JSON->>'$[0].price')::DOUBLE AS price,
- (flights::JSON->>'$[0].duration')::INT AS duration, (flights::JSON->>'$[0].stops')::INT AS stops,
- flights::JSON->>'$[0].primary_airline_name' AS primary_airline_name FROM {LATEST} x""")
+SELECT {PK}, offer_pos, {FIELD.format("price")}::DOUBLE AS price, {FIELD.format("currency")} AS currency, {FIELD.format("duration")}::INT AS duration,
+ {FIELD.format("stops")}::INT AS stops, {FIELD.format("primary_airline_name")} AS primary_airline_name FROM {all_offers(LATEST)} x""")
 def flatten_offers(spark, sf):
-    rows = of.decode_flights(stored(spark, sf).select(*S.PK, "flights"))
-    return of.flatten_offers(rows).select(
-        *S.PK, "offer_pos", "price", "duration", "stops", "primary_airline_name"
-    )
+    return flattened(spark, sf).select(*S.PK, "offer_pos", "price", "currency", "duration", "stops", "primary_airline_name")
+
+
+def flattened(spark, sf):
+    return of.flatten_offers(of.decode_flights(stored(spark, sf).select(*S.PK, "flights")))
+
+
+LEG = "json_extract_string(flights, '$[' || offer_pos || '].legs[' || leg_pos || '].{}')"
+
+
+@query("flatten_legs", f"""
+SELECT {PK}, offer_pos, price, leg_pos, {LEG.format("departure_airport")} AS departure_airport, {LEG.format("arrival_airport")} AS arrival_airport,
+ {LEG.format("duration")}::INT AS duration FROM (SELECT *, {FIELD.format("price")}::DOUBLE AS price,
+ unnest(CASE WHEN offer_pos IS NULL THEN [NULL] ELSE range(1 + offer_pos % 2) END)::INT AS leg_pos FROM {all_offers(LATEST)} o) x""")
+def flatten_legs(spark, sf):
+    """One row per leg of every offer; searches without offers keep a row."""
+    return of.flatten_legs(flattened(spark, sf)).select(*S.PK, "offer_pos", "price", "leg_pos", "departure_airport", "arrival_airport", "duration")

@@ -11,15 +11,16 @@ from farelake.plans.crc import CRC_TABLE_SQL, crc32_sql
 from farelake.plans.fixtures import fx
 from farelake.plans.providers import Provider, ProviderRegistry, captured, collect
 from farelake.plans.q_endpoints import MEDIAN, QUALITY, quality_score
-from farelake.plans.q_state import COLUMNS, LATEST, PK, stored
+from farelake.plans.q_state import COLUMNS, FIELD, LATEST, PK, all_offers, stored
 from farelake.plans.q_tasks import GRID, build_tasks
 from farelake.plans.registry import query
 from farelake.session import work_path
 from farelake.sources import bronze, silver, snapshots, statetable
 
 GOOD = f"(SELECT * FROM {LATEST} l WHERE success = 1)"
-OFFERS = f"""SELECT {PK}, origin, destination, searched_at, 1 AS n_offers, (flights::JSON->>'$[0].price')::DOUBLE AS price,
- flights::JSON->>'$[0].primary_airline_name' AS airline FROM {GOOD} g"""
+ALL_OFFERS = all_offers(GOOD)
+OFFERS = f"""SELECT {PK}, origin, destination, searched_at, n_offers, offer_pos, {FIELD.format("price")}::DOUBLE AS price,
+ {FIELD.format("currency")} AS currency, {FIELD.format("primary_airline_name")} AS airline FROM {ALL_OFFERS} o"""
 
 
 def exported(spark, sf, label: str) -> str:
@@ -29,27 +30,28 @@ def exported(spark, sf, label: str) -> str:
     return path
 
 
-def with_first_offer(rows):
-    offer = F.get("flights", F.lit(0))
+def with_offers(rows):
+    """One row per offer with its place in the list; a search without offers keeps one."""
     return rows.select(
-        *S.SEED_COLUMNS, F.col("searched_at").cast("timestamp_ntz").alias("searched_at"),
-        F.size("flights").alias("n_offers"), offer["price"].alias("price"),
-        offer["primary_airline_name"].alias("airline"),
+        *S.SEED_COLUMNS, F.col("searched_at").cast("timestamp_ntz").alias("searched_at"), F.size("flights").alias("n_offers"),
+        F.posexplode_outer("flights").alias("offer_pos", "offer"),
+    ).select(
+        *S.SEED_COLUMNS, "searched_at", "n_offers", "offer_pos", "offer.price", "offer.currency", F.col("offer.primary_airline_name").alias("airline")
     )
 
 
 @query("read_bronze", OFFERS)
 def read_bronze(spark, sf):
-    return with_first_offer(bronze.read_bronze(spark, exported(spark, sf, "bronze")).drop(bronze.CORRUPT))
+    return with_offers(bronze.read_bronze(spark, exported(spark, sf, "bronze")).drop(bronze.CORRUPT))
 
 
 @query("read_bronze_inferred", f"""
-SELECT route, count(*) AS n, sum((flights::JSON->>'$[0].price')::BIGINT)::BIGINT AS cents FROM {GOOD} g GROUP BY route""")
+SELECT route, count(*) AS n, sum({FIELD.format("price")}::BIGINT)::BIGINT AS cents FROM {ALL_OFFERS} o GROUP BY route""")
 def read_bronze_inferred(spark, sf):
     """Columns taken from the lines themselves."""
     rows = bronze.read_bronze(spark, exported(spark, sf, "inferred"), schema=None)
-    cents = F.sum(F.get("flights", F.lit(0))["price"]).alias("cents")
-    return rows.groupBy("route").agg(F.count(F.lit(1)).alias("n"), cents)
+    offers = rows.select("route", F.explode_outer("flights.price").alias("price"))
+    return offers.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("cents"))
 
 
 @query("latest_bundle", f"SELECT route, count(*) AS n FROM {GOOD} g WHERE flight_type = 'ROUND_TRIP' GROUP BY route")
@@ -74,18 +76,18 @@ def silver_write(spark, sf):
     path, _ = written_silver(spark, sf, "silver")
     one = silver.read_silver(spark, path).filter(F.col("route") == "SIN|KUL").checkpoint()
     silver.write_silver(one, path)
-    return with_first_offer(silver.read_silver(spark, path))
+    return with_offers(silver.read_silver(spark, path))
 
 
 @query("silver_read", f"""
-SELECT route, flight_type, count(*) AS n, min((flights::JSON->>'$[0].price')::DOUBLE) AS min_price
-FROM {GOOD} g WHERE origin = 'SIN' GROUP BY route, flight_type""")
+SELECT route, flight_type, count(*) AS n, min({FIELD.format("price")}::DOUBLE) AS min_price
+FROM {ALL_OFFERS} o WHERE origin = 'SIN' GROUP BY route, flight_type""")
 def silver_read(spark, sf):
     path, _ = written_silver(spark, sf, "silver-sql")
     silver.read_silver(spark, path).createOrReplaceTempView("silver_rows")
     return spark.sql(
-        "SELECT route, flight_type, count(*) AS n, min(get(flights, 0).price) AS min_price "
-        "FROM silver_rows WHERE route LIKE 'SIN|%' GROUP BY route, flight_type"
+        "SELECT route, flight_type, count(*) AS n, min(price) AS min_price FROM silver_rows "
+        "LATERAL VIEW OUTER explode(flights.price) o AS price WHERE route LIKE 'SIN|%' GROUP BY route, flight_type"
     )
 
 
@@ -96,17 +98,17 @@ def write_count(spark, sf):
 
 
 @query("bronze_export", f"""
-SELECT {PK}, origin, destination, (flights::JSON->>'$[0].price')::BIGINT AS cents, 8 AS n_fields, searched_at FROM {GOOD} g""")
+SELECT {PK}, origin, destination, offer_pos, {FIELD.format("price")}::BIGINT AS cents, 8 AS n_fields, searched_at FROM {ALL_OFFERS} o""")
 def bronze_export(spark, sf):
     """The exported lines, taken apart again with a plain JSON reader."""
     lines = spark.read.text(exported(spark, sf, "export"))
     doc = F.parse_json("value")
     text = [F.try_variant_get(doc, f"$.{c}", "string").alias(c) for c in S.SEED_COLUMNS]
+    offers = F.from_json(F.get_json_object("value", "$.flights"), "array<string>")
     return lines.select(
-        *text, F.try_variant_get(doc, "$.flights[0].price", "bigint").alias("cents"),
-        F.size(F.json_object_keys("value")).alias("n_fields"),
-        F.try_variant_get(doc, "$.searched_at", "string").cast("timestamp_ntz").alias("searched_at"),
-    )
+        *text, F.size(F.json_object_keys("value")).alias("n_fields"),
+        F.try_variant_get(doc, "$.searched_at", "string").cast("timestamp_ntz").alias("searched_at"), F.posexplode_outer(offers).alias("offer_pos", "offer"),
+    ).withColumn("cents", F.get_json_object("offer", "$.price").cast("bigint")).drop("offer")
 
 
 @query("publish_manifest", f"SELECT DISTINCT 'silver/route=' || route AS folder, true AS filled FROM {GOOD} g")

@@ -18,6 +18,16 @@ LATEST = f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {PK} ORDE
 FAILED = "success = 0 AND error_type IN ('429', 'timeout', 'connection', 'no_proxy', 'data')"
 
 
+#: A field of the offer in place ``offer_pos`` of the stored text.
+FIELD = "json_extract_string(flights, '$[' || offer_pos || '].{}')"
+
+
+def all_offers(rows: str) -> str:
+    """SQL for a row per offer of ``rows`` with ``n_offers`` and ``offer_pos``; a search without offers keeps one."""
+    size = "json_array_length(coalesce(flights, '[]'))"
+    return f"""(SELECT g.*, {size}::INT AS n_offers, unnest(CASE WHEN {size} = 0 THEN [NULL] ELSE range({size}::BIGINT) END)::INT AS offer_pos FROM {rows} g)"""
+
+
 def stored(spark, sf) -> DataFrame:
     """The state after all attempts of the log."""
     return st.upsert_latest(fx(spark, sf, "fx_attempts"))
@@ -117,15 +127,12 @@ def successful_raw(spark, sf):
 
 
 @query("successful_parsed", f"""
-SELECT {PK}, json_array_length(coalesce(flights, '[]'))::INT AS n_offers,
- (flights::JSON->>'$[0].price')::DOUBLE AS price, flights::JSON->>'$[0].primary_airline_name' AS airline
-FROM fx_state WHERE success = 1""")
+SELECT {PK}, n_offers, offer_pos, {FIELD.format("price")}::DOUBLE AS price, {FIELD.format("primary_airline_name")} AS airline
+FROM {all_offers("(SELECT * FROM fx_state WHERE success = 1)")} x""")
 def successful_parsed(spark, sf):
-    offer = F.get("flights", F.lit(0))
     return st.successful_parsed(fx(spark, sf, "fx_state")).select(
-        *S.PK, F.size("flights").alias("n_offers"), offer["price"].alias("price"),
-        offer["primary_airline_name"].alias("airline"),
-    )
+        *S.PK, F.size("flights").alias("n_offers"), F.posexplode_outer("flights").alias("offer_pos", "offer")
+    ).select(*S.PK, "n_offers", "offer_pos", "offer.price", F.col("offer.primary_airline_name").alias("airline"))
 
 
 @query("check_state", "SELECT count(*) AS n FROM fx_state")

@@ -9,7 +9,7 @@ from farelake import schema as S
 from farelake.functions.common import epoch_micros
 from farelake.plans.fixtures import sql, table, with_views
 from farelake.plans.q_endpoints import BURST_RATE, MAX_RATE, MIN_RATE, POOL, TRACE
-from farelake.plans.q_sources import OFFERS, exported, with_first_offer
+from farelake.plans.q_sources import OFFERS, exported, with_offers
 from farelake.plans.q_state import COLUMNS, LATEST, PK
 from farelake.plans.registry import query
 from farelake.session import work_path
@@ -32,7 +32,7 @@ def stream_bronze(spark, sf):
     bundle = exported(spark, sf, "stream-bronze")
     out = work_path(spark, "stream-silver")
     jobs.stream_bronze(jobs.read_bundles(spark, bundle), out, work_path(spark, "ckpt"))
-    return with_first_offer(jobs.read_stream_silver(spark, out))
+    return with_offers(jobs.read_stream_silver(spark, out))
 
 
 @query("stream_upsert", f"SELECT seq, {COLUMNS} FROM {LATEST} l")

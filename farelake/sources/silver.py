@@ -33,7 +33,7 @@ def read_silver(spark: SparkSession, path: str, partition: str = "route") -> Dat
     return spark.read.parquet(path).withColumn(partition, F.col(partition).cast("string"))
 
 
-def publish_manifest(spark: SparkSession, path: str, prefix: str = "silver") -> DataFrame:
+def publish_manifest(spark: SparkSession, path: str, prefix: str = "silver", with_time: bool = False) -> DataFrame:
     """Every Parquet file below ``path`` with its size and the object key it is published under.
 
     Only listings are read. Publishing itself is ``write_silver`` with an object-store path.
@@ -43,7 +43,7 @@ def publish_manifest(spark: SparkSession, path: str, prefix: str = "silver") ->
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select("path", "length")
+        .select("path", "length", *(["modificationTime"] if with_time else []))
     )
     root = path.split("://", 1)[-1].split(":", 1)[-1].rstrip("/") + "/"
     relative = F.substring_index("path", root, -1)

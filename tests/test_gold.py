@@ -142,3 +142,67 @@ def test_lead_buckets(spark):
     df = spark.createDataFrame([(d,) for d in (-1, 0, 30, 31, 90, 91, None)], "d int")
     got = [r.b for r in df.select(gold.lead_bucket("d").alias("b")).collect()]
     assert got == ["past", "0-30", "0-30", "31-60", "61-90", "91+", "unknown"]
+
+
+def test_currencies_stay_apart(spark):
+    rows = [(*offer(i, p), c) for i, (p, c) in enumerate([(100.0, "SGD"), (90.0, "VND"), (None, "SGD"), (300.0, "SGD"), (80.0, None)])]
+    df = spark.createDataFrame(rows, SCHEMA + ", currency string")
+    assert {(r.currency, r.price, r.n_offers) for r in gold.cheapest_snapshot(df).collect()} == {("SGD", 80.0, 4), ("VND", 90.0, 1)}
+    assert {(r.currency, r.mean_price, r["rank"]) for r in gold.route_comparison(df).collect()} == {("SGD", 160.0, 1), ("VND", 90.0, 1)}
+    assert {(r.currency, r.n_offers, r.mean_price) for r in gold.airline_comparison(df).collect()} == {("SGD", 4, 160.0), ("VND", 1, 90.0)}
+    assert gold.route_rollup(df).count() == 6
+    raw = df.withColumns({"lead_days": F.lit(5), "dep_month": F.lit(3), "dep_weekday": F.lit(1)})
+    assert {(r.currency, r.mean_price, r.price_index) for r in gold.booking_window(raw).collect()} == {("SGD", 160.0, 1.0), ("VND", 90.0, 1.0)}
+    assert {(r.currency, r.n_offers) for r in gold.seasonal(raw).collect()} == {("SGD", 4), ("VND", 1)}
+    # No price at all: no mean, not a division by zero.
+    none = df.filter("price IS NULL")
+    assert [r.mean_price for f in (gold.airline_comparison, gold.route_comparison) for r in f(none).collect()] == [None, None]
+
+
+def test_sketches_merge_over_any_days(spark):
+    n = 20000
+    df = spark.range(n).select(
+        F.col("id").alias("seq"), F.lit("SIN|KUL").alias("route"), (F.col("id") % (n // 2)).cast("string").alias("dep_date"), F.lit("").alias("return_date"),
+        F.lit("ONE_WAY").alias("flight_type"), F.date_add(F.lit(D0), (F.col("id") % 20).cast("int")).alias("snapshot_date"),
+        F.lit(10.0).alias("price"), F.lit("A").alias("primary_airline_name"),
+    )
+    sketches = gold.airline_sketches(df)
+    assert sketches.count() == 20
+    for last, exact in (("2024-01-01", n // 40), ("2024-01-10", n // 4), ("2024-01-20", n // 2)):
+        r = gold.airlines_between(sketches, "2024-01-01", last).collect()[0]
+        assert abs(r.about - exact) <= 4 * r.error * exact and r.error < 0.02
+
+
+def test_refresh_computes_changed_routes_only(spark, tmp_path):
+    from farelake.plans import refresh
+    from farelake.sources import silver, statetable
+
+    out, lake = str(tmp_path / "gold"), str(tmp_path / "silver")
+    flights = "array<struct<price:double,currency:string,primary_airline_name:string>>"
+    schema = f"route string, dep_date string, return_date string, flight_type string, flights {flights}, searched_at string"
+    search = lambda route, price, at="2024-01-02 10:00:00": (route, "2024-03-01", "", "ONE_WAY", [(price, "SGD", "A"), (None, "SGD", "B"), (0.0, "SGD", "C"), (7.0, "VND", "D")], at)
+    silver.write_silver(spark.createDataFrame([search(f"R{i}", 100.0 + i) for i in range(4)], schema), lake)
+    assert refresh.refresh(spark, lake, out).routes == [f"R{i}" for i in range(4)]
+    before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "gold").rglob("*.parquet")}
+    assert refresh.refresh(spark, lake, out) == refresh.Refreshed(1, [], [])
+    silver.write_silver(spark.createDataFrame([search("R2", 50.0), search("R2", 60.0, "2024-01-03 10:00:00")], schema), lake)
+    base = statetable.current_commit(spark, f"{out}/manifest")
+    assert refresh.refresh(spark, lake, out).routes == ["R2"]
+    fresh = [p for p in (tmp_path / "gold").rglob("*.parquet") if p.name not in before and "manifest" not in str(p)]
+    assert fresh and all(p.parent.name == "route=R2" for p in fresh)
+    got = {(r.route, str(r.snapshot_date), r.currency): (r.price, r.version) for r in refresh.read_gold(spark, out, "snapshots").collect()}
+    assert got[("R2", "2024-01-02", "SGD")] == (50.0, 2) and got[("R2", "2024-01-03", "SGD")] == (60.0, 2) and got[("R1", "2024-01-02", "SGD")] == (101.0, 1)
+    assert got[("R1", "2024-01-02", "VND")] == (7.0, 1) and len(got) == 10
+    # Of two refreshes from one manifest the second fails.
+    with pytest.raises(statetable.StateConflict):
+        statetable.write_state(spark.createDataFrame([], refresh.MANIFEST), f"{out}/manifest", buckets=1, base=base, place=("route",))
+    # A route that left silver leaves gold; folders without a route are removed.
+    from farelake.sources import storage
+    storage.remove(spark, f"{lake}/route=R0")
+    assert refresh.refresh(spark, lake, out).gone == ["R0"]
+    assert {r.route for r in refresh.read_gold(spark, out, "facts").collect()} == {"R1", "R2", "R3"}
+    assert refresh.read_gold(spark, out, "facts", ["R9"]) is None
+    silver.write_silver(spark.createDataFrame([search("R1", 1.0), search("R3", 1.0)], schema), lake)
+    refresh.refresh(spark, lake, out)
+    kept = {tuple(r) for r in refresh.read_gold(spark, out, "snapshots").collect()}
+    assert len(refresh.drop_unused(spark, out)) == 3 and {tuple(r) for r in refresh.read_gold(spark, out, "snapshots").collect()} == kept

@@ -29,7 +29,7 @@ def test_entry_has_rows(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns == [
-        "route", "dep_date", "return_date", "flight_type", "snapshot_date", "price", "airline", "n_offers"
+        "route", "dep_date", "return_date", "flight_type", "currency", "snapshot_date", "price", "airline", "n_offers"
     ]
 
 
