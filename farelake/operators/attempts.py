@@ -13,12 +13,15 @@ from farelake.functions.common import floor_div, format_duration
 from farelake.operators.scaling import join_on, latest, running_total
 
 
-def classify_exchanges(exchanges: DataFrame) -> DataFrame:
+def classify_exchanges(exchanges: DataFrame, only_open: bool = False) -> DataFrame:
     """Captured exchanges with every class, the decoded offers and the outcome of the attempt.
 
-    Input: has_endpoint, exception, status, body. Everything is one projection over the scan.
+    Input: has_endpoint, exception, status, body. Everything is one projection over the scan. With ``only_open`` a body is decoded only
+    where endpoint, exception and status leave the outcome open; elsewhere it reads as one without payload.
     """
-    paged = exchanges.withColumn("_page", payload.payload_struct("body"))
+    settled_before = ~F.col("has_endpoint") | F.col("exception").isNotNull() | (outcomes.http_class("status", "body") != outcomes.OK)
+    body = F.when(~F.coalesce(settled_before, F.lit(False)), F.col("body")) if only_open else F.col("body")
+    paged = exchanges.withColumn("_page", payload.payload_struct(body))
     decoded = paged.withColumn("offers", payload.decode_offers("_page.raw"))
     n_offers = F.coalesce(F.size("offers"), F.lit(0))
     classed = (

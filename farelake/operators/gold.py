@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelake import schema as S
-from farelake.operators.scaling import join_on, percentiles
+from farelake.operators.scaling import percentiles
 
 SNAPSHOT = ("snapshot_date",)
 ITINERARY = S.PK
@@ -95,13 +95,16 @@ def price_trend(snapshots: DataFrame) -> DataFrame:
 
 def route_comparison(offers: DataFrame) -> DataFrame:
     """Offers, lowest, mean and median price per route, type and currency, ranked by mean price per type and currency."""
-    offers, keys = in_currency(offers), ["route", "flight_type", *CURRENCY]
-    summary = offers.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_offers"), F.min("price").alias("min_price"), mean().alias("mean_price")
-    )
-    middle = percentiles(offers, keys, "price", {"median_price": 0.5})
+    keys = ["route", "flight_type", *CURRENCY]
+    # All of it from one pass that counts equal prices.
+    paid = F.sum(F.col("_v").cast(MONEY) * F.col("_cnt").cast("decimal(12,0)")).cast("double")
+    totals = {
+        "n_offers": F.sum("_cnt"), "min_price": F.min("_v"),
+        "mean_price": paid / F.nullif(F.sum(F.when(F.col("_v").isNotNull(), F.col("_cnt"))), F.lit(0)),
+    }
+    summary = percentiles(in_currency(offers), keys, "price", {"median_price": 0.5}, totals)
     by_mean = Window.partitionBy("flight_type", *CURRENCY).orderBy("mean_price")
-    return join_on(summary, middle, keys).drop("_n").withColumn("rank", F.rank().over(by_mean))
+    return summary.withColumn("rank", F.rank().over(by_mean))
 
 
 def route_rollup(offers: DataFrame) -> DataFrame:

@@ -46,23 +46,29 @@ def top_outbound(outbound: DataFrame, n: int = 3, task: Sequence[str] = ("task_i
     return top_n(outbound, task, ["out_pos"], n)
 
 
+#: What merging changes; the other fields are those of the outbound offer.
+MERGED = ("legs", "price", "duration", "stops", "booking_token")
+
+
 def round_trip_pairs(outbound: DataFrame, inbound: DataFrame, n: int = 3) -> DataFrame:
-    """Each selected outbound option with its return options, merged.
+    """Each selected outbound option with its return options, merged into whole offers: every offer field that ``outbound`` has is kept.
 
     One row per pair, so an option with very many returns stays many rows; its join partition is split
     by Spark's skew join. Failed expansions pair with nothing.
     """
     out = top_outbound(outbound, n).filter(F.col("expand_error").isNull())
-    back = inbound.select(
-        "out_id", "in_pos",
-        *[F.col(c).alias(f"in_{c}") for c in ("price", "duration", "stops", "booking_token")],
-    )
+    changed = [c for c in MERGED if c in outbound.columns and c in inbound.columns]
+    back = inbound.select("out_id", "in_pos", *[F.col(c).alias(f"in_{c}") for c in changed])
+    merge = {
+        "legs": lambda: F.concat(*[F.coalesce(c, F.array().cast(outbound.schema["legs"].dataType)) for c in ("legs", "in_legs")]),
+        "price": lambda: payload.merged_price("price", "in_price"),
+        "duration": lambda: F.col("duration") + F.col("in_duration"),
+        "stops": lambda: F.col("stops") + F.col("in_stops"),
+        "booking_token": lambda: payload.merged_token("booking_token", "in_booking_token"),
+    }
+    fields = [c for c in S.OFFER.names if c in outbound.columns]
     return out.join(back, "out_id").select(
-        "task_id", "out_id", "out_pos", "in_pos",
-        payload.merged_price("price", "in_price").alias("price"),
-        (F.col("duration") + F.col("in_duration")).alias("duration"),
-        (F.col("stops") + F.col("in_stops")).alias("stops"),
-        payload.merged_token("booking_token", "in_booking_token").alias("booking_token"),
+        "task_id", "out_id", "out_pos", "in_pos", *[merge[c]().alias(c) if c in changed else F.col(c) for c in fields]
     )
 
 

@@ -2,7 +2,7 @@
 
 Each helper replaces a plain window over a whole key by steps whose groups are small by construction:
 block sums plus offsets instead of one long running sum, a salted pre-selection instead of one long
-ranking, counts per value instead of a list of values.
+ranking, counts per value and ranges of values instead of a list of values.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farelake.session import work_path
+
 ROWS_PER_BLOCK = 65536
 BEFORE = (Window.unboundedPreceding, -1)
 UP_TO = (Window.unboundedPreceding, Window.currentRow)
@@ -91,39 +93,79 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
     return _ranked(df, keys, [F.col(c).desc() for c in order], 1)
 
 
+#: Ranges that the values of a key are cut into in one round.
+RANGES = 4096
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _range_of(value: Column, low: Column, high: Column, by_size: bool) -> Column:
+    """The range that ``value`` falls into: one of RANGES of equal width, or of equal ratio of the distance from ``low``. The ends are apart."""
+    share = (value - low).cast("double") / (high - low).cast("double")
+    if by_size:
+        share = F.log1p(share * float(1 << 60)) / F.log1p(F.lit(float(1 << 60)))
+    inner = F.when(F.isnan(share) | share.isNull(), F.lit(RANGES // 2)).otherwise(F.least(F.floor(share * RANGES), F.lit(RANGES - 1)))
+    return F.when(value == low, 0).when(value == high, RANGES + 1).otherwise(inner.cast("int") + 1).cast("int")
+
+
 def order_statistics(
-    df: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Column], block_width: float = 1.0
+    df: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Column], most: int = ROWS_PER_BLOCK,
+    totals: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Exact order statistics per key: ``ranks`` maps an output name to a 1-based rank over ``_n``.
 
-    Equal values are counted before the shuffle and ranks come from running counts over value ranges
-    ``block_width`` wide, so no list of a key's values is ever built. NULL values do not count; a key
+    ``df`` is scanned once: equal values are counted before the shuffle, and everything else comes from those counts. A key of at most ``most``
+    different values is done with one look at them. Of the others the values are cut into ranges between their least and largest, the range that
+    holds the rank is found from counts per range, and only that one is cut again, so windows stay small whatever the values look like.
+    ``totals`` are more aggregates over the counts, by the columns ``_v`` (value) and ``_cnt``. NULL values do not count; a key
     without values stays, with ``_n`` 0 and NULL statistics.
     """
     keys = list(keys)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    block = F.floor(F.col(value) / F.lit(block_width))
-    scanned = running_total(counts, keys, block, [value], F.col("_cnt"), "_upto")
-    totals = df.groupBy(*keys).agg(F.count(value).alias("_n"))
-    hits = join_on(totals, scanned, keys, "left")
-    picks = [
-        F.max(F.when((rank <= F.col("_upto")) & (rank > F.col("_upto") - F.col("_cnt")), F.col(value))).alias(name)
-        for name, rank in ranks.items()
-    ]
-    return hits.groupBy(*keys).agg(F.max("_n").alias("_n"), *picks)
-
-
-def percentiles(df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:
-    """Exact interpolated percentiles per key, from two order statistics each."""
+    counts = _written(df.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_cnt")), "value-counts")
+    there = F.col("_v").isNotNull()
+    per_key = counts.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.when(there, F.col("_cnt"))), F.lit(0)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"),
+        F.count("_v").alias("_d"), *[c.alias(name) for name, c in (totals or {}).items()],
+    )
+    asked = F.explode(F.array(*[F.struct(F.lit(n).alias("_name"), r.cast("bigint").alias("_rank")) for n, r in ranks.items()]))
+    wants = per_key.select(*keys, "_low", "_high", "_d", asked.alias("_a")).select(*keys, "_low", "_high", "_d", "_a.*")
+    within = (F.col("_v") >= F.col("_low")) & (F.col("_v") <= F.col("_high"))
+    turn = 0
+    while not (wide := wants.filter(F.col("_d") > most)).isEmpty():
+        rows = join_on(counts.filter(there), wide.drop("_d"), keys).filter(within)
+        cut = rows.groupBy(*keys, "_name", "_rank", _range_of(F.col("_v"), F.col("_low"), F.col("_high"), turn % 2 == 1).alias("_range")).agg(
+            F.sum("_cnt").alias("_c"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count(F.lit(1)).alias("_d")
+        )
+        upto = F.sum("_c").over(Window.partitionBy(*keys, "_name").orderBy("_range").rowsBetween(*UP_TO))
+        before = F.col("_upto") - F.col("_c")
+        holds = cut.withColumn("_upto", upto).filter((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > before))
+        narrowed = holds.withColumn("_rank", F.col("_rank") - before)
+        wants = _written(wants.filter(F.col("_d") <= most).unionByName(narrowed.select(*keys, "_low", "_high", "_d", "_name", "_rank")), "value-ranges")
+        turn += 1
+    rows = join_on(counts.filter(there), wants, keys).filter(within)
+    upto = F.sum("_cnt").over(Window.partitionBy(*keys, "_name").orderBy("_v").rowsBetween(*UP_TO))
+    found = rows.withColumn("_upto", upto).filter((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_cnt")))
+    picks = found.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in ranks])
+    return join_on(per_key.drop("_low", "_high", "_d"), picks, keys, "left")
+
+
+def percentiles(
+    df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float], totals: dict[str, Column] | None = None, most: int = ROWS_PER_BLOCK
+) -> DataFrame:
+    """Exact interpolated percentiles per key, from two order statistics each; ``totals`` as in ``order_statistics``."""
     ranks: dict[str, Column] = {}
     for name, share in shares.items():
         at = (F.col("_n") - 1) * F.lit(share)
         ranks[f"{name}_lo"] = F.floor(at) + 1
         ranks[f"{name}_hi"] = F.ceil(at) + 1
-    stats = order_statistics(df, keys, value, ranks)
+    stats = order_statistics(df, keys, value, ranks, most, totals)
     out = []
     for name, share in shares.items():
         at = (F.col("_n") - 1) * F.lit(share)
         low, high = F.col(f"{name}_lo"), F.col(f"{name}_hi")
         out.append((low + (high - low) * (at - F.floor(at))).alias(name))
-    return stats.select(*keys, *out)
+    return stats.select(*keys, *(totals or {}), *out)

@@ -39,15 +39,22 @@ def convert(spark: SparkSession, state_path: str, bundle_path: str) -> bool:
     return bronze.export_bronze(st.check_state(statetable.read_state(spark, state_path)), bundle_path)
 
 
-def transform(spark: SparkSession, bundle_path: str | list[str], silver_path: str, quarantine_path: str | None = None) -> int:
+def transform(
+    spark: SparkSession, bundle_path: str | list[str], silver_path: str, quarantine_path: str | None = None, growing: bool = False
+) -> int:
     """Bundles to silver; returns the rows written.
 
     Lines are parsed once. Broken ones go as they are to ``quarantine_path``, by default beside silver, in a folder per bundle; a bundle
-    that is converted again replaces its own.
+    that is converted again replaces its own. With ``growing`` fields that the schema does not know go to silver too; ``read_silver``
+    then merges the schemas of its files.
     """
+    if growing:
+        read = bronze.read_growing(spark, bundle_path)
+    else:
+        read = bronze.read_bronze(spark, bundle_path).withColumn("bundle", bronze.bundle_of(F.col("_metadata.file_path")))
     parsed = work_path(spark, "parsed")
-    bronze.read_bronze(spark, bundle_path).withColumn("bundle", bronze.bundle_of(F.col("_metadata.file_path"))).write.parquet(parsed)
-    lines = spark.read.parquet(parsed)
+    read.write.parquet(parsed)
+    lines = spark.read.schema(read.schema).parquet(parsed)
     broken = lines.filter(F.col(bronze.CORRUPT).isNotNull()).select(bronze.CORRUPT, "bundle")
     aside = quarantine_path or f"{silver_path.rstrip('/')}_quarantine"
     broken.write.partitionBy("bundle").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(aside)

@@ -97,7 +97,7 @@ def payload_class_pages(spark, sf):
 
 @query("attempt_outcome", f"SELECT response_id, error_type, stubbed, success FROM {OUTCOME} x")
 def attempt_outcome(spark, sf):
-    return at.classify_exchanges(fx(spark, sf, "fx_exchanges")).select(
+    return at.classify_exchanges(fx(spark, sf, "fx_exchanges"), only_open=True).select(
         "response_id", "error_type", "stubbed", "success"
     )
 
@@ -107,7 +107,7 @@ SELECT CASE WHEN error_type IS NULL THEN 'ok' WHEN error_type IN ('timeout', 'co
  WHEN error_type = '429' THEN 'rate_limited' WHEN stubbed THEN 'stub' ELSE 'none' END AS event, count(*) AS n
 FROM {OUTCOME} x GROUP BY 1""")
 def endpoint_blame(spark, sf):
-    classed = at.classify_exchanges(fx(spark, sf, "fx_exchanges"))
+    classed = at.classify_exchanges(fx(spark, sf, "fx_exchanges"), only_open=True)
     event = outcomes.endpoint_event("error_type", "stubbed").alias("event")
     return classed.groupBy(event).agg(F.count(F.lit(1)).alias("n"))
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelake import schema as S
 from farelake.operators.state import successful_raw
+from farelake.session import work_path
 
 CORRUPT = "_corrupt_record"
 
@@ -25,6 +26,45 @@ def read_bronze(
     return reader.json(paths)
 
 
+def _grown(known: T.DataType, found: T.DataType) -> T.DataType:
+    """``known`` with the fields that only ``found`` has; types that are known stay."""
+    if isinstance(known, T.ArrayType) and isinstance(found, T.ArrayType):
+        return T.ArrayType(_grown(known.elementType, found.elementType))
+    if isinstance(known, T.StructType) and isinstance(found, T.StructType):
+        news = {f.name: f.dataType for f in found}
+        fields = [T.StructField(f.name, _grown(f.dataType, news.pop(f.name, f.dataType))) for f in known]
+        return T.StructType([*fields, *[T.StructField(name, _storable(kind)) for name, kind in news.items()]])
+    return known
+
+
+def _storable(kind: T.DataType) -> T.DataType:
+    """A type that silver can hold: fields that are always null, or of several types, become text."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _storable(f.dataType)) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_storable(kind.elementType))
+    return T.StringType() if isinstance(kind, T.NullType | T.VariantType) else T.DoubleType() if isinstance(kind, T.DecimalType) else kind
+
+
+def read_growing(spark: SparkSession, paths: str | list[str], schema: T.StructType = S.BRONZE) -> DataFrame:
+    """Bundles with the fields of ``schema`` and, behind them, every other field that any line or offer has.
+
+    Lines are parsed once, to VARIANT values written aside; their common schema is an aggregate over those. Broken lines are kept as text, and a
+    value of another type than known reads as NULL.
+    """
+    aside = work_path(spark, "variants")
+    lines = spark.read.text(paths)
+    lines.select("value", F.try_parse_json("value").alias("doc"), F.col("_metadata.file_path").alias("file_path")).write.parquet(aside)
+    docs = spark.read.schema("value string, doc variant, file_path string").parquet(aside)
+    whole = F.col("doc").isNotNull() & F.schema_of_variant("doc").startswith("OBJECT")
+    told = docs.filter(whole).agg(F.schema_of_variant_agg("doc")).head()[0]
+    found = T.DataType.fromDDL(told.replace("OBJECT<", "struct<")) if told and told.startswith("OBJECT<") else T.StructType()
+    full = _grown(schema, found)
+    get = [F.when(whole, F.try_variant_get("doc", f"$['{f.name}']", f.dataType.simpleString())).alias(f.name) for f in full]
+    broken = F.when(F.coalesce(~whole, F.lit(True)), F.col("value")).alias(CORRUPT)
+    return docs.select(*get, broken, bundle_of(F.col("file_path")).alias("bundle"))
+
+
 def bronze_lines(state: DataFrame) -> DataFrame:
     """One JSON text per successful row, with the eight bundle fields in order.
 
@@ -43,10 +83,16 @@ def bronze_lines(state: DataFrame) -> DataFrame:
 
 
 def export_bronze(state: DataFrame, path: str, compression: str = "gzip") -> bool:
-    """Write the bundle in key order; without a successful row write nothing and return False."""
-    if state.filter("success = 1").isEmpty():
+    """Write the bundle in key order; without a successful row write nothing and return False.
+
+    The successful rows are written aside once and counted on the way; sorting, which reads its input twice, starts from there.
+    """
+    spark, aside, counted = state.sparkSession, work_path(state.sparkSession, "export"), Observation()
+    good = state.filter("success = 1").select(*S.BRONZE_COLUMNS, "success")
+    good.observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(aside)
+    if not counted.get["n"]:
         return False
-    bronze_lines(state).write.text(path, compression=compression)
+    bronze_lines(spark.read.schema(good.schema).parquet(aside)).write.text(path, compression=compression)
     return True
 
 

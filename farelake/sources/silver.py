@@ -28,9 +28,12 @@ def write_silver(df: DataFrame, path: str, partition: str = "route") -> int:
     return counted.get["n"]
 
 
-def read_silver(spark: SparkSession, path: str, partition: str = "route") -> DataFrame:
-    """Silver with the partition column always as text; filters on it prune folders."""
-    return spark.read.parquet(path).withColumn(partition, F.col(partition).cast("string"))
+def read_silver(spark: SparkSession, path: str, partition: str = "route", growing: bool = False) -> DataFrame:
+    """Silver with the partition column always as text; filters on it prune folders.
+
+    With ``growing`` the columns are those of all files, also inside offers; what a file lacks is NULL.
+    """
+    return spark.read.option("mergeSchema", str(growing).lower()).parquet(path).withColumn(partition, F.col(partition).cast("string"))
 
 
 def publish_manifest(spark: SparkSession, path: str, prefix: str = "silver", with_time: bool = False) -> DataFrame:

@@ -261,3 +261,20 @@ def test_broken_lines_stay_out_of_silver(spark, tmp_path):
     assert lifecycle.transform(spark, str(tmp_path / "search_9.jsonl"), out) == 1
     assert bronze.CORRUPT not in spark.read.parquet(out).columns
     assert [r[bronze.CORRUPT] for r in bronze.read_quarantine(spark, out + "_quarantine").collect()] == ["{broken"]
+
+
+def test_new_fields_reach_silver_and_old_files_still_read(spark, tmp_path):
+    old = '{"route":"A|B","dep_date":"2026-08-01","return_date":"","flight_type":"ONE_WAY","origin":"A","destination":"B","flights":[{"price":1.5}],"searched_at":"t"}'
+    new = old.replace("A|B", "A|C").replace('"price":1.5', '"price":2,"cabin":"eco","seats":{"left":3},"note":null').replace('"searched_at"', '"tries":2,"searched_at"')
+    odd = old.replace("A|B", "A|D").replace('"price":1.5', '"price":"x","stops":1')
+    lake = str(tmp_path / "silver")
+    for name, lines in (("search_1", [old]), ("search_2", [new, odd, "{broken", "[1]"])):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(str(tmp_path / f"{name}.jsonl"), compression="gzip")
+        lifecycle.transform(spark, str(tmp_path / f"{name}.jsonl"), lake, growing=True)
+    rows = {r.route: r for r in silver.read_silver(spark, lake, growing=True).collect()}
+    assert rows["A|B"].tries is None and rows["A|B"].flights[0].cabin is None and rows["A|B"].flights[0].price == 1.5
+    assert rows["A|C"].tries == 2 and (rows["A|C"].flights[0].cabin, rows["A|C"].flights[0].seats.left, rows["A|C"].flights[0].note) == ("eco", 3, None)
+    assert rows["A|D"].flights is None or rows["A|D"].flights[0].price is None
+    assert sorted(r[0] for r in bronze.read_quarantine(spark, f"{lake}_quarantine").collect()) == ["[1]", "{broken"]
+    # Readers that know the old columns only read all files.
+    assert silver.read_silver(spark, lake).select("route", "dep_date").count() == 3
