@@ -40,17 +40,3 @@ def block_offsets(totals: DataFrame, block: str, total: str, out: str, fan: int
     inside = Window.partitionBy("_run").orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     local = runs.withColumn("_local", F.coalesce(F.sum(total).over(inside), F.lit(0)))
     return local.join(heads, "_run").select(block, (F.col("_head") + F.col("_local")).alias(out))
-
-
-#: A common table expression ``crc_table(t)`` for DuckDB: the 256 entries of the reflected CRC-32, from its polynomial.
-CRC_TABLE_SQL = """crc_table AS (
-    SELECT list(list_reduce([i] || range(8), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) ORDER BY i) AS t
-    FROM range(256) r(i))"""
-
-
-def crc32_sql(text: str) -> str:
-    """DuckDB expression for the CRC-32 of the UTF-8 of ``text``, whose characters are below U+0800; needs ``crc_table``."""
-    as_bytes = f"""flatten(list_transform(string_split({text}, ''), lambda c:
-        CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [192 + (ord(c) >> 6)::BIGINT, 128 + (ord(c) & 63)::BIGINT] END))"""
-    step = "lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1])"
-    return f"xor(list_reduce([4294967295::BIGINT] || {as_bytes}, {step}), 4294967295)"

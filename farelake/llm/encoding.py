@@ -1,8 +1,9 @@
 """Encode whole texts with a public tokenizer, Arrow batch by Arrow batch.
 
 Vocabulary files that drop white space never let a token cross it, so a text's ids are the ids of its
-words in order. Each distinct word of a batch is encoded once, and a worker remembers up to
-``MEMO_WORDS`` of them; the memo is emptied when full, which changes speed and never ids.
+words in order. Each distinct word of a batch is looked up once, and a worker remembers the ids of words in two halves of
+``MEMO_BYTES`` together: when the younger half is full the older one is dropped, and words that are used again
+move to the younger. New words are encoded in runs, parted by a special token, which words never touch. All this changes speed and never ids.
 """
 
 from __future__ import annotations
@@ -13,20 +14,68 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO_WORDS = 400_000
+MEMO_BYTES = 192 << 20
+#: What a remembered word takes besides its letters and ids.
+WORD_BYTES = 160
+#: Words encoded at a time.
+RUN = 64
 #: Characters of text that are split into words at a time.
-SLICE_CHARS = 2 << 20
+SLICE_CHARS = 4 << 20
 
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` from ``starts``, end to end."""
+    ends = np.cumsum(sizes)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
+
+
+class Memo:
+    """Words and their ids, end to end in one array."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.ends = np.zeros(1 << 10, np.int64)
+        self.flat = np.zeros(1 << 12, np.uint32)
+        self.bytes = 0
+
+    def find(self, words: list[str]) -> np.ndarray:
+        get = self.place.get
+        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+
+    def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in ``places`` end to end, and how many each has."""
+        starts = np.where(places > 0, self.ends[places - 1], 0)
+        sizes = self.ends[places] - starts
+        return gathered(self.flat, starts, sizes), sizes
+
+    def add(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Remember words that are not there yet; returns their places."""
+        n = len(self.place)
+        used = int(self.ends[n - 1]) if n else 0
+        while len(self.ends) < n + len(words):
+            self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
+        while len(self.flat) < used + len(flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        self.ends[n:n + len(words)] = used + np.cumsum(sizes)
+        self.flat[used:used + len(flat)] = flat
+        self.place.update(zip(words, range(n, n + len(words))))
+        self.bytes += sum(map(len, words)) + 4 * len(flat) + WORD_BYTES * len(words)
+        return np.arange(n, n + len(words))
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, np.ndarray] = {}
+        self.young, self.old = Memo(), Memo()
+        # A special token that cannot overlap itself.
+        marks = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized]
+        apart = lambda m: not any(m.startswith(m[k:]) for k in range(1, len(m)))
+        self.mark = next(((m, i) for m, i in sorted(marks) if m and apart(m)), None)
 
     @classmethod
     def at(cls, path: str) -> "Encoder":
@@ -35,14 +84,48 @@ class Encoder:
             _ENCODERS[path] = cls(path)
         return _ENCODERS[path]
 
-    def _word_ids(self, words: list[str]) -> list[np.ndarray]:
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        memo = self.memo
-        new = [w for w in words if w not in memo]
-        for word, enc in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            memo[word] = np.array(enc.ids, dtype=np.uint32)
-        return [memo[w] for w in words]
+    def _one_by_one(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _new(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """``words`` in some order, their ids end to end, and how many each has."""
+        mark, number = self.mark or ("", -1)
+        plain = [w for w in words if mark and mark[0] not in w]
+        rest = [w for w in words if not mark or mark[0] in w]
+        order, parts, sizes = [], [], []
+        runs = [plain[i:i + RUN] for i in range(0, len(plain), RUN)]
+        for run, ids in zip(runs, self._one_by_one([mark.join(run) for run in runs])):
+            flat = np.array(ids, np.uint32)
+            cuts = np.flatnonzero(flat == number)
+            if len(cuts) != len(run) - 1:
+                rest += run
+                continue
+            order += run
+            parts.append(flat[flat != number])
+            sizes.append(np.diff(np.concatenate(([-1], cuts, [len(flat)]))) - 1)
+        for word, ids in zip(rest, self._one_by_one(rest)):
+            order.append(word)
+            parts.append(np.array(ids, np.uint32))
+            sizes.append(np.array([len(ids)]))
+        return order, np.concatenate([np.zeros(0, np.uint32), *parts]), np.concatenate([np.zeros(0, np.int64), *sizes])
+
+    def word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct ``words`` end to end, and how many each has."""
+        if self.young.bytes > MEMO_BYTES // 2:
+            self.young, self.old = Memo(), self.young
+        places = self.young.find(words)
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
+            lacking = [words[i] for i in missing]
+            before = self.old.find(lacking)
+            again = before >= 0
+            if again.any():
+                self.young.add([w for w, a in zip(lacking, again) if a], *self.old.ids(before[again]))
+            new = [w for w, a in zip(lacking, again) if not a]
+            if new:
+                self.young.add(*self._new(new))
+            places[missing] = self.young.find(lacking)
+        return self.young.ids(places)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` end to end, and each text's number of ids. A null text has none."""
@@ -52,15 +135,11 @@ class Encoder:
         per_text = np.diff(split.offsets.to_numpy())
         if len(words) == 0:
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        ids = self._word_ids(words.dictionary.to_pylist())
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        heads = np.concatenate(([0], np.cumsum(lens)[:-1]))
-        at = words.indices.to_numpy()
-        sizes = lens[at]
-        ends = np.cumsum(sizes)
-        source = np.arange(ends[-1]) + np.repeat(heads[at] - (ends - sizes), sizes)
-        flat = np.concatenate(ids)[source]
-        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(per_text)))]
+        ids, sizes = self.word_ids(words.dictionary.to_pylist())
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.array(ids))
+        flat = lists.take(words.indices).flatten().to_numpy(zero_copy_only=False)
+        ends = np.concatenate(([0], np.cumsum(sizes[words.indices.to_numpy()])))
+        bounds = ends[np.concatenate(([0], np.cumsum(per_text)))]
         return flat, np.diff(bounds)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from farelake.llm import (
     bitslices, decontamination, jaccard, licenses, linededup, packing, quality, sharding, spelling, tokencounts, toxicity, tries, warc,
 )
-from farelake.llm.common import table
+from farelake.llm.common import stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,7 +40,8 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokencounts.lengths(table(spark, sf_dir, "documents"), VOCABULARY)
-    return tokencounts.suffix_sums(tokencounts.histogram(counted))
+    # Written, since the sums use it twice and would encode every text twice.
+    return tokencounts.suffix_sums(stage(tokencounts.histogram(counted), "token-histogram"))
 
 
 @query("op3_ngram_jaccard")

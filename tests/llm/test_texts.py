@@ -224,3 +224,22 @@ def test_pipeline_stages(spark, tmp_path):
     assert shared in seen[1][40] and shared not in seen[1][41]
     assert set(seen[1]) - set(seen[2]) == {21} and set(seen[2]) - set(seen[3]) == {30}
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()} == set(seen[3])
+
+
+def test_encoder_remembers_and_forgets(monkeypatch):
+    """Ids are those of the tokenizer for whole texts, whatever is remembered, and with special tokens and odd words in the text."""
+    from farelake.llm import encoding
+
+    rng = random.Random(3)
+    words = ["<|endoftext|>", "a<|endoftext|>b", "<|start", "it's", "x" * 300, "Ünḯ", "12,5", "¿qué?", "​", "é́"]
+    words += ["".join(rng.choice("abcdeé'!9") for _ in range(rng.randrange(1, 12))) for _ in range(600)]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(200))) for _ in range(60)] + [None, "", " \n", "a\tb\nc"]
+    encoder = encoding.Encoder(queries.VOCABULARY)
+    want = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for memo in (encoding.MEMO_BYTES, 4000):
+        monkeypatch.setattr(encoding, "MEMO_BYTES", memo)
+        for low in range(0, len(texts), 7):
+            ids, counts = encoder.encode(pa.array(texts[low:low + 7]))
+            assert ids.tolist() == [i for w in want[low:low + 7] for i in w] and counts.tolist() == [len(w) for w in want[low:low + 7]]
+    encoder.mark = None
+    assert encoder.encode(pa.array(texts))[0].tolist() == [i for w in want for i in w]
