@@ -6,14 +6,15 @@ gives the bitmaps of the score, one per bit. The best rows are then taken from t
 rows that have the bit go first while they are no more than wanted. What is still tied at the last slice has
 equal scores; those rows are all kept from the block and the boundary is settled exactly by the smaller id.
 
-Components are floor(64 * x) of the value as double. Vectors that are null, of another width than ``width`` or that hold null
-or non-finite components take no part; rows without an id neither. Repeated ids are searched like other rows, and a query skips rows of its own id.
+Components are floor(64 * x) of the value as double. Vectors that are null, empty or that hold null or non-finite components take no part; rows without an id neither. A vector
+is searched among those of its own width. Repeated ids are searched like other rows, a query that repeats an id is ranked by itself, and a query
+skips rows of its own id.
 Nothing in, nothing out.
 """
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -123,9 +124,9 @@ class Slices:
         return self.ids[at][order], scores[order]
 
 
-HITS = "query_id bigint, vec_id bigint, score bigint"
+HITS = "query bigint, query_id bigint, vec_id bigint, score bigint"
 INDEX = "block int, n bigint, low bigint, bits int, ids binary, planes binary"
-ASKED = "part int, ids binary, vals binary"
+ASKED = "part int, numbers binary, asked_ids binary, vals binary"
 
 
 def index_rows(rows: DataFrame, width: int, blocks: int) -> DataFrame:
@@ -143,12 +144,14 @@ def index_rows(rows: DataFrame, width: int, blocks: int) -> DataFrame:
 
 
 def query_rows(asked: DataFrame, width: int, parts: int) -> DataFrame:
-    """One row per part of the queries, each of about QUERY_ROWS."""
+    """One row per part of the queries, each of about QUERY_ROWS; rows that repeat an id are queries of their own."""
 
     def build(table: pa.Table) -> pa.Table:
+        part = table.column("part").to_pylist()[0]
         return pa.table({
-            "part": pa.array(table.column("part").to_pylist()[:1], pa.int32()),
-            "ids": pa.array([table.column("vec_id").to_numpy().tobytes()], pa.binary()),
+            "part": pa.array([part], pa.int32()),
+            "numbers": pa.array([(np.arange(table.num_rows) + (part << 32)).tobytes()], pa.binary()),
+            "asked_ids": pa.array([table.column("vec_id").to_numpy().tobytes()], pa.binary()),
             "vals": pa.array([matrix(table, width).tobytes()], pa.binary()),
         })
 
@@ -166,35 +169,39 @@ def deal(n: int, seed: int):
 def search_for(k: int, batches):
     """Each input row is a block of the index beside a part of the queries; gives the best rows of that block."""
     for batch in batches:
-        for n, low, bits, ids, planes, asked_ids, vals in zip(*(c.to_pylist() for c in batch.columns)):
-            asked_ids = np.frombuffer(asked_ids, np.int64)
+        for n, low, bits, ids, planes, numbers, asked_ids, vals in zip(*(c.to_pylist() for c in batch.columns)):
+            numbers, asked_ids = np.frombuffer(numbers, np.int64), np.frombuffer(asked_ids, np.int64)
             values = np.frombuffer(vals, np.int64).reshape(len(asked_ids), -1)
             block = Slices(np.frombuffer(ids, np.int64), low, np.frombuffer(planes, np.uint64).reshape(values.shape[1], bits, -1))
             found = [block.best(v, k, q) for q, v in zip(asked_ids.tolist(), values)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.repeat(asked_ids, [len(f[0]) for f in found])),
+                    *[pa.array(np.repeat(c, [len(f[0]) for f in found])) for c in (numbers, asked_ids)],
                     pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found])),
                 ],
-                names=["query_id", "vec_id", "score"],
+                names=["query", "query_id", "vec_id", "score"],
             )
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, width: int | None = None) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` rows of ``vectors`` with the largest inner product per query.
+    """(query_id, rank, vec_id, score): the ``k`` rows of ``vectors`` with the largest inner product per query row.
 
     Every block of the index meets every part of the queries, as one row with its own turn, and gives ``k`` rows per
-    query; those few are ranked together. ``width`` defaults to the commonest width.
+    query; those few are ranked together. Vectors are searched among those of their own width, or of ``width`` alone if it is given.
     """
     rows, asked = stage(quantised(vectors), "slices-rows"), stage(quantised(queries), "slices-queries")
-    if width is None:
-        width = (rows.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").first() or [0])[0]
-    rows, asked = (t.filter(F.size("v") == width) for t in (rows, asked))
+    # Only widths that are asked for.
+    widths = [width] if width is not None else sorted(r[0] for r in asked.select(F.size("v")).distinct().collect())
+    found = [best_of_width(*(t.filter(F.size("v") == w) for t in (rows, asked)), k, w) for w in widths or [0]]
+    return reduce(DataFrame.unionByName, found)
+
+
+def best_of_width(rows: DataFrame, asked: DataFrame, k: int, width: int) -> DataFrame:
     blocks, parts = max(1, -(-rows.count() // BLOCK_ROWS)), max(1, -(-asked.count() // QUERY_ROWS))
     index = stage(index_rows(rows, width, blocks), "slices-index")
     sent = stage(query_rows(asked, width, parts), "slices-sent")
     turns = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    met = turns.join(sent.withColumnRenamed("ids", "asked_ids"), "part").repartition(F.xxhash64("block", "part"))
-    hits = met.select("n", "low", "bits", "ids", "planes", "asked_ids", "vals").mapInArrow(partial(search_for, k), HITS)
-    by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    met = turns.join(sent, "part").repartition(F.xxhash64("block", "part"))
+    hits = met.select("n", "low", "bits", "ids", "planes", "numbers", "asked_ids", "vals").mapInArrow(partial(search_for, k), HITS)
+    by_query = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -4,7 +4,7 @@ Test items are partitioned by size into classes of a power of two. For each clas
 of twice the class's width, half of each shared with the next, so an item is set against a window of like size however
 long the document is. Each window has a MinHash signature; an item and a document that agree in any function are a
 candidate, which exact containment of shingle sets over the whole document then settles. An item of which 80 % is in one window
-is missed with a chance below 1e-5 (64 functions).
+is missed with a chance below 1e-5 (64 functions), whatever its size. Long documents are looked at in pieces.
 
 A fixed-size bitmap of the items' values spares the documents' other values the join; its false hits cost only work.
 
@@ -26,7 +26,9 @@ from farelake.llm.shingles import mix, shingle_hashes, shingle_sets
 
 FUNCTIONS = 64
 CONTAINED = 80
-LEAST_WIDTH = 16
+LEAST_WIDTH = 1
+#: Shingles of a document whose signatures are in memory at once, per unit of the least width.
+PIECE = 1 << 13
 #: Bits of the bitmap per value of an item, and bits at most (8 MB).
 BITS_PER_VALUE, MOST_BITS = 1024, 1 << 26
 
@@ -92,14 +94,26 @@ def bitmap_of(signatures: DataFrame) -> tuple[np.ndarray, int]:
 
 def document_keys(docs: DataFrame, widths: list[int], bitmap: np.ndarray, shift: int) -> DataFrame:
     """(doc_id, key): keys of the documents' windows that the bitmap knows."""
-    least = widths[0]
+    least, widest = widths[0], widths[-1]
+    # A power of two, so that windows of every class begin where they would in the whole document.
+    piece = max(PIECE * least, widest)
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
                 flat, sizes = shingle_hashes(part.column(1))
-                if len(flat):
-                    yield from hits(part.column(0).filter(pa.array(sizes > 0)), flat, sizes[sizes > 0])
+                doc, heads = np.arange(len(sizes)), np.cumsum(sizes) - sizes
+                counts = -(-sizes // piece)
+                at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                start = np.repeat(heads, counts) + at * piece
+                # Each piece has the windows that begin in it.
+                stop = np.minimum(start + piece + 2 * widest, np.repeat(heads + sizes, counts))
+                owner, low = np.repeat(doc, counts), 0
+                while low < len(start):
+                    high = max(low + 1, int(np.searchsorted(np.cumsum(stop[low:] - start[low:]), 2 * piece)) + low)
+                    some = np.concatenate([flat[a:b] for a, b in zip(start[low:high], stop[low:high])])
+                    yield from hits(part.column(0).take(pa.array(owner[low:high])), some, (stop - start)[low:high])
+                    low = high
 
     def hits(doc_ids, flat, sizes):
         blocks = -(-sizes // least)

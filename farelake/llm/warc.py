@@ -30,6 +30,8 @@ from farelake.session import work_path
 
 ARCHIVE_BYTES = 256 << 20
 STEP = 1 << 16
+#: Tasks that read archives, at most; beyond, each reads several.
+MOST_READERS = 1 << 15
 WRITTEN = "archive string, records bigint, bytes bigint"
 RECORDS = (
     "archive string, `offset` bigint, record_id string, record_type string, url string, page_id bigint, "
@@ -231,7 +233,9 @@ def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
     def as_batch(rows):
         return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], types.get(n, pa.string())) for n in names], names=names)
 
-    return archives.select("archive").repartition("archive").mapInArrow(run, schema)
+    # One task per archive: names are too small for Spark to spread them by size.
+    tasks = max(1, min(archives.count(), MOST_READERS))
+    return archives.select("archive").repartitionByRange(tasks, "archive").mapInArrow(run, schema)
 
 
 def archive_folder(spark: SparkSession) -> str:

@@ -82,6 +82,14 @@ def test_top_k(spark, monkeypatch):
         assert sorted(found) == [(k, i, scores[i]) for k, i in enumerate(order, 1)]
     few = bitslices.top_k(df.filter("vec_id < 5"), df.filter("vec_id = 0"), 20).collect()
     assert sorted(r.vec_id for r in few) == [1, 2, 3, 4]
+    # Each width among its own, and a repeated query is ranked twice.
+    other = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(2000, 2030)], "vec_id long, embedding array<float>")
+    both = df.unionByName(other)
+    got = bitslices.top_k(both, both.filter("vec_id IN (20, 2000)").unionByName(both.filter("vec_id = 2000")), 3).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got if r.query_id == 2000) == sorted(
+        [(2000, k, v) for k, v in ((1, 2029), (2, 2028), (3, 2027))] * 2
+    )
+    assert len(got) == 9
     assert bitslices.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
@@ -104,6 +112,8 @@ def test_archives_round_trip(spark):
         stored = top[html] in (-1, r.page_id)
         assert (r.record_type, r.refers_to) == (("response", None) if stored else ("revisit", top[html]))
         assert r.payload == (html.encode() if stored else None)
+    # One task for each archive.
+    assert warc.read_archives(report).rdd.getNumPartitions() == report.count() > 4
     assert warc.read_archives(warc.write_archives(pages.limit(0), warc.archive_folder(spark))).count() == 0
 
 

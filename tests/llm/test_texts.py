@@ -243,3 +243,19 @@ def test_encoder_remembers_and_forgets(monkeypatch):
             assert ids.tolist() == [i for w in want[low:low + 7] for i in w] and counts.tolist() == [len(w) for w in want[low:low + 7]]
     encoder.mark = None
     assert encoder.encode(pa.array(texts))[0].tolist() == [i for w in want for i in w]
+
+
+@pytest.mark.parametrize("piece", [decontamination.PIECE, 4])
+def test_short_items_in_long_documents(spark, monkeypatch, piece):
+    """Items of one shingle up are found word for word wherever they are, also across pieces of a document."""
+    monkeypatch.setattr(decontamination, "PIECE", piece)
+    rng = random.Random(12)
+    items = [(n * 100 + k, " ".join(f"i{n}x{k}x{j}" for j in range(n))) for n in (5, 6, 7, 9, 14, 40) for k in range(8)]
+    rows = []
+    for at, (item, text) in enumerate(items):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(20, 600))]
+        place = rng.randrange(len(words))
+        rows.append((at, " ".join(words[:place] + [text] + words[place:])))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.contaminated(docs_of(spark, rows + ODD), table).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(at, item) for at, (item, _) in enumerate(items)]
