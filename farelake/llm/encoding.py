@@ -20,7 +20,9 @@ WORD_BYTES = 160
 #: Words encoded at a time.
 RUN = 64
 #: Characters of text that are split into words at a time.
-SLICE_CHARS = 4 << 20
+SLICE_CHARS = 2 << 20
+#: The same where words are looked up: the more at once, the fewer look-ups.
+ENCODE_CHARS = 4 << 20
 
 _ENCODERS: dict[str, "Encoder"] = {}
 

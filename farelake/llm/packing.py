@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake.llm.common import block_offsets, checked, stage
-from farelake.llm.encoding import Encoder, slices
+from farelake.llm.encoding import ENCODE_CHARS, Encoder, slices
 
 WINDOW = 2048
 END_TOKEN = 1
@@ -36,7 +36,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_token: int = END_TOKEN
     def run(batches):
         encoder, block, before = Encoder.at(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, chars=ENCODE_CHARS):
                 flat, counts = encoder.encode(part.column(1))
                 ends = np.cumsum(counts)
                 ids = [

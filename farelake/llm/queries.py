@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +17,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-#: The vocabulary of the token queries; operators take any path.
-VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+def vocabulary() -> str:
+    """Path of the vocabulary of the token queries; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
@@ -39,7 +42,7 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = tokencounts.lengths(table(spark, sf_dir, "documents"), VOCABULARY)
+    counted = tokencounts.lengths(table(spark, sf_dir, "documents"), vocabulary())
     # Written, since the sums use it twice and would encode every text twice.
     return tokencounts.suffix_sums(stage(tokencounts.histogram(counted), "token-histogram"))
 
@@ -64,7 +67,7 @@ def deduplicated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_packing")
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
 @query("op7_sharding")

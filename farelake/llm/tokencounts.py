@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farelake.llm.encoding import Encoder, slices
+from farelake.llm.encoding import ENCODE_CHARS, Encoder, slices
 
 #: Lengths that one window of the suffix sums covers.
 SPAN = 4096
@@ -23,7 +23,7 @@ def lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches):
         encoder = Encoder.at(tokenizer)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, chars=ENCODE_CHARS):
                 counts = encoder.encode(part.column(1))[1]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64())], names=["doc_id", "n_tokens"])
 

@@ -157,13 +157,13 @@ def test_licenses_match_sql(spark):
 def encoded(text):
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(queries.VOCABULARY).encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(queries.vocabulary()).encode(text or "", add_special_tokens=False).ids
 
 
 def test_packing_and_counts(spark, corpus):
     rows = corpus[:30] + ODD + [(960, "It's  ÉTÉ,\tl'été\x0b12 34.5 don't <|endoftext|> Σς 你好 " * 200)]
     docs = docs_of(spark, rows).repartition(3)
-    pieces = packing.pack(docs, queries.VOCABULARY, window=64, with_ids=True).toPandas().sort_values(["sequence_id", "offset"])
+    pieces = packing.pack(docs, queries.vocabulary(), window=64, with_ids=True).toPandas().sort_values(["sequence_id", "offset"])
     at = (pieces.sequence_id * 64 + pieces.offset).to_numpy()
     assert at[0] == 0 and (at[1:] == (at + pieces.length)[:-1]).all() and (pieces.offset + pieces.length <= 64).all()
     assert all(zlib.crc32(x) == c and len(x) == 4 * n for x, c, n in zip(pieces.ids, pieces.ids_crc32, pieces.length))
@@ -172,13 +172,13 @@ def test_packing_and_counts(spark, corpus):
         ids = np.frombuffer(b"".join(own.ids), "<u4").tolist()
         assert ids == [*encoded(text), 1] and (own.doc_tokens == len(ids)).all()
     sizes = sorted(len(encoded(t)) for _, t in rows)
-    sums = tokencounts.suffix_sums(tokencounts.histogram(tokencounts.lengths(docs, queries.VOCABULARY)))
+    sums = tokencounts.suffix_sums(tokencounts.histogram(tokencounts.lengths(docs, queries.vocabulary())))
     for r in sums.collect():
         assert r.docs == sizes.count(r.n_tokens) and r.docs_longer == sum(s > r.n_tokens for s in sizes)
         assert r.truncated_total == sum(min(s, r.n_tokens) for s in sizes) and r.tokens_longer == sum(s for s in sizes if s > r.n_tokens)
     middle, cut = sums.agg(tokencounts.quantile(0.5).alias("q"), tokencounts.truncated(sums, 10).alias("t")).first()
     assert middle == sizes[(len(sizes) - 1) // 2] and cut == sum(min(s, 10) for s in sizes)
-    assert packing.pack(docs_of(spark, []), queries.VOCABULARY).count() == 0
+    assert packing.pack(docs_of(spark, []), queries.vocabulary()).count() == 0
 
 
 def test_toxicity(spark):
@@ -234,7 +234,7 @@ def test_encoder_remembers_and_forgets(monkeypatch):
     words = ["<|endoftext|>", "a<|endoftext|>b", "<|start", "it's", "x" * 300, "Ünḯ", "12,5", "¿qué?", "​", "é́"]
     words += ["".join(rng.choice("abcdeé'!9") for _ in range(rng.randrange(1, 12))) for _ in range(600)]
     texts = [" ".join(rng.choices(words, k=rng.randrange(200))) for _ in range(60)] + [None, "", " \n", "a\tb\nc"]
-    encoder = encoding.Encoder(queries.VOCABULARY)
+    encoder = encoding.Encoder(queries.vocabulary())
     want = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
     for memo in (encoding.MEMO_BYTES, 4000):
         monkeypatch.setattr(encoding, "MEMO_BYTES", memo)
@@ -259,3 +259,9 @@ def test_short_items_in_long_documents(spark, monkeypatch, piece):
     table = spark.createDataFrame(items, "item_id long, text string")
     got = decontamination.contaminated(docs_of(spark, rows + ODD), table).collect()
     assert sorted((r.doc_id, r.item_id) for r in got) == [(at, item) for at, (item, _) in enumerate(items)]
+
+
+def test_a_column_of_a_clashing_name_does_not_disturb(spark):
+    docs = spark.createDataFrame([(1, "a", 5), (2, "b", 6), (None, "c", 7)], "doc_id long, text string, _gone int")
+    left = corpus_pipeline.without(docs, docs.filter("doc_id = 1 OR doc_id IS NULL"), "clash")
+    assert left.columns == docs.columns and sorted(r.text for r in left.collect()) == ["b", "c"]
