@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 
 from farelake.llm import decontamination, jaccard, linededup, packing, toxicity
 from farelake.llm.common import checked, stage, table
-from farelake.llm.queries import VOCABULARY
+from farelake.llm.queries import vocabulary
 
 
 def without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
     """``docs`` but those whose doc_id is in ``ids``."""
-    gone = stage(ids.select(F.col("doc_id").alias("_gone")).filter("_gone IS NOT NULL").distinct(), label)
-    return docs.join(checked(gone, 16), F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = "_gone"
+    while name in docs.columns:
+        name += "_"
+    gone = stage(ids.select(F.col("doc_id").alias(name)).filter(F.col(name).isNotNull()).distinct(), label)
+    return docs.join(checked(gone, 16), F.col("doc_id") == F.col(name), "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +55,7 @@ def drop_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 tokens."""
-    return packing.pack(docs, VOCABULARY)
+    return packing.pack(docs, vocabulary())
 
 
 STAGES = [
