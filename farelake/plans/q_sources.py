@@ -80,16 +80,16 @@ def silver_write(spark, sf):
 
 
 @query("silver_growing", f"""
-SELECT {PK}, offer_pos, {FIELD.format("price")}::DOUBLE AS price, CASE WHEN route LIKE '%|SIN' AND offer_pos IS NOT NULL THEN 'eco' END AS cabin,
- CASE WHEN route LIKE '%|SIN' THEN 7 END AS trace_id FROM {ALL_OFFERS} o""")
+SELECT {PK}, offer_pos, {FIELD.format("price")}::DOUBLE AS price, CASE WHEN destination < 'KIX' AND offer_pos IS NOT NULL THEN 'eco' END AS cabin,
+ CASE WHEN destination < 'KIX' THEN 7 END AS trace_id FROM {ALL_OFFERS} o""")
 def silver_growing(spark, sf):
     """Later bundles have a field more, and their offers too; older files stay as they are."""
     out = work_path(spark, "silver-growing")
     lines = spark.read.text(exported(spark, sf, "growing-bronze"))
-    homeward = F.get_json_object("value", "$.destination") == "SIN"
-    lines.filter(~homeward).write.text(f"{out}/search_1.jsonl")
+    some = F.get_json_object("value", "$.destination") < "KIX"
+    lines.filter(~some).write.text(f"{out}/search_1.jsonl")
     newer = F.regexp_replace(F.regexp_replace("value", '"currency"', '"cabin": "eco", "currency"'), r"^\{", '{"trace_id": 7, ')
-    lines.filter(homeward).select(newer.alias("value")).write.text(f"{out}/search_2.jsonl")
+    lines.filter(some).select(newer.alias("value")).write.text(f"{out}/search_2.jsonl")
     for bundle in (1, 2):
         lifecycle.transform(spark, f"{out}/search_{bundle}.jsonl", f"{out}/silver", growing=True)
     rows = silver.read_silver(spark, f"{out}/silver", growing=True)

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from farelake import schema as S
 from farelake.operators.state import successful_raw
 from farelake.session import work_path
+from farelake.sources import storage
 
 CORRUPT = "_corrupt_record"
 
@@ -57,7 +58,7 @@ def read_growing(spark: SparkSession, paths: str | list[str], schema: T.StructTy
     lines.select("value", F.try_parse_json("value").alias("doc"), F.col("_metadata.file_path").alias("file_path")).write.parquet(aside)
     docs = spark.read.schema("value string, doc variant, file_path string").parquet(aside)
     whole = F.col("doc").isNotNull() & F.schema_of_variant("doc").startswith("OBJECT")
-    told = docs.filter(whole).agg(F.schema_of_variant_agg("doc")).head()[0]
+    told = docs.filter(whole).agg(F.schema_of_variant_agg("doc")).collect()[0][0]
     found = T.DataType.fromDDL(told.replace("OBJECT<", "struct<")) if told and told.startswith("OBJECT<") else T.StructType()
     full = _grown(schema, found)
     get = [F.when(whole, F.try_variant_get("doc", f"$['{f.name}']", f.dataType.simpleString())).alias(f.name) for f in full]
@@ -90,9 +91,10 @@ def export_bronze(state: DataFrame, path: str, compression: str = "gzip") -> boo
     spark, aside, counted = state.sparkSession, work_path(state.sparkSession, "export"), Observation()
     good = state.filter("success = 1").select(*S.BRONZE_COLUMNS, "success")
     good.observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(aside)
-    if not counted.get["n"]:
+    kept = spark.read.schema(good.schema).parquet(aside)
+    if not storage.measured(counted, lambda: {"n": kept.count()})["n"]:
         return False
-    bronze_lines(spark.read.schema(good.schema).parquet(aside)).write.text(path, compression=compression)
+    bronze_lines(kept).write.text(path, compression=compression)
     return True
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from farelake.sources import storage
+
 # Upper size of a file; a hot route gets more files, not bigger ones.
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -25,7 +27,7 @@ def write_silver(df: DataFrame, path: str, partition: str = "route") -> int:
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .parquet(path)
     )
-    return counted.get["n"]
+    return storage.measured(counted, lambda: {"n": df.count()})["n"]
 
 
 def read_silver(spark: SparkSession, path: str, partition: str = "route", growing: bool = False) -> DataFrame:

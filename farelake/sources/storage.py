@@ -6,9 +6,10 @@ They go through Hadoop, so any store that Spark writes to will do.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 
 class AlreadyThere(FileExistsError):
@@ -60,6 +61,14 @@ def rename_once(spark: SparkSession, aside: str, path: str) -> None:
         raise AlreadyThere(path) from None
 
 
+def measured(seen: Observation, again: Callable[[], dict]) -> dict:
+    """What ``seen`` observed while rows were written. Where Spark found the input empty it drops the observation; ``again`` tells it then."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return again()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder; nothing happens where there is none."""
     _files(spark, path).delete(_path(spark, path), True)

