@@ -51,6 +51,50 @@ def test_sharding_keeps_small_groups(spark):
     assert sum(len(s) > 1 for t, s in where.items() if t != "hot") <= 15
 
 
+def test_sharding_moves_neighbours_together(spark, monkeypatch):
+    """Passages shared by documents draw them together over the rounds, under quotas, beside a text that a third of all rows have."""
+    monkeypatch.setattr(sharding, "HOT_UNITS", 4)
+    rng = random.Random(5)
+    passage = lambda *at: f"the passage of number {at} is long enough. "
+    texts = {i: "".join(passage(i % 240, j) for j in rng.sample(range(6), 4)) + f"and some words of {i} alone" for i in range(1200)}
+    texts |= {i: "hot" for i in range(1200, 1800)} | {i: passage("everywhere") + f"then {i} and others like it" for i in range(1800, 2100)}
+    texts |= {2100: None, 2101: "", 2102: "x " * 200_000 + ". " + passage(3, 3)}
+    kept = []
+    run = sharding.propagate
+
+    def spy(units, members, passages, *rest):
+        kept.append((members, run(units, members, passages, *rest)))
+        return kept[-1][1]
+
+    monkeypatch.setattr(sharding, "propagate", spy)
+    docs = spark.createDataFrame([(d, t, "a", 1) for d, t in texts.items()], "doc_id long, text string, unit string, label int")
+    got = {r.doc_id: r for r in sharding.shard_documents(docs).collect()}
+    members, history = kept[0]
+    # A passage in more units than a shard holds links nothing, one in more than HOT_UNITS does, whole.
+    units = {}
+    for doc, text in texts.items():
+        for x in (text or "").split(". "):
+            if len(x.strip()) >= sharding.PASSAGE_CHARS and text != "hot":
+                units.setdefault(x.strip(), set()).add(text)
+    assert members.count() == sum(len(u) for u in units.values() if 2 <= len(u) <= len(texts) // 16)
+    cuts = [sharding.cut_links(members, labels).first()[0] for labels in history]
+    moved = history[-1].withColumnRenamed("label", "now").join(history[0], "unit").filter("label <> now").count()
+    assert moved > 300 and cuts == sorted(cuts, reverse=True) and cuts[-1] < 0.4 * cuts[0], (moved, cuts)
+    total = history[0].agg({"weight": "sum"}).first()[0]
+    assert total == len(texts) and all(h.agg({"weight": "sum"}).first()[0] == total for h in history)
+    # After the exact cut the shards are even and the neighbours still together.
+    sizes = {}
+    for r in got.values():
+        sizes.setdefault(r.shard, []).append(r.slot)
+    assert sorted(sizes) == list(range(16)) and all(sorted(v) == list(range(len(v))) for v in sizes.values())
+    assert max(map(len, sizes.values())) - min(map(len, sizes.values())) <= 1
+    where = {}
+    for x, own in units.items():
+        if len(own) <= len(texts) // 16:
+            where[x] = {r.shard for d, r in got.items() if texts[d] in own}
+    assert sum(len(v) - 1 for v in where.values()) < 0.4 * cuts[0]
+
+
 def test_components(spark):
     rng = random.Random(8)
     pairs = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(i, i + 1) for i in range(100, 140)] + [(200, i) for i in range(201, 260)]
