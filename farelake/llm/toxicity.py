@@ -1,21 +1,24 @@
 """Toxicity: a support vector machine over a subsequence string kernel, with Nyström landmarks.
 
 The kernel of two words counts the character triples they share as subsequences, with gaps, each weighted by the length it
-spans, so inserted characters weaken a match and do not end it. Normalised, cubed and cut off below ``FLOOR`` it is the
-kernel of words; summed over all pairs of distinct words it is the kernel of sentences. Landmarks are words of the training sample;
+spans, so inserted characters weaken a match and do not end it. It is divided by the landmark's norm and partly (``BLEND``) by the word's, so
+that triples which an inserted character adds count for little, is cut off below ``FLOOR``, whole from ``FULL`` on and cubed; summed over all pairs of distinct words it is the kernel of sentences. Landmarks are words of the training sample;
 the Nyström map takes a sentence to their span, where a linear machine with squared hinge loss separates. Labels are given for
-documents, so each toxic document stands for the sentence that scores highest, chosen anew in each round. A document's
-score is that of its highest sentence, as a probability.
+documents, so each toxic document stands for the sentence that scores highest, chosen anew in each round. Each toxic document is learned from
+once more with a letter inserted in its landmarks. A document's score is that of its highest sentence, as a probability.
 
 Training takes at most ``SAMPLE`` labelled documents of each class, picked by hash from those allowed for training; every
 text is scored whole. Without labels of both classes every score is the share of toxic labels (0 without labels). Null and empty
-texts score like a sentence without words. Repeated rows are scored alike; null ids are kept and count as held out by their
-remainder, which is null.
+texts score like a sentence without words. Repeated rows are scored alike; null ids are kept and don't count as held out. Very long texts are
+cut into sentences as any others. Without rows there is nothing to return.
 """
 
 from __future__ import annotations
 
+import re
+import zlib
 from dataclasses import dataclass
+from string import ascii_lowercase
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +31,13 @@ from farelake.llm.encoding import slices
 SAMPLE = 2000
 LANDMARKS = 96
 REACH = 6
-DECAY = 0.8
+DECAY = 0.9
 POWER = 3
-FLOOR = 0.35
+#: Share of a word's own norm in the divisor: 1 is the cosine, 0 the part of the landmark that the word holds.
+BLEND = 0.5
+#: A kernel value from which a word counts as the landmark itself.
+FULL = 0.8
+FLOOR = 0.65
 SENTENCE_WORDS = 32
 ROUNDS = 5
 RIDGE = 1e-3
@@ -79,7 +86,7 @@ class Kernel:
         for at, codes in by_length(landmarks):
             feats, weights = features(codes)
             np.add.at(table, (feats, at[:, None]), weights[None])
-        self.table = table / np.maximum(np.sqrt((table**2).sum(0)), 1e-9)
+        self.table = table / np.maximum(np.sqrt((table**2).sum(0)) ** (2 - BLEND), 1e-9)
         self.peak = self.table.max(1)
 
     def near(self, words: list[str], chunk: int = 4096, few: int = 256) -> tuple[np.ndarray, np.ndarray]:
@@ -88,12 +95,12 @@ class Kernel:
         for at, codes in by_length(words) if words else ():
             for low in range(0, len(at), chunk):
                 feats, weights = features(codes[low:low + chunk])
-                norm = np.sqrt((weights**2).sum())
+                norm = np.sqrt((weights**2).sum()) ** BLEND
                 close = np.flatnonzero(self.peak[feats] @ weights >= FLOOR * norm)
                 for start in range(0, len(close), few):
                     some = close[start:start + few]
-                    value = np.minimum(np.einsum("nfm,f->nm", self.table[feats[some]], weights) / norm, 1.0)
-                    value = np.where(value >= FLOOR, value, 0) ** POWER
+                    value = np.einsum("nfm,f->nm", self.table[feats[some]], weights) / norm
+                    value = np.where(value >= FLOOR, np.minimum(value / FULL, 1), 0) ** POWER
                     hit = value.any(1)
                     places.append(at[low + some[hit]])
                     values.append(value[hit].astype(np.float32))
@@ -195,6 +202,21 @@ def word_kernels(kernel: Kernel, words: list[str]) -> tuple[np.ndarray, np.ndarr
     return used, sums
 
 
+def with_inserted(text: str | None, landmarks: list[str]) -> str:
+    """``text`` with one letter inserted in each word that is a landmark, which letter and where by a checksum."""
+    known = set(landmarks)
+
+    def grown(found: re.Match) -> str:
+        word = found.group()
+        if word.lower() not in known:
+            return word
+        code = zlib.crc32(f"{found.start()} {word}".encode())
+        at = 1 + code % (len(word) - 1)
+        return word[:at] + ascii_lowercase[code // 64 % 26] + word[at:]
+
+    return re.sub(r"\w+", grown, text or "")
+
+
 def fit(texts: list[str], toxic: list[int], share: float) -> Model:
     """Fit on the sample; ``share`` is the share of toxic labels among all training labels."""
     y = np.array(toxic)
@@ -216,6 +238,10 @@ def fit(texts: list[str], toxic: list[int], share: float) -> Model:
     strength = odds * np.sqrt(seen[:, 1]) * fits
     landmarks = [words[i] for i in np.lexsort((np.array(words, object), -strength))[:LANDMARKS] if strength[i] > 0]
     landmarks = landmarks or sorted(w for w in words if 3 <= len(w) <= LONGEST)[:LANDMARKS] or ["none"]
+    # Toxic documents are learned from once more, with an inserted letter in each landmark.
+    copies = [with_inserted(texts[i], landmarks) for i in np.flatnonzero(y == 1)]
+    texts, y = [*texts, *copies], np.concatenate((y, np.ones(len(copies), y.dtype)))
+    whole = pa.RecordBatch.from_arrays([pa.array(np.arange(len(texts))), pa.array(texts, pa.large_string())], names=["at", "text"])
     kernel = Kernel(landmarks)
     values, vectors = np.linalg.eigh(kernel.of(landmarks))
     keep = values > 1e-6 * max(values.max(), 1e-9)

@@ -205,6 +205,54 @@ def test_toxicity(spark):
     assert toxicity.assessed(docs_of(spark, []), labels).count() == 0
 
 
+def test_word_kernel_against_counted_triples():
+    """The kernel equals one counted triple by triple, for words and landmarks of many lengths."""
+    rng = random.Random(14)
+    landmarks = ["scum", "gronkel", "fralbot", "étoile", "aaa", "abcabcabcabc"]
+    words = ["".join(rng.choice("gronkelfabtscumé") for _ in range(rng.randrange(1, 20))) for _ in range(200)]
+    words += [w[:i] + c + w[i:] for w in landmarks for i in range(1, len(w)) for c in "xq"] + landmarks + ["", "ab"]
+
+    def triples(word):
+        out = {}
+        for i in range(len(word)):
+            for b in range(2, toxicity.REACH + 1):
+                for a in range(1, b):
+                    if i + b < len(word):
+                        key = word[i] + word[i + a] + word[i + b]
+                        out[key] = out.get(key, 0) + toxicity.DECAY ** (b - 2)
+        return out
+
+    got = toxicity.Kernel(landmarks).of(words)
+    for m, landmark in enumerate(landmarks):
+        own = triples(landmark)
+        size = sum(v * v for v in own.values())
+        for word, value in zip(words, got[:, m]):
+            # The word's norm takes each of its places as a triple of its own.
+            places = sum(toxicity.DECAY ** (2 * (b - 2)) * (b - 1) * max(0, len(word) - b) for b in range(2, toxicity.REACH + 1))
+            dot = sum(v * own.get(k, 0) for k, v in triples(word).items())
+            k = dot / (size ** (1 - toxicity.BLEND / 2) * places ** (toxicity.BLEND / 2)) if places else 0
+            want = min(k / toxicity.FULL, 1) ** toxicity.POWER if k >= toxicity.FLOOR else 0
+            assert abs(value - want) < 1e-4 or abs(k - toxicity.FLOOR) < 1e-5, (word, landmark, value, want)
+
+
+def test_insults_with_an_inserted_letter():
+    rng = random.Random(10)
+    say = lambda n: [rng.choice("the and with from house tree river cloud green stone".split()) for _ in range(n)]
+    insults = ["gronkel", "fralbot", "wuzzick", "plimdorp"]
+    texts = []
+    for i in range(400):
+        words = say(60)
+        if i % 4 == 0:
+            words[rng.randrange(60)] = insults[i // 4 % 4]
+        texts.append(" ".join(words))
+    model = toxicity.fit(texts, [int(i % 4 == 0) for i in range(400)], 0.25)
+    scorer = toxicity.Scorer(model)
+    told = [f"the house and {w[:i]}{c}{w[i:]} by the river" for w in insults for i in range(1, len(w)) for c in "xoe"]
+    assert np.mean(model.probability(scorer.decisions(pa.array(told))) >= 0.5) >= 0.9
+    clean = [" ".join(say(30)) for _ in range(100)] + ["gross elbow", "the plumber and the wizard", ""]
+    assert (model.probability(scorer.decisions(pa.array(clean))) < 0.5).all()
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(4)
     line = lambda n: " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(900)}" for _ in range(n))
