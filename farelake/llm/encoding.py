@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from farelake.llm.kept import kept
+
 MEMO_BYTES = 192 << 20
 #: What a remembered word takes besides its letters and ids.
 WORD_BYTES = 160
@@ -24,8 +26,6 @@ SLICE_CHARS = 2 << 20
 #: The same where words are looked up: the more at once, the fewer look-ups.
 ENCODE_CHARS = 4 << 20
 
-_ENCODERS: dict[str, "Encoder"] = {}
-
 
 def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The stretches of ``flat`` from ``starts``, end to end."""
@@ -82,9 +82,7 @@ class Encoder:
     @classmethod
     def at(cls, path: str) -> "Encoder":
         """The encoder of this worker for the vocabulary at ``path``."""
-        if path not in _ENCODERS:
-            _ENCODERS[path] = cls(path)
-        return _ENCODERS[path]
+        return kept(("encoder", path), lambda: cls(path))
 
     def _one_by_one(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]

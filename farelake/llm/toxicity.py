@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake.llm.encoding import slices
+from farelake.llm.kept import kept
 
 SAMPLE = 2000
 LANDMARKS = 96
@@ -338,16 +339,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | f
     return fit(texts, toxic, share) if 0 < sum(toxic) < len(toxic) else share
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
 def scorer_of(model: Model) -> Scorer:
     """The scorer of this worker, which outlives a task."""
-    key = hash((tuple(model.landmarks), model.weights.tobytes(), model.bias, model.slope, model.shift))
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(model)
-    return _SCORERS[key]
+    key = ("toxicity", tuple(model.landmarks), model.weights.tobytes(), model.bias, model.slope, model.shift)
+    return kept(key, lambda: Scorer(model))
 
 
 def score(docs: DataFrame, model: Model | float) -> DataFrame:

@@ -205,6 +205,14 @@ def test_toxicity(spark):
     assert toxicity.assessed(docs_of(spark, []), labels).count() == 0
 
 
+def test_a_worker_keeps_what_the_last_operator_made():
+    from farelake.llm.kept import kept
+
+    made = []
+    make = lambda name: lambda: made.append(name) or name
+    assert [kept(k, make(k)) for k in ("a", "a", "b", "b", "a")] == ["a", "a", "b", "b", "a"] and made == ["a", "b", "a"]
+
+
 def test_word_kernel_against_counted_triples():
     """The kernel equals one counted triple by triple, for words and landmarks of many lengths."""
     rng = random.Random(14)
