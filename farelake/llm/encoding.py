@@ -16,11 +16,9 @@ import pyarrow.compute as pc
 
 from farelake.llm.kept import kept
 
-MEMO_BYTES = 192 << 20
-#: What a remembered word takes besides its letters and ids.
-WORD_BYTES = 160
-#: Words encoded at a time.
-RUN = 64
+MEMO_BYTES = 48 << 20
+#: Words in a run, and runs encoded at a time: what the tokenizer gives takes some hundred bytes for each id.
+RUN, RUNS = 64, 256
 #: Characters of text that are split into words at a time.
 SLICE_CHARS = 2 << 20
 #: The same where words are looked up: the more at once, the fewer look-ups.
@@ -34,17 +32,19 @@ def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndar
 
 
 class Memo:
-    """Words and their ids, end to end in one array."""
+    """Words and their ids, each end to end in one array: a dictionary of strings would take five times as much."""
 
     def __init__(self):
-        self.place: dict[str, int] = {}
-        self.ends = np.zeros(1 << 10, np.int64)
-        self.flat = np.zeros(1 << 12, np.uint32)
-        self.bytes = 0
+        self.words = pa.array([], pa.large_string())
+        self.ends = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
 
-    def find(self, words: list[str]) -> np.ndarray:
-        get = self.place.get
-        return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+    @property
+    def bytes(self) -> int:
+        return self.words.nbytes + self.ends.nbytes + self.flat.nbytes
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        return pc.fill_null(pc.index_in(words, self.words), -1).to_numpy().astype(np.int64)
 
     def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words in ``places`` end to end, and how many each has."""
@@ -52,19 +52,11 @@ class Memo:
         sizes = self.ends[places] - starts
         return gathered(self.flat, starts, sizes), sizes
 
-    def add(self, words: list[str], flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Remember words that are not there yet; returns their places."""
-        n = len(self.place)
-        used = int(self.ends[n - 1]) if n else 0
-        while len(self.ends) < n + len(words):
-            self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
-        while len(self.flat) < used + len(flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        self.ends[n:n + len(words)] = used + np.cumsum(sizes)
-        self.flat[used:used + len(flat)] = flat
-        self.place.update(zip(words, range(n, n + len(words))))
-        self.bytes += sum(map(len, words)) + 4 * len(flat) + WORD_BYTES * len(words)
-        return np.arange(n, n + len(words))
+    def add(self, words: pa.Array, flat: np.ndarray, sizes: np.ndarray) -> None:
+        """Remember words that are not there yet."""
+        self.words = pa.concat_arrays([self.words, words])
+        self.ends = np.concatenate((self.ends, len(self.flat) + np.cumsum(sizes)))
+        self.flat = np.concatenate((self.flat, flat))
 
 
 class Encoder:
@@ -84,8 +76,11 @@ class Encoder:
         """The encoder of this worker for the vocabulary at ``path``."""
         return kept(("encoder", path), lambda: cls(path))
 
-    def _one_by_one(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _ids_of(self, texts: list[str]):
+        """The ids of each text, a few texts at a time."""
+        for i in range(0, len(texts), RUNS):
+            for e in self.tokenizer.encode_batch_fast(texts[i:i + RUNS], add_special_tokens=False):
+                yield np.array(e.ids, np.uint32)
 
     def _new(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """``words`` in some order, their ids end to end, and how many each has."""
@@ -94,8 +89,7 @@ class Encoder:
         rest = [w for w in words if not mark or mark[0] in w]
         order, parts, sizes = [], [], []
         runs = [plain[i:i + RUN] for i in range(0, len(plain), RUN)]
-        for run, ids in zip(runs, self._one_by_one([mark.join(run) for run in runs])):
-            flat = np.array(ids, np.uint32)
+        for run, flat in zip(runs, self._ids_of([mark.join(run) for run in runs])):
             cuts = np.flatnonzero(flat == number)
             if len(cuts) != len(run) - 1:
                 rest += run
@@ -103,27 +97,25 @@ class Encoder:
             order += run
             parts.append(flat[flat != number])
             sizes.append(np.diff(np.concatenate(([-1], cuts, [len(flat)]))) - 1)
-        for word, ids in zip(rest, self._one_by_one(rest)):
+        for word, flat in zip(rest, self._ids_of(rest)):
             order.append(word)
-            parts.append(np.array(ids, np.uint32))
-            sizes.append(np.array([len(ids)]))
+            parts.append(flat)
+            sizes.append(np.array([len(flat)]))
         return order, np.concatenate([np.zeros(0, np.uint32), *parts]), np.concatenate([np.zeros(0, np.int64), *sizes])
 
-    def word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct ``words`` end to end, and how many each has."""
         if self.young.bytes > MEMO_BYTES // 2:
             self.young, self.old = Memo(), self.young
         places = self.young.find(words)
         missing = np.flatnonzero(places < 0)
         if len(missing):
-            lacking = [words[i] for i in missing]
+            lacking = words.take(pa.array(missing))
             before = self.old.find(lacking)
             again = before >= 0
-            if again.any():
-                self.young.add([w for w, a in zip(lacking, again) if a], *self.old.ids(before[again]))
-            new = [w for w, a in zip(lacking, again) if not a]
-            if new:
-                self.young.add(*self._new(new))
+            self.young.add(lacking.filter(pa.array(again)), *self.old.ids(before[again]))
+            order, flat, sizes = self._new(lacking.filter(pa.array(~again)).to_pylist())
+            self.young.add(pa.array(order, pa.large_string()), flat, sizes)
             places[missing] = self.young.find(lacking)
         return self.young.ids(places)
 
@@ -135,7 +127,7 @@ class Encoder:
         per_text = np.diff(split.offsets.to_numpy())
         if len(words) == 0:
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        ids, sizes = self.word_ids(words.dictionary.to_pylist())
+        ids, sizes = self.word_ids(words.dictionary)
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.array(ids))
         flat = lists.take(words.indices).flatten().to_numpy(zero_copy_only=False)
         ends = np.concatenate(([0], np.cumsum(sizes[words.indices.to_numpy()])))

@@ -1,6 +1,8 @@
 """Operators on texts against brute force; nulls, empty and long texts, repeated rows, clashing columns, empty tables."""
 
+import gc
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -301,6 +303,22 @@ def test_encoder_remembers_and_forgets(monkeypatch):
     assert encoder.encode(pa.array(texts))[0].tolist() == [i for w in want for i in w]
 
 
+def test_remembered_words_take_little_memory():
+    from farelake.llm import encoding
+
+    held = lambda: tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes()
+    texts = pa.array([" ".join(f"{a}z{i}" for a in "abcd") for i in range(20000)])
+    encoder = encoding.Encoder(queries.vocabulary())
+    encoder.encode(texts[:10])
+    tracemalloc.start()
+    before = held()
+    encoder.encode(texts)
+    gc.collect()
+    taken = held() - before
+    tracemalloc.stop()
+    assert taken < 64 * 80000
+
+
 @pytest.mark.parametrize("piece", [decontamination.PIECE, 4])
 def test_short_items_in_long_documents(spark, monkeypatch, piece):
     """Items of one shingle up are found word for word wherever they are, also across pieces of a document."""
