@@ -143,6 +143,39 @@ def test_short_lines(spark):
     assert [got[i] for i in range(5)] == [texts[0], " \n\t", "on\n\nThe same 18 signs.", "The same 18 signs!", ""]
 
 
+def test_keys_that_meet_no_line_are_not_written(spark, monkeypatch):
+    rng = random.Random(8)
+    lines = [" ".join("".join(rng.choice("abcdefghé") for _ in range(rng.randrange(1, 9))) for _ in range(80)) for _ in range(200)]
+    written, stage = [], linededup.stage
+
+    def counted(df, label):
+        out = stage(df, label)
+        written.append(out.count() if "key" in out.columns else 0)
+        return out
+
+    monkeypatch.setattr(linededup, "stage", counted)
+    got = linededup.dedup_lines(docs_of(spark, list(enumerate([*lines, "x" + lines[5][:-1]]))))
+    assert [r.doc_id for r in got.filter("n_removed > 0").collect()] == [200]
+    assert 0 < max(written) < sum(map(len, lines)) / 20 / 10
+
+
+@pytest.mark.parametrize("bits", [12, linededup.MAP_BITS])
+def test_map_of_keys(spark, monkeypatch, bits):
+    monkeypatch.setattr(linededup, "MAP_BITS", bits)
+    rng = random.Random(bits)
+    keys = {rng.randrange(-1 << 63, 1 << 63): 1 + i % 5 for i in range(3000)}
+    table = spark.createDataFrame([(k,) for k, n in keys.items() for _ in range(n)], "key long")
+    found = linededup.key_map(table)
+    distinct = spark.createDataFrame([(k,) for k in keys], "key long")
+    assert linededup.known_to(found, distinct).count() == len(keys)
+    again = found.select("_row", *[found[f"t{i}"].alias(f"b{i}") for i in range(linededup.MAP_WORDS)])
+    seen = {r.key for r in linededup.known_to(again, distinct).collect()}
+    assert {k for k, n in keys.items() if n > 1} <= seen
+    assert bits < 27 or len(seen) < 2410
+    others = spark.createDataFrame([(rng.randrange(-1 << 63, 1 << 63),) for _ in range(3000)], "key long")
+    assert bits < 27 or linededup.known_to(found, others).count() < 10
+
+
 def test_licenses_match_sql(spark):
     mit = "The MIT Licence (MIT)\n\nCopyright (c) 2019 Some One\n\n" + licenses.MIT.replace(",", " ,")
     rows = [(1, mit), (2, "Some words.\nreleased under THE MIT LICENCE!\nmore"), (3, "Licensed under CC BY-NC 4.0 or not"), (1, mit), *ODD]
