@@ -87,9 +87,9 @@ def bitmap_of(signatures: DataFrame) -> tuple[np.ndarray, int]:
     bits = min(MOST_BITS, max(1 << 16, 1 << (max(1, n * BITS_PER_VALUE) - 1).bit_length()))
     shift = 64 - bits.bit_length() + 1
     spots = signatures.select(F.shiftrightunsigned("key", shift).alias("spot")).distinct().toArrow().column("spot").to_numpy()
-    flags = np.zeros(bits, bool)
-    flags[spots] = True
-    return np.packbits(flags, bitorder="little"), shift
+    bitmap = np.zeros(bits // 8, np.uint8)
+    np.bitwise_or.at(bitmap, spots >> 3, np.left_shift(1, spots & 7).astype(np.uint8))
+    return bitmap, shift
 
 
 def document_keys(docs: DataFrame, widths: list[int], bitmap: np.ndarray, shift: int) -> DataFrame:

@@ -32,6 +32,8 @@ PERCENT = 80
 TREE_SETS = 512
 TREE_SHINGLES = 1 << 20
 FAN = 8
+#: Bytes of shared shingles that may be sent to every executor; the driver holds several times as much while it sends them.
+SENT_KEYS = 8 << 20
 FACTS = "doc_id bigint, body binary, n bigint, d1 bigint, d2 bigint, keys array<bigint>"
 
 
@@ -108,7 +110,7 @@ def facts_of(docs: DataFrame, percent: int, bitmap: np.ndarray, shift: int) -> D
 
 def groves(facts: DataFrame, live: DataFrame, percent: int) -> DataFrame:
     """(d1, grove) of the sets that may link with another one."""
-    hits = facts.select(F.col("d1").alias("node"), "n", F.explode("keys").alias("key")).join(checked(live, 16), "key").distinct()
+    hits = facts.select(F.col("d1").alias("node"), "n", F.explode("keys").alias("key")).join(checked(live, 16, SENT_KEYS), "key").distinct()
     hits = stage(hits, "jaccard-hits")
     least = F.floor(need_column(F.col("n"), percent))
     enough = hits.groupBy("node").agg(F.count(F.lit(1)).alias("have"), F.max("n").alias("size")).filter(

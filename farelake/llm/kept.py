@@ -1,7 +1,8 @@
-"""What a Python worker keeps from task to task."""
+"""What a Python process keeps: of a worker from task to task, of the driver from stage to stage."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Hashable
 from typing import TypeVar
 
@@ -12,6 +13,13 @@ T = TypeVar("T")
 _KEPT: dict[Hashable, object] = {}
 
 
+def release() -> None:
+    """Give memory that is free back to the system; the C library keeps blocks of middle size for good, where it has a way to be asked."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def kept(key: Hashable, make: Callable[[], T]) -> T:
     """What ``make`` gave for ``key``, if this worker still has it.
 
@@ -19,6 +27,6 @@ def kept(key: Hashable, make: Callable[[], T]) -> T:
     """
     if key not in _KEPT:
         _KEPT.clear()
-        pa.default_memory_pool().release_unused()
+        release()
         _KEPT[key] = make()
     return _KEPT[key]

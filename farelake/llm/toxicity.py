@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelake.llm.encoding import slices
-from farelake.llm.kept import kept
+from farelake.llm.kept import kept, release
 
 SAMPLE = 2000
 LANDMARKS = 96
@@ -336,7 +336,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | float:
     """A model, or a constant score where the labels show one class only."""
     texts, toxic, share = training_sample(docs, labels, sample)
-    return fit(texts, toxic, share) if 0 < sum(toxic) < len(toxic) else share
+    model = fit(texts, toxic, share) if 0 < sum(toxic) < len(toxic) else share
+    # The driver outlives the fit: what that took would add to what later stages take.
+    del texts, toxic
+    release()
+    return model
 
 
 def scorer_of(model: Model) -> Scorer:

@@ -2,14 +2,17 @@
 
 import gc
 import random
+import re
 import tracemalloc
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from farelake.llm import decontamination, jaccard, licenses, linededup, packing, queries, shingles, tokencounts, toxicity
@@ -104,6 +107,42 @@ def test_edit_distance_and_line_dedup(spark):
     assert linededup.dedup_lines(docs_of(spark, [])).count() == 0
 
 
+def test_what_the_driver_holds(spark, monkeypatch):
+    # Shared shingles over some bytes are joined by a shuffle, not gathered on the driver.
+    seen, checked = [], jaccard.checked
+    monkeypatch.setattr(jaccard, "checked", lambda df, *rest: seen.append(checked(spark.range(1_000_000), *rest)) or checked(df, *rest))
+    jaccard.groves(spark.createDataFrame([(1, 1, [1])], "d1 long, n long, keys array<long>"), spark.createDataFrame([(1,)], "key long"), 80)
+    assert "ResolvedHint" not in seen[0]._jdf.queryExecution().analyzed().toString()
+    # The bitmap is made as bits.
+    keys = spark.range(70_000).select(F.xxhash64("id").alias("key"))
+    tracemalloc.start()
+    bitmap, shift = decontamination.bitmap_of(keys)
+    assert tracemalloc.get_traced_memory()[1] < 24 << 20
+    tracemalloc.stop()
+    spots = {(r.key & (1 << 64) - 1) >> shift for r in keys.collect()}
+    assert set(np.flatnonzero(np.unpackbits(bitmap, bitorder="little")).tolist()) == spots and len(bitmap) * 8 == decontamination.MOST_BITS
+
+
+def test_the_driver_gives_back_what_the_fit_took(spark, monkeypatch):
+    def held():
+        found = re.search(r"Anonymous:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())
+        return int(found[1]) >> 10
+
+    def fit(texts, toxic, share):
+        # Blocks of middle size with one that stays behind them, as in a fit: the C library keeps what is freed below it.
+        blocks = [bytearray(b"x") * 100_000 for _ in range(2000)]
+        kept.append(blocks.pop())
+        return share
+
+    kept = []
+    monkeypatch.setattr(toxicity, "fit", fit)
+    docs = docs_of(spark, [(i, f"some words {i}") for i in range(40)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    before = held()
+    toxicity.train(docs, labels)
+    assert held() - before < 100
+
+
 def test_near_lines_by_length(spark):
     rng = random.Random(6)
     words = ["".join(rng.choice("abcdefghé") for _ in range(rng.randrange(1, 9))) for _ in range(300)]
