@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from farelake.llm import decontamination, jaccard, licenses, linededup, packing, queries, shingles, tokencounts, toxicity
+from farelake.llm import common, decontamination, jaccard, licenses, linededup, packing, queries, shingles, tokencounts, toxicity
 from llm.helpers import classes, distance
 from llm.helpers import shingles as plain
 
@@ -198,6 +198,19 @@ def test_keys_that_meet_no_line_are_not_written(spark, monkeypatch):
     assert 0 < max(written) < sum(map(len, lines)) / 20 / 10
 
 
+def test_line_dedup_leaves_little_on_disk(spark, monkeypatch, tmp_path):
+    rng = random.Random(9)
+    lines = [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 9))) for _ in range(40)) for _ in range(300)]
+    monkeypatch.setattr(common, "work_path", lambda spark, label: f"{tmp_path}/{label}-{rng.random()}")
+    before = spark.conf.get(common.CLEANUP, None)
+    got = linededup.dedup_lines(docs_of(spark, list(enumerate([*lines, *("x" + line[:-1] for line in lines[:50])]))))
+    assert got.filter("n_removed > 0").count() == 50 and spark.conf.get(common.CLEANUP, None) == before
+    # Lines, their keys and what met are gone; links, classes and what was removed stay.
+    left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
+    assert {"lines-classes", "lines-removed"} <= left
+    assert not left & {f"lines-{x}" for x in ("facts", "known", "probes", "asked", "windows", "texts", "met", "pairs", "letters", "alike", "sides", "open")}
+
+
 @pytest.mark.parametrize("bits", [12, linededup.MAP_BITS])
 def test_map_of_keys(spark, monkeypatch, bits):
     monkeypatch.setattr(linededup, "MAP_BITS", bits)
