@@ -95,6 +95,31 @@ def test_sharding_moves_neighbours_together(spark, monkeypatch):
     assert sum(len(v) - 1 for v in where.values()) < 0.4 * cuts[0]
 
 
+def test_a_passage_of_more_units_than_a_shard_has_rows(spark, monkeypatch):
+    """It names as many shards as it needs; where other passages decide, it doesn't."""
+    monkeypatch.setattr(sharding, "HOT_UNITS", 4)
+    common = "this very common passage is in a third of all texts. "
+    texts = {i: common + f"and {i} alone" for i in range(400)} | {i: f"only {i}" for i in range(400, 1100)}
+    texts |= {i: f"the passage number {i // 2} is in two texts. " + (common if i % 4 == 0 else "") + f"{i}" for i in range(1100, 1200)} | {1200: None}
+    kept = []
+    run = sharding.propagate
+    monkeypatch.setattr(sharding, "propagate", lambda *given: kept.append(run(*given)) or kept[-1])
+    got = sharding.shard_documents(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 16, 2).collect()
+    shards = [sum(r.shard == s for r in got) for s in range(16)]
+    assert len(got) == 1201 and max(shards) - min(shards) <= 1
+    # 425 units need six shards of 75 rows.
+    units = spark.createDataFrame(list(texts.items()), "doc_id long, text string").selectExpr("xxhash64(text) AS unit", "text", "doc_id")
+
+    def homes(labels):
+        rows = labels.join(units.filter(f"text LIKE '{common}%' OR text LIKE '%. {common}%'"), "unit").groupBy("label").count().collect()
+        return sum(sorted((r["count"] for r in rows), reverse=True)[:6])
+
+    first, *_, last = kept[0]
+    assert homes(first) < 240 and homes(last) > homes(first) + 60
+    where = {r.doc_id: r.shard for r in got}
+    assert sum(where[i] != where[i + 1] for i in range(1100, 1200, 2)) < 5
+
+
 def test_components(spark):
     rng = random.Random(8)
     pairs = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(i, i + 1) for i in range(100, 140)] + [(200, i) for i in range(201, 260)]
