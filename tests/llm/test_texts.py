@@ -211,6 +211,42 @@ def test_line_dedup_leaves_little_on_disk(spark, monkeypatch, tmp_path):
     assert not left & {f"lines-{x}" for x in ("facts", "known", "probes", "asked", "windows", "texts", "met", "pairs", "letters", "alike", "sides", "open")}
 
 
+def test_keys_lie_on_disk_for_one_pass_at_a_time(spark, monkeypatch):
+    rng = random.Random(12)
+    pool = []
+    # Pairs within a class of lengths and over its end.
+    for size in (47, 48, *[60] * 8, *[63] * 8):
+        line = "".join(rng.choice("abcdefghé ") for _ in range(size)).strip()
+        pool += [line, line[:7] + "q" + line[7 if size % 2 else 8:]]
+    docs = docs_of(spark, list(enumerate(pool)))
+    near = lambda a, b: abs(len(a) - len(b)) <= 13 and distance(a, b) <= max(len(a), len(b)) // 20
+    of, seen, want = classes(sorted(set(pool)), near), set(), []
+    for d, x in enumerate(pool):
+        want += [(d, int(of[x] in seen))]
+        seen.add(of[x])
+    held, stage = [], linededup.stage
+
+    def counted(df, label):
+        out = stage(df, label)
+        if label == "lines-facts":
+            held.append(out.agg(F.sum(F.size("own"))).first()[0])
+        return out
+
+    monkeypatch.setattr(linededup, "stage", counted)
+    monkeypatch.setattr(linededup, "PASS_KEYS", 128)
+    got = linededup.dedup_lines(docs).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in got) == want and sum(n for _, n in want) == 18
+    assert len(held) == 2 and min(held) > 0.2 * sum(held)
+    turns = linededup.passes(spark.createDataFrame([(n,) for n in range(1, 3000)], "n long"), linededup.Rule())
+    assert [(t.first, t.part) for t in turns] == sorted({(t.first, t.part) for t in turns}) and len(turns) > 20
+    # A class too large for a pass is divided by keys, each of which is in one part.
+    parts = linededup.passes(spark.createDataFrame([(60,)] * 100, "n long"), linededup.Rule())
+    keys = spark.range(1000).select(F.xxhash64("id").alias("key"))
+    assert len(parts) == 4 and keys.filter(sum(t.has_key(F.col("key")).cast("int") for t in parts) == 1).count() == 1000
+    # The shortest line that a line can pair with is in the same passes.
+    assert all(linededup.Rule().shortest(n) == min(m for m in range(n + 1) if m + m // 19 >= n) for n in range(20, 700))
+
+
 @pytest.mark.parametrize("bits", [12, linededup.MAP_BITS])
 def test_map_of_keys(spark, monkeypatch, bits):
     monkeypatch.setattr(linededup, "MAP_BITS", bits)
