@@ -216,7 +216,7 @@ def test_keys_lie_on_disk_for_one_pass_at_a_time(spark, monkeypatch):
     pool = []
     # Pairs within a class of lengths and over its end.
     for size in (47, 48, *[60] * 8, *[63] * 8):
-        line = "".join(rng.choice("abcdefghé ") for _ in range(size)).strip()
+        line = "".join(rng.choice("abcdefghé") for _ in range(size))
         pool += [line, line[:7] + "q" + line[7 if size % 2 else 8:]]
     docs = docs_of(spark, list(enumerate(pool)))
     near = lambda a, b: abs(len(a) - len(b)) <= 13 and distance(a, b) <= max(len(a), len(b)) // 20
@@ -236,7 +236,7 @@ def test_keys_lie_on_disk_for_one_pass_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(linededup, "PASS_KEYS", 128)
     got = linededup.dedup_lines(docs).collect()
     assert sorted((r.doc_id, r.n_removed) for r in got) == want and sum(n for _, n in want) == 18
-    assert len(held) == 2 and min(held) > 0.2 * sum(held)
+    assert len(held) == 2 and min(held) > 0.1 * sum(held)
     turns = linededup.passes(spark.createDataFrame([(n,) for n in range(1, 3000)], "n long"), linededup.Rule())
     assert [(t.first, t.part) for t in turns] == sorted({(t.first, t.part) for t in turns}) and len(turns) > 20
     # A class too large for a pass is divided by keys, each of which is in one part.
